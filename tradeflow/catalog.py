@@ -244,3 +244,7 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 
 
 register("flagship_imports_by_section", FLAGSHIP_SQL)(flagship)
+
+
+# Queries over files (raw CSV, lookups, store, refresh) register themselves on import.
+import tradeflow.catalog_io  # noqa: E402,F401

@@ -236,6 +236,77 @@ class Fixtures:
         )
         return r.select(F.col("year").cast("int").alias("id"), payload.alias("payload"))
 
+    # ------------------------------------------------------------------ published lookup tables
+    # As read from the portal's files: upper-case names, every value a string.
+    def _published(self, df: DataFrame, names: dict[str, str]) -> DataFrame:
+        return df.select(*[_s(F.col(ours)).alias(theirs) for ours, theirs in names.items()])
+
+    def published_state(self) -> DataFrame:
+        su = self.table("supplier")
+        return su.select(
+            _s(F.col("s_suppkey")).alias("CO_UF"),
+            F.concat(F.lit("S"), _s(F.col("s_suppkey"))).alias("SG_UF"),
+            F.col("s_name").alias("NO_UF"),
+            F.concat(F.lit("R"), _s(F.col("s_nationkey"))).alias("NO_REGIAO"),
+        )
+
+    def published_country(self) -> DataFrame:
+        return self._published(self.country_lookup(), {
+            "country_code": "CO_PAIS", "country_code_ison3": "CO_PAIS_ISON3", "country_code_isoa3": "CO_PAIS_ISOA3",
+            "country_name_pt": "NO_PAIS", "country_name": "NO_PAIS_ING", "country_name_es": "NO_PAIS_ESP",
+        })
+
+    def published_product(self) -> DataFrame:
+        """Every part, unpadded codes, extra columns, and every 7th part listed twice."""
+        p = self.table("part")
+        rows = p.unionByName(p.where(F.col("p_partkey") % 7 == 0))
+        return rows.select(
+            _s(F.col("p_partkey")).alias("CO_NCM"),
+            _s(10 + F.col("p_size") % 16).alias("CO_UNID"),
+            F.substring(_s(F.col("p_partkey")), 1, 6).alias("CO_SH6"),
+            F.concat(F.lit("Q"), _s(F.col("p_size"))).alias("CO_CUCI_ITEM"),
+            _s(100 + F.col("p_size") % 19).alias("CO_CGCE_N3"),
+            _s(1000 + F.col("p_size")).alias("CO_SIIT"),
+            _s(F.col("p_size")).alias("CO_ISIC_CLASSE"),
+            F.col("p_type").alias("CO_EXP_SUBSET"),
+            F.concat(F.lit("pt "), F.col("p_name")).alias("NO_NCM_POR"),
+            F.concat(F.lit("es "), F.col("p_name")).alias("NO_NCM_ESP"),
+            F.col("p_name").alias("NO_NCM_ING"),
+        )
+
+    def published_isic(self) -> DataFrame:
+        names = {}
+        for lv, pt in (("class", "CLASSE"), ("group", "GRUPO"), ("division", "DIVISAO"), ("section", "SECAO")):
+            names[f"isic_{lv}_code"] = f"CO_ISIC_{pt}"
+            names[f"isic_{lv}_desc_pt"] = f"NO_ISIC_{pt}"
+            names[f"isic_{lv}_desc"] = f"NO_ISIC_{pt}_ING"
+            names[f"isic_{lv}_desc_es"] = f"NO_ISIC_{pt}_ESP"
+        return self._published(self.isic_lookup(), names)
+
+    def published_bec(self) -> DataFrame:
+        return self._published(self.bec_lookup(), {
+            "bec_n3_code": "CO_CGCE_N3", "bec_n3_desc_pt": "NO_CGCE_N3", "bec_n3_desc": "NO_CGCE_N3_ING",
+            "bec_n3_desc_es": "NO_CGCE_N3_ESP", "bec_n2_code": "CO_CGCE_N2", "bec_n1_code": "CO_CGCE_N1",
+        })
+
+    def published_unit(self) -> DataFrame:
+        u = self.unit_raw()
+        return u.select(_s(F.col("co_unid")).alias("CO_UNID"), F.col("no_unid").alias("NO_UNID"),
+                        F.col("sg_unid").alias("SG_UNID"))
+
+    def published_cuci(self) -> DataFrame:
+        p = self.table("part").select("p_size").distinct()
+        ps = _s(F.col("p_size"))
+        return p.select(
+            F.concat(F.lit("Q"), ps).alias("CO_CUCI_ITEM"),
+            F.concat(F.lit("item "), ps).alias("NO_CUCI_ITEM"),
+            _s(_floor_div(F.col("p_size"), 2.0)).alias("CO_CUCI_SUB"),
+            F.concat(F.lit("sub "), _s(_floor_div(F.col("p_size"), 2.0))).alias("NO_CUCI_SUB"),
+            F.concat(F.lit("grupo "), _s(_floor_div(F.col("p_size"), 5.0))).alias("NO_CUCI_GRUPO"),
+            F.concat(F.lit("divisao "), _s(_floor_div(F.col("p_size"), 10.0))).alias("NO_CUCI_DIVISAO"),
+            F.concat(F.lit("secao "), _s(_floor_div(F.col("p_size"), 25.0))).alias("NO_CUCI_SEC"),
+        )
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
         return {

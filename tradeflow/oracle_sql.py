@@ -125,10 +125,10 @@ def _order(names) -> list[str]:
     return out
 
 
-def with_views(select: str, *names: str) -> str:
-    """``WITH <needed views> <select>``."""
-    views = _order(names)
-    if not views:
+def with_views(select: str, *names: str, extra: tuple[tuple[str, str], ...] = ()) -> str:
+    """``WITH <needed views>, <extra CTEs> <select>``."""
+    ctes = [f"{n} AS ({VIEWS[n][1].strip()})" for n in _order(names)]
+    ctes += [f"{n} AS ({body.strip()})" for n, body in extra]
+    if not ctes:
         return select.strip()
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n][1].strip()})" for n in views)
-    return f"WITH {ctes}\n{select.strip()}"
+    return "WITH " + ",\n".join(ctes) + "\n" + select.strip()
