@@ -1,0 +1,80 @@
+"""Normalisation to the store grain (D6, D8, D11) and conform."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tradeflow.operators.normalise import conform, normalise_exports, normalise_imports
+from tradeflow.schemas import EXPORT_SCHEMA, IMPORT_SCHEMA
+from planutil import plan_text
+
+RAW = "year int, month int, ncm string, state string, country_code int, kg bigint, qty bigint, fob_value bigint, freight bigint, insurance bigint"
+
+
+def test_pads_before_grouping(spark):
+    rows = [
+        (2024, 1, "01012100", "SP", 20, 1, 1, 10, 1, 1),
+        (2024, 1, "1012100", "SP", 20, 2, 2, 20, 2, 2),
+        (2024, 1, "123456789", "SP", 20, 3, 3, 30, 3, 3),
+    ]
+    out = normalise_exports(spark.createDataFrame(rows, RAW))
+    got = sorted((r.ncm, r.fob_value, r.kg) for r in out.collect())
+    assert got == [("01012100", 30, 3), ("123456789", 30, 3)]
+    assert out.schema == EXPORT_SCHEMA
+
+
+def test_imports_cif_and_strict_nulls(spark):
+    rows = [
+        (2024, 1, "1", "SP", 20, 1, 1, 100, 10, 1),
+        (2024, 1, "1", "SP", 20, 1, 1, 100, None, 1),
+        (2024, 2, "1", "SP", 20, 1, 1, 100, 10, 1),
+    ]
+    out = normalise_imports(spark.createDataFrame(rows, RAW))
+    assert out.columns == IMPORT_SCHEMA.fieldNames()
+    got = {r.month: (r.fob_value, r.cif_value) for r in out.collect()}
+    assert got == {1: (200, None), 2: (100, 111)}
+
+
+def test_null_keys_form_their_own_group(spark):
+    rows = [(2024, 1, "1", None, None, 1, 1, 5, 0, 0), (2024, 1, "1", None, None, 1, 1, 6, 0, 0)]
+    out = normalise_exports(spark.createDataFrame(rows, RAW)).collect()
+    assert len(out) == 1 and out[0].fob_value == 11
+
+
+def test_raw_header_names_accepted(spark):
+    df = spark.createDataFrame(
+        [(2024, 1, "1", "SP", 20, 1, 1, 5)],
+        "CO_ANO int, CO_MES int, CO_NCM string, SG_UF_NCM string, CO_PAIS int, KG_LIQUIDO bigint, QT_ESTAT bigint, VL_FOB bigint",
+    )
+    out = normalise_exports(df).collect()
+    assert out[0].ncm == "00000001" and out[0].fob_value == 5
+
+
+def test_idempotent(spark):
+    rows = [(2024, 1, "7", "SP", 20, 1, 1, 5, 1, 1), (2024, 1, "7", "SP", 20, 2, 2, 6, 1, 1)]
+    once = normalise_exports(spark.createDataFrame(rows, RAW))
+    twice = normalise_exports(once)
+    assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_conform_refuses_fraction_and_missing(spark):
+    df = spark.createDataFrame([(2024, 1, "1", "SP", 20, 1.5, 1.0, 1.0)],
+                               "year int, month int, ncm string, state string, country_code int, fob_value double, kg double, qty double")
+    with pytest.raises(Exception, match="not a whole number"):
+        conform(df, "export").collect()
+    with pytest.raises(ValueError, match="missing"):
+        conform(df.drop("kg"), "export")
+    with pytest.raises(ValueError):
+        conform(df, "bogus")
+
+
+def test_conform_overflow_raises(spark):
+    df = spark.createDataFrame([(2024, 1, "1", "SP", 2**40, 1, 1, 1)],
+                               "year int, month int, ncm string, state string, country_code bigint, fob_value bigint, kg bigint, qty bigint")
+    with pytest.raises(Exception, match="(?i)overflow|CAST_OVERFLOW"):
+        conform(df, "export").collect()
+
+
+def test_partial_aggregation_in_plan(spark):
+    rows = [(2024, 1, "1", "SP", 20, 1, 1, 5, 1, 1)]
+    plan = plan_text(normalise_imports(spark.createDataFrame(rows, RAW)))
+    assert plan.count("HashAggregate") >= 2  # partial + final around one exchange

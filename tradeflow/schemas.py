@@ -188,8 +188,16 @@ def isic_columns(lang: str, level: str) -> list[str]:
     return [f"isic_{lv}_desc{suffix}" for lv in levels]
 
 
+_TYPES = {"INT": T.IntegerType(), "STRING": T.StringType()}
+
+
 def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """'a INT, b STRING' -> StructType (only the two types the lookups use)."""
+    fields = []
+    for part in spec.split(","):
+        name, typ = part.split()
+        fields.append(T.StructField(name, _TYPES[typ]))
+    return T.StructType(fields)
 
 
 _ISIC = ", ".join(

@@ -39,7 +39,7 @@ _YEAR = re.compile(r"[0-9]{4}")
 def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """Expand paths, directories and globs to data files (file listing only, no data is read)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return sorted(spark.read.format("text").load(paths).inputFiles())
+    return sorted(spark.read.format("text").option("recursiveFileLookup", "true").load(paths).inputFiles())
 
 
 def file_name(path: str) -> str:
