@@ -3,7 +3,8 @@
 Everything here works on partition values and one-row aggregates: the year
 scans read no data columns, the latest period reads ``month`` only and is a
 partial (map-side) max.  Comparisons with one-row results use scalar
-subqueries, so no join multiplies rows.  Only the final year list (at most one
+subqueries, so no join multiplies rows.  The refresh plan scans each store
+once, into a checkpointed per-year summary.  Only the final year list (at most one
 row per year since 1997) reaches the driver, in ``update_store``.
 
 Rules (a year plan for both flows):
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions import pad_code, period
 from tradeflow.plans.store import create_store, flow_path, open_store
 from tradeflow.schemas import FIRST_DATA_YEAR
+from tradeflow.session import checkpoint_root
 
 FEED_SCHEMA = "data struct<year:string, monthNumber:string>"
 
@@ -68,6 +70,16 @@ def _as_period_column(spark: SparkSession, official: str | DataFrame) -> Column:
     return official.agg(F.max("period")).scalar()
 
 
+def year_summary(exports: DataFrame, imports: DataFrame) -> DataFrame:
+    """(flow, year, last_month): one scan per flow, reading ``month`` and partition values only."""
+
+    def one(store: DataFrame, flow: str) -> DataFrame:
+        g = store.groupBy("year").agg(F.max("month").alias("last_month"))
+        return g.select(F.lit(flow).alias("flow"), "year", "last_month")
+
+    return one(exports, "export").unionByName(one(imports, "import"))
+
+
 def refresh_plan(
     exports: DataFrame,
     imports: DataFrame,
@@ -80,30 +92,45 @@ def refresh_plan(
 
     ``official`` is a 'yyyy-mm' string or a frame with a ``period`` column
     (for example from ``official_period``).  Empty when the store is current.
+
+    The two stores are scanned once, into a per-year summary (at most one row
+    per flow and year) that is checkpointed to the shared checkpoint folder;
+    every later step reads that small table instead of scanning the stores again.
     """
     spark = exports.sparkSession
     if current_year is None:
         current_year = datetime.date.today().year
+    checkpoint_root(spark)
+    summary = year_summary(exports, imports).checkpoint()
+
     off = _as_period_column(spark, official)
     off_year = F.substring(off, 1, 4).cast("int")
 
-    e = exports.select("year").distinct()
-    i = imports.select("year").distinct()
+    def flow(name: str) -> DataFrame:
+        return summary.where(F.col("flow") == name)
+
+    e = flow("export").select("year")
+    i = flow("import").select("year")
     both = e.intersect(i)
-    e_stats = e.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
-    i_stats = i.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
-    first_local = F.least(e_stats.select("lo").scalar(), i_stats.select("lo").scalar())
-    last_local = F.least(e_stats.select("hi").scalar(), i_stats.select("hi").scalar())
-    start = F.greatest(F.lit(start_year).cast("int") if start_year is not None else first_local, F.lit(first_year))
+    stats = summary.groupBy("flow").agg(
+        F.min("year").alias("lo"),
+        F.max("year").alias("hi"),
+        period(F.max(F.struct("year", "last_month"))["year"], F.max(F.struct("year", "last_month"))["last_month"]).alias(
+            "last_period"
+        ),
+    )
+    lo = stats.agg(F.min("lo")).scalar()  # the earlier first year of the two flows
+    last_local = stats.agg(F.min("hi")).scalar()  # the earlier last year of the two flows (D14)
+    exp_current = stats.where(F.col("flow") == "export").select("last_period").scalar() == off
+    imp_current = stats.where(F.col("flow") == "import").select("last_period").scalar() == off
+
+    start = F.greatest(F.lit(start_year).cast("int") if start_year is not None else lo, F.lit(first_year))
     stop = F.least(F.lit(int(current_year)), off_year)
-
     years = spark.range(first_year, int(current_year) + 1).select(F.col("id").cast("int").alias("year"))
     desired = years.where(F.col("year").between(start, stop))
     kept = both.where(~F.col("year").between(last_local, off_year))
     download = desired.subtract(kept)
 
-    exp_current = latest_period(exports).scalar() == off
-    imp_current = latest_period(imports).scalar() == off
     other = download.agg(F.coalesce(F.bool_or(F.col("year") != off_year), F.lit(False))).scalar()
     needed = ~(F.coalesce(exp_current & imp_current, F.lit(False)) & ~other)
 
@@ -120,7 +147,7 @@ def update_store(
     current_year: int | None = None,
     start_year: int | None = None,
     first_year: int = FIRST_DATA_YEAR,
-    layout: str = "per_file",
+    layout: str = "auto",
 ) -> dict:
     """Load the planned years of both flows from ``raw_paths``; nothing when the store is current.
 

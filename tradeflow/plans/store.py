@@ -52,7 +52,7 @@ def load_flow(
     flow: str,
     start_year: int | None = None,
     years=None,
-    layout: str = "per_file",
+    layout: str = "auto",
 ) -> list[str]:
     """Ingest the raw files of one flow (chosen by file name) into the store; returns the files read."""
     files = select_files(list_files(spark, raw_paths), flow, start_year, years)
@@ -70,7 +70,7 @@ def create_store(
     start_year: int | None = None,
     years=None,
     flows=FLOWS,
-    layout: str = "per_file",
+    layout: str = "auto",
 ) -> dict[str, list[str]]:
     """Ingest every raw file whose name carries a year >= ``start_year`` (and in ``years``), both flows.
 

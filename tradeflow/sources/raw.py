@@ -88,21 +88,48 @@ def _read_csv(spark: SparkSession, paths, options: dict | None = None) -> DataFr
     return spark.read.options(**opts).csv(paths)
 
 
+def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str]:
+    """First line of each file, read through the Hadoop file system (a few bytes per file)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    out = {}
+    for f in files:
+        p = Path(f)
+        stream = p.getFileSystem(conf).open(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+            out[f] = reader.readLine() or ""
+        finally:
+            stream.close()
+    return out
+
+
+def group_by_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
+    """Files with the same header line, in groups (one Spark scan per group)."""
+    groups: dict[str, list[str]] = {}
+    for f, h in header_lines(spark, files).items():
+        groups.setdefault(h.strip(), []).append(f)
+    return list(groups.values())
+
+
 def read_raw(
     spark: SparkSession,
     paths: str | list[str],
     flow: str,
-    layout: str = "per_file",
+    layout: str = "auto",
     keep_file: bool = False,
     options: dict | None = None,
 ) -> DataFrame:
     """Scan raw trade files of one flow and keep its 8 (export) or 10 (import) columns, typed.
 
-    ``layout='per_file'`` reads each file with its own header and unions the
-    results by name, so files may differ in column order or extra columns.
-    ``layout='shared'`` reads all files in one scan (for very many files of one
-    layout); Spark then checks every file's header against the first one and
-    fails on a difference instead of misreading it.
+    ``layout='auto'`` groups the files by their header line and reads each
+    group in one scan, then unions the groups by name: files may differ in
+    column order or extra columns, and the usual case (one layout) is a single
+    scan.  ``layout='per_file'`` reads each file on its own; ``layout='shared'``
+    reads all files in one scan.  In every case Spark checks each file's
+    header against its scan's schema (``enforceSchema=false``) and fails on a
+    difference instead of misreading values by position.
 
     A file lacking a needed column (for example an HTML error page saved in its
     place) raises ``ValueError`` naming the file.  With ``keep_file`` the
@@ -115,9 +142,14 @@ def read_raw(
     files = [f for f in list_files(spark, paths) if route_of(f)[0] in (None, flow)]
     if not files:
         raise ValueError(f"no {flow} files found at {paths!r}")
-    groups = [files] if layout == "shared" else [[f] for f in files]
-    if layout not in ("shared", "per_file"):
-        raise ValueError("layout must be 'per_file' or 'shared'")
+    if layout == "auto":
+        groups = group_by_header(spark, files)
+    elif layout == "shared":
+        groups = [files]
+    elif layout == "per_file":
+        groups = [[f] for f in files]
+    else:
+        raise ValueError("layout must be 'auto', 'per_file' or 'shared'")
     frames = []
     for group in groups:
         df = _read_csv(spark, group, options)
