@@ -374,3 +374,14 @@ def q_update_store(spark, d):
     if result["status"] != "updated" or result["years"] != [1997, 2001]:
         raise AssertionError(f"unexpected update: {result}")
     return open_store(spark, flow_path(base, "export"), "export")
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_ingest", with_views(f"SELECT {IMP} FROM imports", "imports"))
+def q_stream_ingest(spark, d):
+    from tradeflow.streaming.landing import run_ingest_once
+
+    landing = _landing(spark, d, ("import",))
+    base = scratch_dir(spark, "store")
+    run_ingest_once(spark, landing, base, scratch_dir(spark, "stream-checkpoint"))
+    return open_store(spark, flow_path(base, "import"), "import")
