@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeflow.schemas import FLOWS, RAW_COLUMNS, RAW_TYPES
 
@@ -82,10 +83,13 @@ def _typed(name: str) -> Column:
     return F.nullif(F.trim(c), F.lit("")).cast(t).alias(name)
 
 
-def _read_csv(spark: SparkSession, paths, options: dict | None = None) -> DataFrame:
+def _read_csv(spark: SparkSession, paths, options: dict | None = None, schema=None) -> DataFrame:
     opts = dict(CSV_OPTIONS)
     opts.update(options or {})
-    return spark.read.options(**opts).csv(paths)
+    reader = spark.read.options(**opts)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(paths)
 
 
 def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str]:
@@ -105,12 +109,24 @@ def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-885
     return out
 
 
-def group_by_header(spark: SparkSession, files: list[str]) -> list[list[str]]:
-    """Files with the same header line, in groups (one Spark scan per group)."""
+def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
+    """(header line, files) groups: files with the same header line are read in one scan."""
     groups: dict[str, list[str]] = {}
     for f, h in header_lines(spark, files).items():
         groups.setdefault(h.strip(), []).append(f)
-    return list(groups.values())
+    return list(groups.items())
+
+
+def header_schema(header: str, sep: str = ";") -> T.StructType | None:
+    """All-string schema named after a plain header line; None when the line needs real CSV parsing.
+
+    Spark still compares every file's header with these names (``enforceSchema=false``),
+    so a wrong guess raises instead of shifting values.
+    """
+    names = [n.strip() for n in header.split(sep)]
+    if not names or any((not n) or '"' in n or "'" in n for n in names) or len(set(names)) != len(names):
+        return None
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
 def read_raw(
@@ -143,16 +159,17 @@ def read_raw(
     if not files:
         raise ValueError(f"no {flow} files found at {paths!r}")
     if layout == "auto":
-        groups = group_by_header(spark, files)
+        sep = (options or {}).get("sep", CSV_OPTIONS["sep"])
+        groups = [(header_schema(h, sep), g) for h, g in group_by_header(spark, files)]
     elif layout == "shared":
-        groups = [files]
+        groups = [(None, files)]
     elif layout == "per_file":
-        groups = [[f] for f in files]
+        groups = [(None, [f]) for f in files]
     else:
         raise ValueError("layout must be 'auto', 'per_file' or 'shared'")
     frames = []
-    for group in groups:
-        df = _read_csv(spark, group, options)
+    for schema, group in groups:
+        df = _read_csv(spark, group, options, schema)
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             where = group[0] if len(group) == 1 else f"{len(group)} files starting with {group[0]}"
