@@ -29,9 +29,10 @@ def test_extra_and_reordered_columns_by_name(spark, tmp_dir):
 
 
 def test_null_tokens(spark, tmp_dir):
-    _write(f"{tmp_dir}/EXP_2024.csv", EXP_HEADER + '\n2024;1;1;"";NA;;1;NA\n')
-    r = read_raw(spark, tmp_dir, "export").first()
+    _write(f"{tmp_dir}/EXP_2024.csv", EXP_HEADER + '\n2024;1;1;"";NA;;1;NA\n2024;1;;NA;1;1;1;1\n')
+    r, r2 = read_raw(spark, tmp_dir, "export").orderBy("CO_PAIS").collect()
     assert r.SG_UF_NCM == "" and r.CO_PAIS is None and r.KG_LIQUIDO is None and r.VL_FOB is None
+    assert r2.CO_NCM is None and r2.SG_UF_NCM is None  # unquoted empty and NA are null
 
 
 def test_html_error_page_is_refused(spark, tmp_dir):

@@ -245,7 +245,7 @@ def q_store_replace_year(spark, d):
     base = _store(spark, d)
     path = flow_path(base, "import")
     write_store(fx.imports().where("year = 1995 AND month = 1"), path, "import")
-    write_store(fx.imports().limit(0), path, "import")  # an empty frame replaces nothing
+    write_store(fx.imports().where(F.lit(False)), path, "import")  # an empty frame replaces nothing
     return open_store(spark, path, "import")
 
 

@@ -157,9 +157,9 @@ def update_store(
     try:
         exports = open_store(spark, flow_path(base, "export"), "export")
         imports = open_store(spark, flow_path(base, "import"), "import")
-        exports.select("year").limit(1).collect()
-        imports.select("year").limit(1).collect()
-    except Exception as exc:  # missing path, unreadable files
+        if not exports.inputFiles() or not imports.inputFiles():
+            raise FileNotFoundError("a flow of the store has no data files")
+    except Exception as exc:  # missing path, no files
         raise RuntimeError(f"the store at {base} cannot be read; create it first ({exc})") from exc
     plan = refresh_plan(exports, imports, official, current_year, start_year, first_year)
     rows = plan.orderBy("year").collect()

@@ -142,7 +142,7 @@ def save_lookup(lookup: DataFrame, base: str, name: str, check_keys: bool = True
     """Write a lookup as Parquet below ``base``; refuses a lookup whose key repeats."""
     _schema(name)
     if check_keys:
-        dup = duplicate_keys(lookup, name).limit(5).collect()
+        dup = duplicate_keys(lookup, name).limit(5).collect()  # a few offending keys for the message
         if dup:
             raise ValueError(f"{name} lookup has repeated keys, e.g. {[tuple(r) for r in dup]}")
     path = f"{base.rstrip('/')}/{name}"

@@ -13,6 +13,7 @@ The flow and the year of a file come from its name (``EXP_2024.csv``,
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,20 +94,28 @@ def _read_csv(spark: SparkSession, paths, options: dict | None = None, schema=No
 
 
 def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str]:
-    """First line of each file, read through the Hadoop file system (a few bytes per file)."""
+    """First line of each file, read through the Hadoop file system (a few bytes per file).
+
+    Files are opened concurrently (object stores have high per-request latency);
+    only the header lines reach the driver.
+    """
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
-    out = {}
-    for f in files:
+
+    def first_line(f: str) -> str:
         p = Path(f)
         stream = p.getFileSystem(conf).open(p)
         try:
             reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-            out[f] = reader.readLine() or ""
+            return reader.readLine() or ""
         finally:
             stream.close()
-    return out
+
+    if len(files) <= 4:
+        return {f: first_line(f) for f in files}
+    with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
+        return dict(zip(files, pool.map(first_line, files)))
 
 
 def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
