@@ -64,3 +64,15 @@ def test_csv_roundtrip_and_split_files(spark, tmp_dir):
     s1 = {r.year: r.v for r in store.groupBy("year").agg(F.sum("fob_value").alias("v")).collect()}
     s2 = {r.CO_ANO: r.v for r in raw.groupBy("CO_ANO").agg(F.sum("VL_FOB").alias("v")).collect()}
     assert s1 == s2
+
+
+def test_compact_and_direct_writes_hold_the_same_rows(spark, tmp_dir):
+    fx = Fixtures(spark, SF0001)
+    landing = tmp_dir + "/landing"
+    write_raw_files(fx.raw_files("import"), landing, "import")
+    create_store(spark, landing, tmp_dir + "/a", flows=("import",), compact=True)
+    create_store(spark, landing, tmp_dir + "/b", flows=("import",), compact=False)
+    a = open_store(spark, flow_path(tmp_dir + "/a", "import"), "import")
+    b = open_store(spark, flow_path(tmp_dir + "/b", "import"), "import")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(fx.imports()).count() == 0

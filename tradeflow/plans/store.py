@@ -23,14 +23,22 @@ def flow_path(base: str, flow: str) -> str:
     return f"{base.rstrip('/')}/{flow}"
 
 
-def write_store(df: DataFrame, path: str, flow: str) -> None:
+def write_store(df: DataFrame, path: str, flow: str, compact: bool = True) -> None:
     """Write normalised rows to the store at ``path``; each year present replaces the stored year.
 
     Dynamic overwrite is set on the writer itself, never taken from the
     session: a static overwrite would first delete every stored year.  An
     empty frame changes nothing.
+
+    ``compact=True`` adds a rebalance on ``year`` (one exchange over the
+    aggregated rows) so that each task writes one year in files of about the
+    advisory partition size.  ``compact=False`` writes straight from the
+    input's partitions: one shuffle fewer, but up to (tasks x years) files.
     """
-    out = conform(df, flow).hint("rebalance", "year").sortWithinPartitions(*GRAIN)
+    out = conform(df, flow)
+    if compact:
+        out = out.hint("rebalance", "year")
+    out = out.sortWithinPartitions(*GRAIN)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -53,13 +61,14 @@ def load_flow(
     start_year: int | None = None,
     years=None,
     layout: str = "auto",
+    compact: bool = True,
 ) -> list[str]:
     """Ingest the raw files of one flow (chosen by file name) into the store; returns the files read."""
     files = select_files(list_files(spark, raw_paths), flow, start_year, years)
     if not files:
         return []
     rows = read_raw(spark, files, flow, layout=layout)
-    write_store(normalise(rows, flow), flow_path(base, flow), flow)
+    write_store(normalise(rows, flow), flow_path(base, flow), flow, compact=compact)
     return files
 
 
@@ -71,6 +80,7 @@ def create_store(
     years=None,
     flows=FLOWS,
     layout: str = "auto",
+    compact: bool = True,
 ) -> dict[str, list[str]]:
     """Ingest every raw file whose name carries a year >= ``start_year`` (and in ``years``), both flows.
 
@@ -78,6 +88,6 @@ def create_store(
     store that are not loaded stay as they are.
     """
     return {
-        flow: load_flow(spark, raw_paths, base, flow, start_year=start_year, years=years, layout=layout)
+        flow: load_flow(spark, raw_paths, base, flow, start_year, years, layout, compact)
         for flow in flows
     }
