@@ -214,23 +214,28 @@ for _lang in ("en", "pt", "es"):
 
 
 # ---------------------------------------------------------------- flagship
-FLAGSHIP_SQL = with_views(
-    f"""
-SELECT f.year, f.state, f.isic_section_desc, c.country_name, f.fob_value, f.cif_value, f.kg
+def _flagship_sql(suffix: str = "") -> str:
+    sec, name = f"isic_section_desc{suffix}", f"country_name{suffix}"
+    return with_views(
+        f"""
+SELECT f.year, f.state, f.{sec}, c.{name}, f.fob_value, f.cif_value, f.kg
 FROM (
-  SELECT a.year, a.state, i.isic_section_desc, a.country_code,
+  SELECT a.year, a.state, i.{sec}, a.country_code,
     {_sum('a.fob_value', 'fob_value')}, {_sum('a.cif_value', 'cif_value')}, {_sum('a.kg', 'kg')}
   FROM imports_fine a
   LEFT JOIN (SELECT ncm AS k, isic_class_code FROM product_lookup) p ON a.ncm IS NOT DISTINCT FROM p.k
-  LEFT JOIN (SELECT isic_class_code AS ik, isic_section_desc FROM isic_lookup) i
+  LEFT JOIN (SELECT isic_class_code AS ik, {sec} FROM isic_lookup) i
     ON p.isic_class_code IS NOT DISTINCT FROM i.ik
   WHERE a.state IN ({_STATES_SQL})
-  GROUP BY a.year, a.state, i.isic_section_desc, a.country_code
+  GROUP BY a.year, a.state, i.{sec}, a.country_code
 ) f
 LEFT JOIN country_lookup c ON f.country_code IS NOT DISTINCT FROM c.country_code
 """,
-    "imports_fine", "product_lookup", "isic_lookup", "country_lookup",
-)
+        "imports_fine", "product_lookup", "isic_lookup", "country_lookup",
+    )
+
+
+FLAGSHIP_SQL = _flagship_sql()
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
@@ -246,5 +251,15 @@ def flagship(spark: SparkSession, d: str) -> DataFrame:
 register("flagship_imports_by_section", FLAGSHIP_SQL)(flagship)
 
 
+@register("flagship_imports_by_section_pt", _flagship_sql("_pt"))
+def flagship_pt(spark: SparkSession, d: str) -> DataFrame:
+    from tradeflow.plans.reports import imports_by_section
+
+    fx = Fixtures(spark, d)
+    return imports_by_section(
+        normalise_imports(fx.raw()), fx.product_lookup(), fx.isic_lookup(), fx.country_lookup(), lang="pt"
+    )
+
+
 # Queries over files (raw CSV, lookups, store, refresh) register themselves on import.
 import tradeflow.catalog_io  # noqa: E402,F401

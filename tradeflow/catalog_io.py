@@ -385,3 +385,35 @@ def q_stream_ingest(spark, d):
     base = scratch_dir(spark, "store")
     run_ingest_once(spark, landing, base, scratch_dir(spark, "stream-checkpoint"))
     return open_store(spark, flow_path(base, "import"), "import")
+
+
+# ---------------------------------------------------------------- the documented queries, over a created store
+def _created_store(spark, d):
+    landing = _landing(spark, d)
+    base = scratch_dir(spark, "store")
+    create_store(spark, landing, base)
+    return base
+
+
+@register(
+    "store_total_exports_by_year",
+    with_views("SELECT year, CASE WHEN count(fob_value) = count(*) THEN CAST(sum(fob_value) AS BIGINT) END AS value "
+               "FROM exports GROUP BY year", "exports"),
+)
+def q_store_total_exports_by_year(spark, d):
+    from tradeflow.operators.summaries import total_by_year
+
+    base = _created_store(spark, d)
+    return total_by_year(open_store(spark, flow_path(base, "export"), "export"))
+
+
+@register(
+    "store_total_imports_by_year_month",
+    with_views("SELECT year, month, CASE WHEN count(fob_value) = count(*) THEN CAST(sum(fob_value) AS BIGINT) END "
+               "AS value FROM imports GROUP BY year, month", "imports"),
+)
+def q_store_total_imports_by_year_month(spark, d):
+    from tradeflow.operators.summaries import total_by_year_month
+
+    base = _created_store(spark, d)
+    return total_by_year_month(open_store(spark, flow_path(base, "import"), "import"))
