@@ -75,6 +75,7 @@ def test_clean_name():
     assert clean_name("CO_ANO") == "co_ano"
     assert clean_name("monthNumber") == "month_number"
     assert clean_name(" No. Pais ") == "no_pais"
+    assert clean_name("Código_País") == "codigo_pais"
 
 
 def test_read_lookup_and_unit_build(spark, tmp_dir):

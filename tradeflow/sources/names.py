@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from pyspark.sql import DataFrame
 
 
 def clean_name(name: str) -> str:
-    """Lower snake_case: 'CO_ANO' -> 'co_ano', 'monthNumber' -> 'month_number', 'No. Pais' -> 'no_pais'."""
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip())
+    """Lower snake_case without accents: 'CO_ANO' -> 'co_ano', 'monthNumber' -> 'month_number',
+    'No. País' -> 'no_pais'."""
+    s = unicodedata.normalize("NFKD", name.strip()).encode("ascii", "ignore").decode("ascii")
+    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
     s = re.sub(r"[^0-9A-Za-z]+", "_", s).strip("_").lower()
     return s or "x"
 

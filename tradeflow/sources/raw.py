@@ -167,6 +167,8 @@ def read_raw(
     files = [f for f in list_files(spark, paths) if route_of(f)[0] in (None, flow)]
     if not files:
         raise ValueError(f"no {flow} files found at {paths!r}")
+    if layout == "auto" and getattr(spark, "_jvm", None) is None:
+        layout = "per_file"  # no JVM gateway (Spark Connect): let Spark read each file's header
     if layout == "auto":
         sep = (options or {}).get("sep", CSV_OPTIONS["sep"])
         groups = [(header_schema(h, sep), g) for h, g in group_by_header(spark, files)]
