@@ -50,8 +50,8 @@ def store_schema(flow: str) -> T.StructType:
     return STORE_SCHEMAS[flow]
 
 
-# Raw file columns (header names) and their types once read.  Codes that carry
-# leading zeros (product, state) stay strings.
+# Raw file columns (header names).  Their types once read are ours:
+# codes that carry leading zeros (product, state) stay strings.
 RAW_TYPES = {
     "CO_ANO": T.IntegerType(),
     "CO_MES": T.IntegerType(),
@@ -73,7 +73,7 @@ RAW_COLUMNS = {
     ),
 }
 
-# Raw name (after lower-casing) -> store name, for the trade files.
+# Raw trade-file column names (after lower-casing) -> store names.
 RAW_RENAMES = {
     "co_ano": "year",
     "co_mes": "month",

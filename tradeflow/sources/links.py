@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HREF_PATTERN = r'<a\s[^>]*?href="([^"]*)"'
 CELL_PATTERN = r"(?s)<td[^>]*>.*?</td>"
+# Raw-file links contain this path part, and complete/check files are left out.
 RAW_INCLUDE = "/ncm/"
 RAW_EXCLUDE = "COMPLETA|CONFERENCIA"
 
