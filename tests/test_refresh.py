@@ -87,6 +87,9 @@ def test_official_payload_and_is_current(spark, stores):
     )
     off = official_period(feed)
     assert [tuple(r) for r in off.orderBy("id").collect()] == [(1, "2001-11"), (2, "2002-03")]
+    odd = spark.createDataFrame([(1, '{"data":{"year":2024,"monthNumber":6}}'), (2, '{"error":"x"}'), (3, "not json")],
+                                "id int, payload string")
+    assert [r.period for r in official_period(odd).orderBy("id").collect()] == ["2024-06", None, None]
     _, i = _open(spark, stores)
     got = [(r.id, r.is_current) for r in is_current(i, off).orderBy("id").collect()]
     assert got == [(1, True), (2, False)]

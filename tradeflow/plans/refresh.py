@@ -54,7 +54,7 @@ def official_period(feed: DataFrame, payload_col: str = "payload") -> DataFrame:
     if payload_col not in feed.columns:
         raise ValueError(f"The '{payload_col}' column does not exist.")
     data = F.from_json(F.col(payload_col), FEED_SCHEMA)["data"]
-    p = F.concat_ws("-", data["year"], pad_code(data["monthNumber"], 2))
+    p = F.concat(data["year"], F.lit("-"), pad_code(data["monthNumber"], 2))  # null when a part is missing
     return feed.select(*[c for c in feed.columns if c != payload_col], p.alias("period"))
 
 
