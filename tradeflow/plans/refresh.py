@@ -40,10 +40,19 @@ def available_years(store: DataFrame) -> DataFrame:
     return store.select("year").distinct().orderBy("year")
 
 
+def _period_key(year, month) -> Column:
+    """year * 100 + month: orders like (year, month) and keeps the aggregate a hash aggregate."""
+    return F.col(year) * 100 + F.col(month) if isinstance(year, str) else year * 100 + month
+
+
+def _key_period(key: Column) -> Column:
+    return period(F.floor(key / 100), key % 100)
+
+
 def latest_period(store: DataFrame) -> DataFrame:
     """One row: the last month of the last year as 'yyyy-mm' (null for an empty store)."""
-    last = store.agg(F.max(F.struct("year", "month")).alias("m"))
-    return last.select(period(F.col("m.year"), F.col("m.month")).alias("period"))
+    last = store.agg(F.max(_period_key("year", "month")).alias("k"))
+    return last.select(_key_period(F.col("k")).alias("period"))
 
 
 def official_period(feed: DataFrame, payload_col: str = "payload") -> DataFrame:
@@ -115,9 +124,7 @@ def refresh_plan(
     stats = summary.groupBy("flow").agg(
         F.min("year").alias("lo"),
         F.max("year").alias("hi"),
-        period(F.max(F.struct("year", "last_month"))["year"], F.max(F.struct("year", "last_month"))["last_month"]).alias(
-            "last_period"
-        ),
+        _key_period(F.max(_period_key("year", "last_month"))).alias("last_period"),
     )
     lo = stats.agg(F.min("lo")).scalar()  # the earlier first year of the two flows
     last_local = stats.agg(F.min("hi")).scalar()  # the earlier last year of the two flows (D14)
