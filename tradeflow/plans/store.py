@@ -11,6 +11,8 @@ tight row-group statistics for month and product filters.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeflow.operators.normalise import conform, normalise
@@ -85,9 +87,15 @@ def create_store(
     """Ingest every raw file whose name carries a year >= ``start_year`` (and in ``years``), both flows.
 
     Files are chosen by name before anything is read.  Years already in the
-    store that are not loaded stay as they are.
+    store that are not loaded stay as they are.  The flows are independent
+    jobs and are submitted together, so Spark's scheduler can overlap them.
     """
-    return {
-        flow: load_flow(spark, raw_paths, base, flow, start_year, years, layout, compact)
-        for flow in flows
-    }
+    flows = list(flows)
+    if len(flows) == 1:
+        return {flows[0]: load_flow(spark, raw_paths, base, flows[0], start_year, years, layout, compact)}
+    with ThreadPoolExecutor(max_workers=len(flows)) as pool:
+        futures = {
+            flow: pool.submit(load_flow, spark, raw_paths, base, flow, start_year, years, layout, compact)
+            for flow in flows
+        }
+        return {flow: f.result() for flow, f in futures.items()}
