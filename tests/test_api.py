@@ -25,3 +25,20 @@ def test_tradedb_end_to_end(spark, tmp_dir):
     assert db.add_isic_description(db.add_units(db.add_ncm_description(db.imports)), level="all").count() == n
     assert db.add_state_name(db.imports).columns[-1] == "state_name"
     assert db.total_imports_by_year_month().count() == 59
+
+
+def test_build_lookups_from_published_files(spark, tmp_dir):
+    fx = Fixtures(spark, SF0001)
+    sources = {}
+    for name, df in (("country", fx.published_country()), ("product", fx.published_product()),
+                     ("isic", fx.published_isic()), ("unit", fx.published_unit()), ("state", fx.published_state()),
+                     ("bec", fx.published_bec()), ("cuci", fx.published_cuci())):
+        path = f"{tmp_dir}/published/{name}"
+        df.write.options(sep=";", header="true", encoding="ISO-8859-1").csv(path)
+        sources[name] = path
+    db = TradeDB(spark, tmp_dir + "/db")
+    saved = db.build_lookups(sources)
+    assert set(saved) == set(sources)
+    assert db.lookup("product").count() == fx.table("part").count()
+    assert dict(db.lookup("country").dtypes)["country_code"] == "int"
+    assert db.lookup("unit").where("unit_description = 'Net kilogram'").count() > 0

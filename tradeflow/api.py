@@ -22,7 +22,7 @@ from tradeflow.operators.summaries import total_by_year, total_by_year_month
 from tradeflow.plans.refresh import update_store
 from tradeflow.plans.store import create_store, flow_path, open_store
 from tradeflow.schemas import FLOWS
-from tradeflow.sources.lookups import load_lookup
+from tradeflow.sources.lookups import build_lookups, load_lookup
 
 filter_states = enrich.filter_states
 
@@ -56,6 +56,11 @@ class TradeDB:
     def _lookups(self) -> dict[str, DataFrame]:
         return {}
 
+    def build_lookups(self, sources: dict[str, str]) -> dict[str, str]:
+        """Build and save lookups from published files: {name: path of the published CSV}."""
+        self._lookups.clear()
+        return build_lookups(self.spark, sources, self.lookup_dir)
+
     def lookup(self, name: str) -> DataFrame:
         if name not in self._lookups:
             self._lookups[name] = load_lookup(self.spark, self.lookup_dir, name)

@@ -153,3 +153,18 @@ def save_lookup(lookup: DataFrame, base: str, name: str, check_keys: bool = True
 def load_lookup(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Read a saved lookup, with its key and code columns in the lookup's types."""
     return typed(spark.read.parquet(f"{base.rstrip('/')}/{name}"), name)
+
+
+def build_lookups(spark: SparkSession, sources: dict[str, str], dest: str, options: dict | None = None) -> dict[str, str]:
+    """Read each published lookup file, build our lookup from it and save it below ``dest``.
+
+    ``sources`` maps a lookup name (state, country, product, isic, bec, unit,
+    cuci) to the path of its published file.  Returns name -> saved path.
+    """
+    unknown = sorted(set(sources) - set(BUILDERS))
+    if unknown:
+        raise ValueError(f"unknown lookup(s) {unknown}; one of {sorted(BUILDERS)}")
+    return {
+        name: save_lookup(BUILDERS[name](read_lookup(spark, path, options=options)), dest, name)
+        for name, path in sources.items()
+    }
