@@ -125,3 +125,16 @@ def test_discover_files(spark):
     assert sorted(r.href for r in discover_files(pages, years=plan).collect()) == [
         "https://x/ncm/EXP_2023.csv", "https://x/ncm/IMP_2023.csv"]
     assert discover_files(pages, years=[]).count() == 0  # an empty plan finds nothing
+
+
+def test_find_table_links(spark):
+    from tradeflow.sources.links import find_table_links
+
+    page = ('<table><tr><td><a href="https://x/tabelas/PAIS.csv">p</a></td>'
+            '<td><a href="https://x/tabelas/PAIS_BLOCO.csv">b</a></td><td><a href="https://x/tabelas/UF.csv">u</a></td>'
+            '</tr></table>')
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    assert [r.href for r in find_table_links(pages, "PAIS").collect()] == ["https://x/tabelas/PAIS.csv"]
+    assert find_table_links(pages, "NCM").count() == 0
+    with pytest.raises(ValueError):
+        find_table_links(pages, "")

@@ -9,6 +9,8 @@ year plan DataFrame can be passed directly).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,3 +65,11 @@ def discover_files(
         wanted = years.select(F.col("year").cast("int").alias("_year")).distinct()
         return links.join(wanted, links.link_year == wanted._year, "left_semi")
     return links.where(F.col("link_year").isin([int(y) for y in years]))
+
+
+def find_table_links(pages: DataFrame, name: str, html_col: str = "html", in_table_cells: bool = True) -> DataFrame:
+    """Links to a published lookup file ``<name>.csv`` (for example 'PAIS', 'NCM_UNIDADE')."""
+    if not name or not isinstance(name, str):
+        raise ValueError("name must be a non-empty string, e.g. 'PAIS'")
+    pattern = "/" + re.escape(name) + r"\.csv"
+    return discover_files(pages, include=pattern, exclude=None, html_col=html_col, in_table_cells=in_table_cells)
