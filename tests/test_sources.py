@@ -138,3 +138,13 @@ def test_find_table_links(spark):
     assert find_table_links(pages, "NCM").count() == 0
     with pytest.raises(ValueError):
         find_table_links(pages, "")
+
+
+def test_compressed_and_plain_files_together(spark, tmp_dir):
+    import gzip
+
+    _write(f"{tmp_dir}/EXP_2023.csv", EXP_HEADER + "\n2023;1;1;SP;20;5;1;500\n")
+    with gzip.open(f"{tmp_dir}/EXP_2024.csv.gz", "wt", encoding="latin-1") as f:
+        f.write("CO_PAIS;" + EXP_HEADER.replace("CO_PAIS;", "") + "\n40;2024;2;7;RJ;10;2;700\n")
+    rows = sorted(tuple(r) for r in read_raw(spark, tmp_dir, "export").collect())
+    assert rows == [(2023, 1, "1", "SP", 20, 5, 1, 500), (2024, 2, "7", "RJ", 40, 10, 2, 700)]

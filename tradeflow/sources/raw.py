@@ -118,12 +118,22 @@ def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-885
         return dict(zip(files, pool.map(first_line, files)))
 
 
-def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str, list[str]]]:
-    """(header line, files) groups: files with the same header line are read in one scan."""
+# Compressed files are not probed: their first bytes are not the header.  Spark
+# decompresses them when it reads them (gzip files are not splittable, so each
+# is read by one task; uncompressed or bzip2 files are split).
+COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".deflate", ".lz4", ".snappy", ".xz", ".br", ".zip")
+
+
+def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str | None, list[str]]]:
+    """(header line, files) groups: files with the same header line are read in one scan.
+
+    A compressed file forms its own group with no known header (Spark reads its header).
+    """
+    plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
     groups: dict[str, list[str]] = {}
-    for f, h in header_lines(spark, files).items():
+    for f, h in header_lines(spark, plain).items():
         groups.setdefault(h.strip(), []).append(f)
-    return list(groups.items())
+    return list(groups.items()) + [(None, [f]) for f in files if f not in set(plain)]
 
 
 def header_schema(header: str, sep: str = ";") -> T.StructType | None:
@@ -171,7 +181,7 @@ def read_raw(
         layout = "per_file"  # no JVM gateway (Spark Connect): let Spark read each file's header
     if layout == "auto":
         sep = (options or {}).get("sep", CSV_OPTIONS["sep"])
-        groups = [(header_schema(h, sep), g) for h, g in group_by_header(spark, files)]
+        groups = [(header_schema(h, sep) if h is not None else None, g) for h, g in group_by_header(spark, files)]
     elif layout == "shared":
         groups = [(None, files)]
     elif layout == "per_file":
