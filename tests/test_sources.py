@@ -148,3 +148,11 @@ def test_compressed_and_plain_files_together(spark, tmp_dir):
         f.write("CO_PAIS;" + EXP_HEADER.replace("CO_PAIS;", "") + "\n40;2024;2;7;RJ;10;2;700\n")
     rows = sorted(tuple(r) for r in read_raw(spark, tmp_dir, "export").collect())
     assert rows == [(2023, 1, "1", "SP", 20, 5, 1, 500), (2024, 2, "7", "RJ", 40, 10, 2, 700)]
+
+
+def test_byte_order_mark(spark, tmp_dir):
+    with open(f"{tmp_dir}/EXP_2024.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbf" + (EXP_HEADER + "\n2024;1;1;SP;20;5;1;500\n").encode("latin-1"))
+    _write(f"{tmp_dir}/EXP_2023.csv", EXP_HEADER + "\n2023;1;1;SP;20;5;1;500\n")
+    rows = sorted((r.CO_ANO, r.VL_FOB) for r in read_raw(spark, tmp_dir, "export").collect())
+    assert rows == [(2023, 500), (2024, 500)]

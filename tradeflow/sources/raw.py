@@ -84,6 +84,17 @@ def _typed(name: str) -> Column:
     return F.nullif(F.trim(c), F.lit("")).cast(t).alias(name)
 
 
+def _bare_names(df: DataFrame) -> DataFrame:
+    """Column names without a leading byte-order mark or surrounding blanks."""
+    names = []
+    for c in df.columns:
+        for bom in _BOMS:
+            if c.startswith(bom):
+                c = c[len(bom):]
+        names.append(c.strip())
+    return df if names == df.columns else df.toDF(*names)
+
+
 def _read_csv(spark: SparkSession, paths, options: dict | None = None, schema=None) -> DataFrame:
     opts = dict(CSV_OPTIONS)
     opts.update(options or {})
@@ -118,6 +129,10 @@ def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-885
         return dict(zip(files, pool.map(first_line, files)))
 
 
+# A UTF-8 byte-order mark, as it reads in UTF-8 and in Latin-1.
+_BOMS = ("\ufeff", "\u00ef\u00bb\u00bf")
+
+
 # Compressed files are not probed: their first bytes are not the header.  Spark
 # decompresses them when it reads them (gzip files are not splittable, so each
 # is read by one task; uncompressed or bzip2 files are split).
@@ -132,6 +147,9 @@ def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str | N
     plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
     groups: dict[str, list[str]] = {}
     for f, h in header_lines(spark, plain).items():
+        for bom in _BOMS:  # Spark's CSV parser skips a byte-order mark too
+            if h.startswith(bom):
+                h = h[len(bom):]
         groups.setdefault(h.strip(), []).append(f)
     return list(groups.items()) + [(None, [f]) for f in files if f not in set(plain)]
 
@@ -190,7 +208,7 @@ def read_raw(
         raise ValueError("layout must be 'auto', 'per_file' or 'shared'")
     frames = []
     for schema, group in groups:
-        df = _read_csv(spark, group, options, schema)
+        df = _bare_names(_read_csv(spark, group, options, schema))
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             where = group[0] if len(group) == 1 else f"{len(group)} files starting with {group[0]}"
