@@ -42,3 +42,19 @@ def test_build_lookups_from_published_files(spark, tmp_dir):
     assert db.lookup("product").count() == fx.table("part").count()
     assert dict(db.lookup("country").dtypes)["country_code"] == "int"
     assert db.lookup("unit").where("unit_description = 'Net kilogram'").count() > 0
+
+
+def test_cli_create_update_totals(spark, tmp_dir):
+    from tradeflow.cli import main
+
+    fx = Fixtures(spark, SF0001)
+    raw = tmp_dir + "/raw"
+    write_raw_files(fx.raw_files("export"), raw, "export")
+    write_raw_files(fx.raw_files("import"), raw, "import")
+    dest = tmp_dir + "/db"
+    out = main(["create", "--raw", raw, "--dest", dest], spark=spark)
+    assert out["files"] == {"export": 7, "import": 7}
+    out = main(["update", "--raw", raw, "--dest", dest, "--official", "2001-11", "--current-year", "2001"], spark=spark)
+    assert out["status"] == "current"
+    out = main(["totals", "--dest", dest, "--flow", "import", "--by", "year"], spark=spark)
+    assert [r["year"] for r in out["rows"]] == list(range(1995, 2002))
