@@ -78,3 +78,12 @@ def test_partial_aggregation_in_plan(spark):
     rows = [(2024, 1, "1", "SP", 20, 1, 1, 5, 1, 1)]
     plan = plan_text(normalise_imports(spark.createDataFrame(rows, RAW)))
     assert plan.count("HashAggregate") >= 2  # partial + final around one exchange
+
+
+def test_conform_refuses_fractional_year(spark):
+    df = spark.createDataFrame([(2024.5, 1, "1", "SP", 20, 1, 1, 1)],
+                               "year double, month int, ncm string, state string, country_code int, fob_value bigint, kg bigint, qty bigint")
+    with pytest.raises(Exception, match="year 2024.5 is not a whole number"):
+        conform(df, "export").collect()
+    ok = conform(df.withColumn("year", df.year - 0.5), "export").first()
+    assert ok.year == 2024

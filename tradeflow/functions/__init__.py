@@ -1,5 +1,6 @@
 from tradeflow.functions.columns import (
     blank_to_null,
+    exact_integer,
     exact_long,
     pad_code,
     period,
@@ -10,6 +11,7 @@ from tradeflow.functions.columns import (
 
 __all__ = [
     "blank_to_null",
+    "exact_integer",
     "exact_long",
     "pad_code",
     "period",

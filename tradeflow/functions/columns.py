@@ -59,6 +59,18 @@ def blank_to_null(c: str | Column) -> Column:
     return F.when(t != "", t)
 
 
+def exact_integer(
+    c: str | Column, target: str = "bigint", name: str | None = None, dtype: T.DataType | None = None
+) -> Column:
+    """Cast to an integer type (``target`` 'int' or 'bigint'), raising instead of rounding or wrapping."""
+    c = _col(c)
+    if isinstance(dtype, (T.IntegralType, T.StringType)):
+        return c.cast(target)
+    label = name or "value"
+    integral = F.raise_error(F.format_string(f"{label} %s is not a whole number", c.cast("string")))
+    return F.when(c.isNull() | (c == F.floor(c)), c.cast(target)).otherwise(integral.cast(target))
+
+
 def exact_long(c: str | Column, name: str | None = None, dtype: T.DataType | None = None) -> Column:
     """Cast to BIGINT, raising instead of rounding or wrapping.
 
@@ -67,9 +79,4 @@ def exact_long(c: str | Column, name: str | None = None, dtype: T.DataType | Non
     float, double or decimal, or unknown) are checked first, so that 1.5 raises
     where a plain cast would truncate it to 1.
     """
-    c = _col(c)
-    if isinstance(dtype, (T.IntegralType, T.StringType)):
-        return c.cast("bigint")
-    label = name or "value"
-    integral = F.raise_error(F.format_string(f"{label} %s is not a whole number", c.cast("string")))
-    return F.when(c.isNull() | (c == F.floor(c)), c.cast("bigint")).otherwise(integral.cast("bigint"))
+    return exact_integer(c, "bigint", name, dtype)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions import exact_long, pad_code, strict_sum
+from tradeflow.functions import exact_integer, exact_long, pad_code, strict_sum
 from tradeflow.schemas import GRAIN, RAW_RENAMES, store_schema
 from tradeflow.sources.names import clean_column_names, rename_known_columns
 
@@ -71,8 +71,8 @@ def conform(df: DataFrame, flow: str) -> DataFrame:
     cols = []
     for f in schema.fields:
         c = F.col(f.name)
-        if f.dataType.simpleString() == "bigint":
-            cols.append(exact_long(c, f.name, have[f.name]).alias(f.name))
+        if f.dataType.simpleString() in ("int", "bigint"):
+            cols.append(exact_integer(c, f.dataType.simpleString(), f.name, have[f.name]).alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
     return df.select(*cols)
