@@ -1,5 +1,4 @@
 from tradeflow.functions.columns import (
-    blank_to_null,
     exact_integer,
     exact_long,
     pad_code,
@@ -10,7 +9,6 @@ from tradeflow.functions.columns import (
 )
 
 __all__ = [
-    "blank_to_null",
     "exact_integer",
     "exact_long",
     "pad_code",

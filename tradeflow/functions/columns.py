@@ -53,12 +53,6 @@ def period(year: str | Column, month: str | Column) -> Column:
     return F.format_string("%04d-%02d", _col(year), _col(month))
 
 
-def blank_to_null(c: str | Column) -> Column:
-    """An empty or blank string becomes null; other strings are trimmed."""
-    t = F.trim(_col(c))
-    return F.when(t != "", t)
-
-
 def exact_integer(
     c: str | Column, target: str = "bigint", name: str | None = None, dtype: T.DataType | None = None
 ) -> Column:
