@@ -15,7 +15,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -53,12 +52,11 @@ def main():
     from tradeflow.plans.refresh import refresh_plan
     from tradeflow.plans.reports import imports_by_section
     from tradeflow.plans.store import create_store, flow_path, open_store, write_store
-    from tradeflow.session import checkpoint_root
+    from tradeflow.session import scratch_dir
     from tradeflow.sources.lookups import load_lookup, save_lookup
     from tradeflow.sources.raw import write_raw_files
 
-    root = checkpoint_root(spark)
-    work = tempfile.mkdtemp(prefix="bench-", dir=root if os.path.isdir(root) else None)
+    work = scratch_dir(spark, "bench")  # below spark.checkpoint.dir
     fx = Fixtures(spark, SF_DIR)
 
     t0 = time.time()
