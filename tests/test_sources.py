@@ -156,3 +156,16 @@ def test_byte_order_mark(spark, tmp_dir):
     _write(f"{tmp_dir}/EXP_2023.csv", EXP_HEADER + "\n2023;1;1;SP;20;5;1;500\n")
     rows = sorted((r.CO_ANO, r.VL_FOB) for r in read_raw(spark, tmp_dir, "export").collect())
     assert rows == [(2023, 500), (2024, 500)]
+
+
+def test_header_probe_is_bounded(spark, tmp_dir):
+    from tradeflow.sources.raw import HEADER_PROBE_BYTES, header_lines
+
+    with open(f"{tmp_dir}/EXP_2024.csv", "wb") as f:
+        f.write(b"x" * (3 * HEADER_PROBE_BYTES))  # no newline at all
+    _write(f"{tmp_dir}/EXP_2023.csv", EXP_HEADER + "\r\n2023;1;1;SP;20;5;1;500\r\n")
+    got = header_lines(spark, [f"{tmp_dir}/EXP_2024.csv", f"{tmp_dir}/EXP_2023.csv"])
+    assert len(got[f"{tmp_dir}/EXP_2024.csv"]) == HEADER_PROBE_BYTES
+    assert got[f"{tmp_dir}/EXP_2023.csv"] == EXP_HEADER
+    with pytest.raises(ValueError, match="EXP_2024.csv: not a raw export file"):
+        read_raw(spark, tmp_dir, "export")

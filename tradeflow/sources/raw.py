@@ -104,6 +104,9 @@ def _read_csv(spark: SparkSession, paths, options: dict | None = None, schema=No
     return reader.csv(paths)
 
 
+HEADER_PROBE_BYTES = 65536
+
+
 def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str]:
     """First line of each file, read through the Hadoop file system (a few bytes per file).
 
@@ -118,10 +121,10 @@ def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-885
         p = Path(f)
         stream = p.getFileSystem(conf).open(p)
         try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-            return reader.readLine() or ""
+            head = bytes(stream.readNBytes(HEADER_PROBE_BYTES))  # bounded, whatever the file holds
         finally:
             stream.close()
+        return head.decode(encoding, errors="replace").split("\n", 1)[0].rstrip("\r")
 
     if len(files) <= 4:
         return {f: first_line(f) for f in files}
@@ -268,7 +271,8 @@ def write_raw_files(df: DataFrame, landing: str, flow: str) -> list[str]:
         k = counters.get(year, 0)
         counters[year] = k + 1
         target = f"{landing.rstrip('/')}/{token}_{year}" + (f"_{k}" if k else "") + ".csv"
-        fs.rename(Path(p), Path(target))
+        if not fs.rename(Path(p), Path(target)):
+            raise OSError(f"could not move {p} to {target} (does it exist already?)")
         written.append(target)
     fs.delete(Path(staging), True)
     return written
