@@ -9,8 +9,6 @@ DataFrames over the parquet tables; their work grows with the tables.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -207,15 +205,6 @@ class Fixtures:
             _floor_div(F.col("i"), 10.0).alias("bec_n1_code"),
         )
 
-    def cuci_lookup(self) -> DataFrame:
-        p = self.table("part").select("p_size")
-        ps = _s(F.col("p_size"))
-        return p.select(
-            F.concat(F.lit("Q"), ps).alias("co_cuci_item"),
-            F.concat(F.lit("item "), ps).alias("no_cuci_item"),
-            F.concat(F.lit("grupo "), _s(_floor_div(F.col("p_size"), 5.0))).alias("no_cuci_grupo"),
-        ).distinct()
-
     # ------------------------------------------------------------------ raw lookup files
     def unit_raw(self) -> DataFrame:
         """Published unit rows (co_unid, no_unid, sg_unid), one per part; the name comes from p_size."""
@@ -306,10 +295,3 @@ class Fixtures:
             F.concat(F.lit("divisao "), _s(_floor_div(F.col("p_size"), 10.0))).alias("NO_CUCI_DIVISAO"),
             F.concat(F.lit("secao "), _s(_floor_div(F.col("p_size"), 25.0))).alias("NO_CUCI_SEC"),
         )
-
-    @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            name: getattr(self, name)()
-            for name in ("country_lookup", "state_lookup", "product_lookup", "isic_lookup", "unit_lookup")
-        }

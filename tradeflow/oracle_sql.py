@@ -95,10 +95,6 @@ SELECT CAST(100 + i AS INT) AS bec_n3_code, 'pt n3 ' || CAST(i AS VARCHAR) AS be
   'n3 ' || CAST(i AS VARCHAR) AS bec_n3_desc, 'es n3 ' || CAST(i AS VARCHAR) AS bec_n3_desc_es,
   CAST(floor(i / 5.0) AS INT) AS bec_n2_code, CAST(floor(i / 10.0) AS INT) AS bec_n1_code
 FROM (SELECT DISTINCT p_size % 19 AS i FROM part) AS b"""),
-    "cuci_lookup": ((), """
-SELECT DISTINCT 'Q' || CAST(p_size AS VARCHAR) AS co_cuci_item, 'item ' || CAST(p_size AS VARCHAR) AS no_cuci_item,
-  'grupo ' || CAST(CAST(floor(p_size / 5.0) AS INT) AS VARCHAR) AS no_cuci_grupo
-FROM part"""),
     "unit_raw": ((), f"""
 SELECT CAST(p_partkey AS INT) AS co_unid, CASE p_size % 16 {_UNIT_CASE} END AS no_unid,
   '  ' || replace(p_brand, '#', '   ') || ' ' AS sg_unid
