@@ -62,7 +62,7 @@ def main():
     t0 = time.time()
     landing = f"{work}/landing"
     for flow in ("export", "import"):
-        write_raw_files(fx.raw_files(flow, coarse=False), landing, flow)
+        write_raw_files(fx.raw_files(flow, coarse=False, layout="published"), landing, flow)
     lk = f"{work}/lookups"
     save_lookup(fx.product_lookup(), lk, "product")
     save_lookup(fx.isic_lookup(), lk, "isic")

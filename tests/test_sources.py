@@ -169,3 +169,19 @@ def test_header_probe_is_bounded(spark, tmp_dir):
     assert got[f"{tmp_dir}/EXP_2023.csv"] == EXP_HEADER
     with pytest.raises(ValueError, match="EXP_2024.csv: not a raw export file"):
         read_raw(spark, tmp_dir, "export")
+
+
+def test_mixed_layout_landing_reads_like_plain(spark, tmp_dir):
+    from conftest import SF0001
+    from tradeflow.fixtures import Fixtures
+    from tradeflow.sources.raw import group_by_header, list_files, write_raw_files
+
+    fx = Fixtures(spark, SF0001)
+    mixed, plain = tmp_dir + "/mixed", tmp_dir + "/plain"
+    write_raw_files(fx.raw_files("import", layout="legacy").where("CO_ANO < 1998"), mixed, "import")
+    write_raw_files(fx.raw_files("import", layout="published").where("CO_ANO >= 1998"), mixed, "import")
+    write_raw_files(fx.raw_files("import"), plain, "import")
+    assert len(group_by_header(spark, list_files(spark, mixed))) == 2
+    a, b = read_raw(spark, mixed, "import"), read_raw(spark, plain, "import")
+    assert a.columns == b.columns
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -46,15 +46,21 @@ RAW_SQL = {
 RAW_SQL["import"] = RAW_SQL["export"] + ", freight AS VL_FRETE, insurance AS VL_SEGURO"
 
 
-def _landing(spark, d, flows=("export", "import"), years_out=None):
-    """Raw files of both flows written from the fixture rows; returns the landing folder."""
+def _landing(spark, d, flows=("export", "import"), mixed: bool = True):
+    """Raw files written from the fixture rows; returns the landing folder.
+
+    With ``mixed`` the files before 1998 have a legacy column order and the
+    later ones the published order with extra columns, so a load reads two
+    header layouts and must pick columns by name.
+    """
     fx = Fixtures(spark, d)
     landing = scratch_dir(spark, "landing")
     for flow in flows:
-        rows = fx.raw_files(flow)
-        if years_out and flow in years_out:
-            rows = rows.where(~F.col("CO_ANO").isin(years_out[flow]))
-        write_raw_files(rows, landing, flow)
+        if mixed:
+            write_raw_files(fx.raw_files(flow, layout="legacy").where("CO_ANO < 1998"), landing, flow)
+            write_raw_files(fx.raw_files(flow, layout="published").where("CO_ANO >= 1998"), landing, flow)
+        else:
+            write_raw_files(fx.raw_files(flow), landing, flow)
     return landing
 
 
@@ -69,7 +75,7 @@ for _flow in ("import", "export"):
 
 @register("read_raw_shared_layout", with_views(f"SELECT {RAW_SQL['import']} FROM raw_coarse", "raw_coarse"))
 def q_read_raw_shared(spark, d):
-    return read_raw(spark, _landing(spark, d, ("import",)), "import", layout="shared")
+    return read_raw(spark, _landing(spark, d, ("import",), mixed=False), "import", layout="shared")
 
 
 @register(

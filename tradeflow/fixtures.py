@@ -81,17 +81,32 @@ class Fixtures:
         r = self.raw()
         return r.withColumn("ncm", _s(r.ncm.cast("int") % 10))
 
-    def raw_files(self, flow: str, coarse: bool = True) -> DataFrame:
-        """The raw rows with the published header names, as found in the yearly files."""
+    def raw_files(self, flow: str, coarse: bool = True, layout: str = "plain") -> DataFrame:
+        """The raw rows with the published header names, as found in the yearly files.
+
+        ``layout='plain'``: just the columns the load needs.  ``'published'``: the
+        portal's order with extra columns (unit, transport mode, customs office)
+        interleaved.  ``'legacy'``: another order, as older files have.
+        """
         r = self.raw_coarse() if coarse else self.raw()
-        cols = [
-            F.col("year").alias("CO_ANO"), F.col("month").alias("CO_MES"), F.col("ncm").alias("CO_NCM"),
-            F.col("state").alias("SG_UF_NCM"), F.col("country_code").alias("CO_PAIS"),
-            F.col("kg").alias("KG_LIQUIDO"), F.col("qty").alias("QT_ESTAT"), F.col("fob_value").alias("VL_FOB"),
-        ]
+        c = {
+            "CO_ANO": F.col("year"), "CO_MES": F.col("month"), "CO_NCM": F.col("ncm"),
+            "SG_UF_NCM": F.col("state"), "CO_PAIS": F.col("country_code"), "KG_LIQUIDO": F.col("kg"),
+            "QT_ESTAT": F.col("qty"), "VL_FOB": F.col("fob_value"), "VL_FRETE": F.col("freight"),
+            "VL_SEGURO": F.col("insurance"),
+            "CO_UNID": F.col("qty") + 10, "CO_VIA": F.col("kg") % 9, "CO_URF": F.col("fob_value") % 1000,
+        }
+        orders = {
+            "plain": ["CO_ANO", "CO_MES", "CO_NCM", "SG_UF_NCM", "CO_PAIS", "KG_LIQUIDO", "QT_ESTAT", "VL_FOB"],
+            "published": ["CO_ANO", "CO_MES", "CO_NCM", "CO_UNID", "CO_PAIS", "SG_UF_NCM", "CO_VIA", "CO_URF",
+                          "QT_ESTAT", "KG_LIQUIDO", "VL_FOB"],
+            "legacy": ["CO_MES", "CO_ANO", "CO_PAIS", "CO_NCM", "VL_FOB", "SG_UF_NCM", "KG_LIQUIDO", "QT_ESTAT",
+                       "CO_UNID"],
+        }
+        names = list(orders[layout])
         if flow == "import":
-            cols += [F.col("freight").alias("VL_FRETE"), F.col("insurance").alias("VL_SEGURO")]
-        return r.select(*cols)
+            names += ["VL_FRETE", "VL_SEGURO"] if layout != "legacy" else ["VL_SEGURO", "VL_FRETE"]
+        return r.select(*[c[n].alias(n) for n in names])
 
     # ------------------------------------------------------------------ expected stores
     def _normalised(self, r: DataFrame, with_cif: bool) -> DataFrame:
