@@ -1,7 +1,6 @@
 """Normalisation to the store grain (D6, D8, D11) and conform."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tradeflow.operators.normalise import conform, normalise_exports, normalise_imports
 from tradeflow.schemas import EXPORT_SCHEMA, IMPORT_SCHEMA

@@ -8,7 +8,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF0001, SF001
+from conftest import SF001
 from oracle_harness import compare, duck
 
 NAMES = sorted(E.queries())
