@@ -51,3 +51,14 @@ def test_sentence_case_and_squish(spark):
 def test_period(spark):
     df = spark.createDataFrame([(2024, 3), (1997, 12)], "y int, m int")
     assert [r[0] for r in df.select(period("y", "m")).collect()] == ["2024-03", "1997-12"]
+
+
+def test_strict_sums_shared_mask(spark):
+    from tradeflow.functions import strict_sums
+
+    df = spark.createDataFrame(
+        [("a", 1, 10), ("a", None, 20), ("b", 2, None), ("b", 3, 4), ("c", None, None)], "k string, x bigint, y bigint")
+    aggs, finals = strict_sums(["x", "y"])
+    got = {r.k: (r.x, r.y) for r in df.groupBy("k").agg(*aggs).select("k", finals["x"].alias("x"),
+                                                                        finals["y"].alias("y")).collect()}
+    assert got == {"a": (None, 30), "b": (5, None), "c": (None, None)}

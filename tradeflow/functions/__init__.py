@@ -6,6 +6,7 @@ from tradeflow.functions.columns import (
     sentence_case,
     squish,
     strict_sum,
+    strict_sums,
 )
 
 __all__ = [
@@ -16,4 +17,5 @@ __all__ = [
     "sentence_case",
     "squish",
     "strict_sum",
+    "strict_sums",
 ]

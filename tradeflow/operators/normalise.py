@@ -1,7 +1,8 @@
 """From raw customs rows to the store grain.
 
 One wide step: a hash aggregate on the five grain keys (partial aggregation on
-the map side, final after the exchange).  Product codes are padded before the
+the map side, final after the exchange).  The strict sums share one null
+bitmask, so each partial row carries n + 1 aggregate values, not 2n + 1.  Product codes are padded before the
 grouping, so '01012100' and '1012100' are one product.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.functions import exact_integer, exact_long, pad_code, strict_sum
+from tradeflow.functions import exact_integer, exact_long, pad_code, strict_sums
 from tradeflow.schemas import GRAIN, RAW_RENAMES, store_schema
 from tradeflow.sources.names import clean_column_names, rename_known_columns
 
@@ -38,7 +39,9 @@ def _aggregate(raw: DataFrame, measures: list[str]) -> DataFrame:
         F.col("country_code").cast("int").alias("country_code"),
         *[exact_long(F.col(m), m, types[m]).alias(m) for m in measures],
     )
-    return keyed.groupBy(*GRAIN).agg(*[strict_sum(m).alias(m) for m in measures])
+    aggs, finals = strict_sums(measures)
+    g = keyed.groupBy(*GRAIN).agg(*aggs)
+    return g.select(*GRAIN, *[finals[m].alias(m) for m in measures])
 
 
 def normalise_exports(raw: DataFrame) -> DataFrame:
