@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tradeflow.functions import strict_sum
+from tradeflow.functions import strict_sums
 
 
 def total_by(store: DataFrame, *keys: str, measure: str = "fob_value", name: str = "value") -> DataFrame:
@@ -12,7 +12,8 @@ def total_by(store: DataFrame, *keys: str, measure: str = "fob_value", name: str
     missing = [c for c in (*keys, measure) if c not in store.columns]
     if missing:
         raise ValueError(f"missing column(s) {missing}")
-    return store.groupBy(*keys).agg(strict_sum(measure).alias(name))
+    aggs, finals = strict_sums([measure])
+    return store.groupBy(*keys).agg(*aggs).select(*keys, finals[measure].alias(name))
 
 
 def total_by_year(store: DataFrame) -> DataFrame:

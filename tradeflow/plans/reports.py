@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tradeflow.functions import strict_sum
+from tradeflow.functions import strict_sums
 from tradeflow.operators.enrich import add_country_name, add_isic_description, filter_states
 
 
@@ -21,11 +21,9 @@ def imports_by_section(
 ) -> DataFrame:
     section = add_isic_description(filter_states(imports), product, isic, lang=lang, level="section")
     section_col = [c for c in section.columns if c.startswith("isic_section_desc")][0]
-    totals = section.groupBy("year", "state", section_col, "country_code").agg(
-        strict_sum("fob_value").alias("fob_value"),
-        strict_sum("cif_value").alias("cif_value"),
-        strict_sum("kg").alias("kg"),
-    )
+    aggs, finals = strict_sums(["fob_value", "cif_value", "kg"])
+    keys = ["year", "state", section_col, "country_code"]
+    totals = section.groupBy(*keys).agg(*aggs).select(*keys, *[finals[m].alias(m) for m in ("fob_value", "cif_value", "kg")])
     named = add_country_name(totals, country, lang=lang)
     name_col = [c for c in named.columns if c.startswith("country_name")][0]
     return named.select("year", "state", section_col, name_col, "fob_value", "cif_value", "kg")
