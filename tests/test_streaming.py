@@ -36,3 +36,21 @@ def test_ingest_new_files_then_late_part(spark, tmp_dir):
     before = store.count()
     run_ingest_once(spark, landing, base, ckpt)
     assert open_store(spark, flow_path(base, "import"), "import").count() == before
+
+
+def test_one_file_per_batch_reloads_whole_years(spark, tmp_dir):
+    from tradeflow.streaming.landing import start_ingest
+
+    fx = Fixtures(spark, SF0001)
+    raw = fx.raw_files("import").where("CO_ANO IN (1996, 1997)")
+    landing, base, ckpt = tmp_dir + "/landing", tmp_dir + "/store", tmp_dir + "/ckpt"
+    # each year in two parts, in two folders: four files, four micro-batches
+    write_raw_files(raw.where("CO_MES <= 6"), landing + "/a", "import")
+    write_raw_files(raw.where("CO_MES > 6"), landing + "/b", "import")
+    q = start_ingest(spark, landing, base, ckpt, max_files=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert len(q.recentProgress) >= 4
+    store = open_store(spark, flow_path(base, "import"), "import")
+    expected = fx.imports().where("year IN (1996, 1997)")
+    assert store.exceptAll(expected).count() == 0 and expected.exceptAll(store).count() == 0
