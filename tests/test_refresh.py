@@ -113,3 +113,12 @@ def test_update_store_end_to_end(spark, tmp_dir):
     e, i = _open(spark, base)
     assert e.exceptAll(fx.exports().where("year >= 1997")).count() == 0
     assert fx.imports().where("year >= 1997").exceptAll(i).count() == 0
+
+
+def test_bad_official_period_raises(spark, stores):
+    e, i = _open(spark, stores)
+    with pytest.raises(ValueError, match="yyyy-mm"):
+        refresh_plan(e, i, "2001-13", 2001)
+    feed = spark.createDataFrame([(1, '{"error": "unavailable"}')], "id int, payload string")
+    with pytest.raises(Exception, match="official period missing"):
+        refresh_plan(e, i, official_period(feed), 2001).collect()

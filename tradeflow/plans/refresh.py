@@ -23,6 +23,7 @@ Rules (a year plan for both flows):
 from __future__ import annotations
 
 import datetime
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +74,19 @@ def is_current(store: DataFrame, official: DataFrame) -> DataFrame:
     return official.select("*", local.alias("local_period"), (F.col("period") == local).alias("is_current"))
 
 
+_PERIOD_PATTERN = "^[0-9]{4}-(0[1-9]|1[0-2])$"
+
+
 def _as_period_column(spark: SparkSession, official: str | DataFrame) -> Column:
+    """The official period as a column; a missing or malformed period raises (it would
+    otherwise make every year look out of date)."""
     if isinstance(official, str):
+        if not re.match(_PERIOD_PATTERN, official):
+            raise ValueError(f"official period must be 'yyyy-mm', got {official!r}")
         return F.lit(official)
-    return official.agg(F.max("period")).scalar()
+    p = official.agg(F.max("period")).scalar()
+    bad = F.raise_error(F.lit("official period missing or not 'yyyy-mm'"))
+    return F.when(p.rlike(_PERIOD_PATTERN), p).otherwise(bad.cast("string"))
 
 
 def year_summary(exports: DataFrame, imports: DataFrame) -> DataFrame:
