@@ -1,5 +1,6 @@
 """Store writes and reads (D12, D13), and a CSV -> store round trip."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -76,3 +77,14 @@ def test_compact_and_direct_writes_hold_the_same_rows(spark, tmp_dir):
     b = open_store(spark, flow_path(tmp_dir + "/b", "import"), "import")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.exceptAll(fx.imports()).count() == 0
+
+
+def test_stray_year_in_a_file_is_refused(spark, tmp_dir):
+    import os
+
+    os.makedirs(tmp_dir + "/raw")
+    header = "CO_ANO;CO_MES;CO_NCM;SG_UF_NCM;CO_PAIS;KG_LIQUIDO;QT_ESTAT;VL_FOB\n"
+    with open(tmp_dir + "/raw/EXP_2024.csv", "w") as f:
+        f.write(header + "2024;1;1;SP;20;1;1;10\n2023;5;1;SP;20;1;1;10\n")
+    with pytest.raises(Exception, match="row of year 2023 in file EXP_2024.csv"):
+        create_store(spark, tmp_dir + "/raw", tmp_dir + "/db", flows=("export",))

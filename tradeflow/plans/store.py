@@ -14,10 +14,11 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeflow.operators.normalise import conform, normalise
 from tradeflow.schemas import FLOWS, GRAIN, store_schema
-from tradeflow.sources.raw import list_files, read_raw, select_files
+from tradeflow.sources.raw import file_name, list_files, read_raw, route_of, select_files
 
 
 def flow_path(base: str, flow: str) -> str:
@@ -67,16 +68,37 @@ def load_flow(
     years=None,
     layout: str = "auto",
     compact: bool = True,
+    check_file_year: bool = True,
 ) -> list[str]:
     """Ingest the raw files of one flow (chosen by file name) into the store; returns the files read."""
     files = select_files(list_files(spark, raw_paths), flow, start_year, years)
     if not files:
         return []
-    rows = read_raw(spark, files, flow, layout=layout)
+    rows = read_raw(spark, files, flow, layout=layout, keep_file=check_file_year)
+    if check_file_year:
+        rows = _rows_match_file_year(rows, files)
     write_store(normalise(rows, flow), flow_path(base, flow), flow, compact=compact)
     return files
 
 
+def _rows_match_file_year(rows: DataFrame, files: list[str]) -> DataFrame:
+    """Raise on a row whose year differs from the year in its file's name.
+
+    A year is replaced as a whole, so one stray row of 2023 in ``IMP_2024.csv``
+    would otherwise replace the stored 2023 with that single row.  The file years
+    are known from the file names already, so the check is a lookup in a small
+    literal map plus a comparison per row, inside the scan (no extra pass).
+    """
+    pairs = [(file_name(f), route_of(f)[1]) for f in files]
+    years = F.create_map(*[x for name, year in pairs if year is not None for x in (F.lit(name), F.lit(year))])
+    expected = F.element_at(years, F.col("source_file")) if any(y is not None for _, y in pairs) else F.lit(None)
+    ok = expected.isNull() | F.col("CO_ANO").isNull() | (F.col("CO_ANO") == expected)
+    bad = F.raise_error(
+        F.format_string("row of year %s in file %s: a file may only hold its own year", F.col("CO_ANO"), F.col("source_file"))
+    )
+    return rows.where(F.when(ok, F.lit(True)).otherwise(bad.cast("boolean"))).drop("source_file")
+
+
 def create_store(
     spark: SparkSession,
     raw_paths,
