@@ -89,9 +89,10 @@ def _rows_match_file_year(rows: DataFrame, files: list[str]) -> DataFrame:
     are known from the file names already, so the check is a lookup in a small
     literal map plus a comparison per row, inside the scan (no extra pass).
     """
-    pairs = [(file_name(f), route_of(f)[1]) for f in files]
-    years = F.create_map(*[x for name, year in pairs if year is not None for x in (F.lit(name), F.lit(year))])
-    expected = F.element_at(years, F.col("source_file")) if any(y is not None for _, y in pairs) else F.lit(None)
+    by_name = {file_name(f): route_of(f)[1] for f in files}  # one name, one year (the year comes from the name)
+    pairs = [(n, y) for n, y in sorted(by_name.items()) if y is not None]
+    years = F.create_map(*[x for name, year in pairs for x in (F.lit(name), F.lit(year))])
+    expected = F.element_at(years, F.col("source_file")) if pairs else F.lit(None)
     ok = expected.isNull() | F.col("CO_ANO").isNull() | (F.col("CO_ANO") == expected)
     bad = F.raise_error(
         F.format_string("row of year %s in file %s: a file may only hold its own year", F.col("CO_ANO"), F.col("source_file"))
