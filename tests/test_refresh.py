@@ -110,6 +110,8 @@ def test_update_store_end_to_end(spark, tmp_dir):
     assert r1["status"] == "updated" and r1["years"] == [1997, 1998, 2001]
     r2 = update_store(spark, landing, base, "2001-11", 2001)
     assert r2["status"] == "current" and r2["years"] == []
+    r3 = update_store(spark, landing, base, "2002-02", 2002)  # 2002 is planned, but no file has come yet
+    assert r3["years"] == [2001, 2002] and r3["missing_files"] == {"export": [2002], "import": [2002]}
     e, i = _open(spark, base)
     assert e.exceptAll(fx.exports().where("year >= 1997")).count() == 0
     assert fx.imports().where("year >= 1997").exceptAll(i).count() == 0

@@ -32,6 +32,7 @@ from tradeflow.functions import pad_code, period
 from tradeflow.plans.store import create_store, flow_path, open_store
 from tradeflow.schemas import FIRST_DATA_YEAR
 from tradeflow.session import checkpoint_root
+from tradeflow.sources.raw import route_of
 
 FEED_SCHEMA = "data struct<year:string, monthNumber:string>"
 
@@ -169,7 +170,8 @@ def update_store(
     """Load the planned years of both flows from ``raw_paths``; nothing when the store is current.
 
     A missing or unreadable store raises.  Re-running is harmless: each
-    planned year is replaced as a whole.
+    planned year is replaced as a whole.  Planned years without a raw file
+    are listed under ``missing_files`` (per flow) and left as they are.
     """
     try:
         exports = open_store(spark, flow_path(base, "export"), "export")
@@ -184,4 +186,12 @@ def update_store(
     if not years:
         return {"status": "current", "years": [], "files": {}}
     files = create_store(spark, raw_paths, base, years=years, layout=layout)
-    return {"status": "updated", "years": years, "reasons": {r.year: r.reason for r in rows}, "files": files}
+    loaded = {flow: {route_of(f)[1] for f in fs} for flow, fs in files.items()}
+    missing = {flow: [y for y in years if y not in loaded.get(flow, set())] for flow in ("export", "import")}
+    return {
+        "status": "updated",
+        "years": years,
+        "reasons": {r.year: r.reason for r in rows},
+        "files": files,
+        "missing_files": {flow: ys for flow, ys in missing.items() if ys},
+    }
