@@ -132,15 +132,25 @@ def refresh_plan(
     e = flow("export").select("year")
     i = flow("import").select("year")
     both = e.intersect(i)
-    stats = summary.groupBy("flow").agg(
-        F.min("year").alias("lo"),
-        F.max("year").alias("hi"),
-        _key_period(F.max(_period_key("year", "last_month"))).alias("last_period"),
-    )
-    lo = stats.agg(F.min("lo")).scalar()  # the earlier first year of the two flows
-    last_local = stats.agg(F.min("hi")).scalar()  # the earlier last year of the two flows (D14)
-    exp_current = stats.where(F.col("flow") == "export").select("last_period").scalar() == off
-    imp_current = stats.where(F.col("flow") == "import").select("last_period").scalar() == off
+
+    def per_flow(name: str, c: Column) -> Column:
+        return F.when(F.col("flow") == name, c)
+
+    # All parameters in one aggregate over the summary, read as one struct-valued
+    # scalar subquery (Spark runs it once however many fields are used).
+    params = summary.agg(
+        F.struct(
+            F.min("year").alias("lo"),  # the earlier first year of the two flows
+            F.least(F.max(per_flow("export", F.col("year"))), F.max(per_flow("import", F.col("year")))).alias(
+                "last_local"  # the earlier last year of the two flows (D14)
+            ),
+            _key_period(F.max(per_flow("export", _period_key("year", "last_month")))).alias("exp_last"),
+            _key_period(F.max(per_flow("import", _period_key("year", "last_month")))).alias("imp_last"),
+        ).alias("p")
+    ).scalar()
+    lo, last_local = params["lo"], params["last_local"]
+    exp_current = params["exp_last"] == off
+    imp_current = params["imp_last"] == off
 
     start = F.greatest(F.lit(start_year).cast("int") if start_year is not None else lo, F.lit(first_year))
     stop = F.least(F.lit(int(current_year)), off_year)
