@@ -111,6 +111,11 @@ def add_isic_description(
     """ISIC description(s) of each product: ncm -> isic_class_code -> level column(s).
 
     ``level='all'`` adds class, group, division and section, in that order.
+
+    The two joins stay chained; pre-joining product and ISIC into one lookup would
+    save a hash probe per row but change results.  With null-safe matching, a trade
+    row whose product is unknown gets a null class and so the ISIC null-key row, as
+    in the reference; a pre-joined lookup would leave it without descriptions.
     """
     names = isic_columns(lang, level)
     _require(df, "ncm")
