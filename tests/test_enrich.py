@@ -127,11 +127,12 @@ def test_isic_levels(spark, product):
          (None, "ncpt", "nc", "nces", None, "ngpt", "ng", "nges", None, "ndpt", "nd", "ndes", None, "nspt", "ns", "nses")],
         ", ".join(cols),
     )
-    df = spark.createDataFrame([("00000001", 7), ("00000002", 8)], "ncm string, v int")
+    df = spark.createDataFrame([("00000001", 7), ("00000002", 8), ("99999999", 9)], "ncm string, v int")
     all_ = add_isic_description(df, product, isic, level="all")
     assert all_.columns == ["ncm", "v", "isic_class_desc", "isic_group_desc", "isic_division_desc", "isic_section_desc"]
     got = {r.v: r.isic_section_desc for r in all_.collect()}
-    assert got == {7: "sA", 8: "ns"}  # null class key finds the null-key row
+    # a null class, and an unknown product (null class after the first join), find the null-key row
+    assert got == {7: "sA", 8: "ns", 9: "ns"}
     pt = add_isic_description(df, product, isic, lang="pt", level="group", drop_key=False)
     assert pt.columns == ["ncm", "v", "isic_class_code", "isic_group_desc_pt"]
     with pytest.raises(ValueError):
