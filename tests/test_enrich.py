@@ -150,3 +150,21 @@ def test_row_count_kept(spark, product, country):
     out = add_isic_description(add_units(imp, fx.product_lookup(), fx.unit_lookup()), fx.product_lookup(), fx.isic_lookup(), level="all")
     assert out.count() == n
     assert out.agg({"fob_value": "sum"}).first()[0] == imp.agg({"fob_value": "sum"}).first()[0]
+
+
+def test_lookup_beyond_the_bound_is_not_broadcast(spark, country, monkeypatch):
+    import tradeflow.operators.enrich as enrich
+
+    monkeypatch.setattr(enrich, "MAX_BROADCAST_ROWS", 1)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("CAST(id % 30 AS INT) AS country_code", "id AS v")
+        fresh = country.select("*")  # a new frame, so its row count is taken again
+        out = enrich.add_country_name(df, fresh, drop_key=False)
+        plan = plan_text(out)
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("\n\n\n")[0]
+        assert out.count() == 100
+        assert {r.country_code: r.country_name for r in out.collect()}[20] == "Bahamas"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
