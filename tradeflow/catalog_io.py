@@ -21,7 +21,7 @@ from tradeflow.plans.refresh import (
     update_store,
 )
 from tradeflow.plans.store import create_store, flow_path, open_store, write_store
-from tradeflow.schemas import LOOKUP_RENAMES, RAW_RENAMES, UNIT_TRANSLATIONS
+from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_RENAMES, RAW_RENAMES, UNIT_TRANSLATIONS
 from tradeflow.session import scratch_dir
 from tradeflow.sources.links import discover_files
 from tradeflow.sources.lookups import (
@@ -423,3 +423,36 @@ def q_store_total_imports_by_year_month(spark, d):
 
     base = _created_store(spark, d)
     return total_by_year_month(open_store(spark, flow_path(base, "import"), "import"))
+
+
+# ---------------------------------------------------------------- more CSV chains and store queries
+@register("read_lookup_product", PRODUCT_ALL_SQL)
+def q_read_lookup_product(spark, d):
+    path = _csv(Fixtures(spark, d).published_product(), scratch_dir(spark, "lookup-csv"))
+    return build_product_lookup(read_lookup(spark, path))
+
+
+@register(
+    "read_lookup_unit",
+    with_views(
+        f"SELECT CAST(co_unid AS INT) AS unit_code, {_SENTENCE} AS unit_description_pt, "
+        r"trim(regexp_replace(sg_unid, '\s+', ' ', 'g')) AS sg_unid, "
+        f"CASE {_SENTENCE} {_TRANSLATE} END AS unit_description FROM unit_raw",
+        "unit_raw",
+    ),
+)
+def q_read_lookup_unit(spark, d):
+    path = _csv(Fixtures(spark, d).published_unit(), scratch_dir(spark, "lookup-csv"))
+    return build_unit_lookup(read_lookup(spark, path))
+
+
+@register(
+    "store_filter_states",
+    with_views(f"SELECT {IMP} FROM imports WHERE state IN ({', '.join(repr(s) for s in BRAZILIAN_STATES)})",
+               "imports"),
+)
+def q_store_filter_states(spark, d):
+    from tradeflow.operators.enrich import filter_states
+
+    base = _store(spark, d)
+    return filter_states(open_store(spark, flow_path(base, "import"), "import"))
