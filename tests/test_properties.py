@@ -95,3 +95,47 @@ def test_create_again_keeps_older_years(spark, tmp_dir):
     create_store(spark, land, base, start_year=2000, flows=("export",))  # D24: older years stay
     years = sorted(r.year for r in open_store(spark, flow_path(base, "export"), "export").select("year").distinct().collect())
     assert years == list(range(1995, 2002))
+
+
+def _plan_model(exp, imp, official, current, start):
+    """SURVEY §3.2 with our decisions, in plain Python.  exp/imp: {year: last_month}."""
+    off_year = int(official[:4])
+    e, i = set(exp), set(imp)
+    lo = min(e | i) if e | i else None
+    s = max(start if start is not None else (lo if lo is not None else 1997), 1997)
+    stop = min(current, off_year)
+    desired = set(range(s, stop + 1))
+    last_local = min(x for x in (max(e) if e else None, max(i) if i else None) if x is not None) if e | i else None
+    both = e & i
+    kept = {y for y in both if last_local is None or not (last_local <= y <= off_year)}
+    download = desired - kept
+
+    def last(d):
+        if not d:
+            return None
+        y = max(d)
+        return f"{y:04d}-{d[y]:02d}"
+
+    current_ok = last(exp) == official and last(imp) == official
+    other = any(y != off_year for y in download)
+    if current_ok and not other:
+        return []
+    return sorted((y, "refresh" if y in both else "missing") for y in download)
+
+
+years_months = st.dictionaries(st.integers(1995, 2003), st.integers(1, 12), max_size=6)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(years_months, years_months, st.integers(1996, 2004), st.integers(1, 12), st.integers(1998, 2006),
+       st.one_of(st.none(), st.integers(1990, 2003)))
+def test_refresh_plan_matches_model(spark, exp, imp, off_y, off_m, current, start):
+    from tradeflow.plans.refresh import refresh_plan
+
+    def store(d):
+        return spark.createDataFrame([(y, m) for y, m in d.items()] or [(0, 0)], "year int, month int").where(
+            "year > 0" if d else "false")
+
+    official = f"{off_y:04d}-{off_m:02d}"
+    got = sorted(tuple(r) for r in refresh_plan(store(exp), store(imp), official, current, start).collect())
+    assert got == _plan_model(exp, imp, official, current, start)
