@@ -214,15 +214,17 @@ for _lang in ("en", "pt", "es"):
 
 
 # ---------------------------------------------------------------- flagship
-def _flagship_sql(suffix: str = "") -> str:
+def _flagship_sql(suffix: str = "", source: str = "imports_fine") -> str:
     sec, name = f"isic_section_desc{suffix}", f"country_name{suffix}"
+    ms = ["fob_value", "cif_value", "kg"] if source == "imports_fine" else ["fob_value", "kg"]
+    outer = ", ".join(f"f.{m}" for m in ms)
+    sums = ", ".join(_sum(f"a.{m}", m) for m in ms)
     return with_views(
         f"""
-SELECT f.year, f.state, f.{sec}, c.{name}, f.fob_value, f.cif_value, f.kg
+SELECT f.year, f.state, f.{sec}, c.{name}, {outer}
 FROM (
-  SELECT a.year, a.state, i.{sec}, a.country_code,
-    {_sum('a.fob_value', 'fob_value')}, {_sum('a.cif_value', 'cif_value')}, {_sum('a.kg', 'kg')}
-  FROM imports_fine a
+  SELECT a.year, a.state, i.{sec}, a.country_code, {sums}
+  FROM {source} a
   LEFT JOIN (SELECT ncm AS k, isic_class_code FROM product_lookup) p ON a.ncm IS NOT DISTINCT FROM p.k
   LEFT JOIN (SELECT isic_class_code AS ik, {sec} FROM isic_lookup) i
     ON p.isic_class_code IS NOT DISTINCT FROM i.ik
@@ -231,7 +233,7 @@ FROM (
 ) f
 LEFT JOIN country_lookup c ON f.country_code IS NOT DISTINCT FROM c.country_code
 """,
-        "imports_fine", "product_lookup", "isic_lookup", "country_lookup",
+        source, "product_lookup", "isic_lookup", "country_lookup",
     )
 
 
@@ -263,3 +265,12 @@ def flagship_pt(spark: SparkSession, d: str) -> DataFrame:
 
 # Queries over files (raw CSV, lookups, store, refresh) register themselves on import.
 import tradeflow.catalog_io  # noqa: E402,F401
+
+
+@register("flagship_exports_by_section", _flagship_sql(source="exports_fine"))
+def flagship_exports(spark: SparkSession, d: str) -> DataFrame:
+    from tradeflow.plans.reports import trade_by_section
+
+    fx = Fixtures(spark, d)
+    exports = normalise_exports(fx.raw().drop("freight", "insurance"))
+    return trade_by_section(exports, fx.product_lookup(), fx.isic_lookup(), fx.country_lookup())

@@ -63,6 +63,7 @@ FROM raw"""),
     "exports": (("raw_coarse",), _normalised("raw_coarse", cif=False)),
     "imports": (("raw_coarse",), _normalised("raw_coarse", cif=True)),
     "imports_fine": (("raw",), _normalised("raw", cif=True)),
+    "exports_fine": (("raw",), _normalised("raw", cif=False)),
     "country_lookup": ((), """
 SELECT CAST(n_nationkey AS INT) AS country_code, lpad(CAST(n_nationkey AS VARCHAR),3,'0') AS country_code_ison3,
   'N' || lpad(CAST(n_nationkey AS VARCHAR),2,'0') AS country_code_isoa3, 'pt ' || n_name AS country_name_pt,
