@@ -58,3 +58,17 @@ def test_cli_create_update_totals(spark, tmp_dir):
     assert out["status"] == "current"
     out = main(["totals", "--dest", dest, "--flow", "import", "--by", "year"], spark=spark)
     assert [r["year"] for r in out["rows"]] == list(range(1995, 2002))
+
+
+def test_cli_build_lookups(spark, tmp_dir):
+    from tradeflow.cli import main
+
+    fx = Fixtures(spark, SF0001)
+    args = ["build-lookups", "--dest", tmp_dir + "/db"]
+    for name, df in (("country", fx.published_country()), ("unit", fx.published_unit())):
+        path = f"{tmp_dir}/published/{name}"
+        df.write.options(sep=";", header="true", encoding="ISO-8859-1").csv(path)
+        args += ["--source", f"{name}={path}"]
+    out = main(args, spark=spark)
+    assert set(out["saved"]) == {"country", "unit"}
+    assert TradeDB(spark, tmp_dir + "/db").lookup("unit").count() == fx.table("part").count()
