@@ -37,8 +37,11 @@ BINARY_FILE_SCHEMA = T.StructType(
 )
 
 
-def new_files(spark: SparkSession, landing: str, glob: str = "*.csv", max_files: int | None = None) -> DataFrame:
-    """Streaming frame of files arriving in ``landing``: path, modificationTime, length."""
+def new_files(spark: SparkSession, landing: str, glob: str = "*.csv*", max_files: int | None = None) -> DataFrame:
+    """Streaming frame of files arriving in ``landing``: path, modificationTime, length.
+
+    The default glob also takes compressed raw files (``EXP_2024.csv.gz``).
+    """
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
