@@ -49,16 +49,16 @@ def main(sf_dir: str) -> None:
     from tradeflow.operators.summaries import total_by_year
     from tradeflow.plans.refresh import latest_period
     from tradeflow.plans.reports import imports_by_section
-    from tradeflow.plans.store import flow_path, open_store, write_store
+    from tradeflow.plans.store import _rows_match_file_year, flow_path, open_store, write_store
     from tradeflow.schemas import GRAIN
     from tradeflow.session import local_session, scratch_dir
     from tradeflow.sources.lookups import load_lookup, save_lookup
-    from tradeflow.sources.raw import read_raw, write_raw_files
+    from tradeflow.sources.raw import list_files, read_raw, write_raw_files
 
     spark = local_session()
     fx = Fixtures(spark, sf_dir)
     landing = scratch_dir(spark, "plans-landing")
-    write_raw_files(fx.raw_files("import", coarse=False), landing, "import")
+    write_raw_files(fx.raw_files("import", coarse=False, layout="published"), landing, "import")
     base = scratch_dir(spark, "plans-store")
     write_store(fx.imports_fine(), flow_path(base, "import"), "import")
     lk = scratch_dir(spark, "plans-lookups")
@@ -67,10 +67,12 @@ def main(sf_dir: str) -> None:
     imports = open_store(spark, flow_path(base, "import"), "import")
     product, isic, country = (load_lookup(spark, lk, n) for n in ("product", "isic", "country"))
 
-    load = conform(normalise(read_raw(spark, landing, "import"), "import"), "import")
+    files = list_files(spark, landing)
+    rows = _rows_match_file_year(read_raw(spark, files, "import", keep_file=True), files)  # as load_flow does
+    load = conform(normalise(rows, "import"), "import")
     load = load.hint("rebalance", "year").sortWithinPartitions(*GRAIN)
     cases = [
-        ("Load: raw CSV -> grain aggregate -> year rebalance -> sorted write (create_store)", load),
+        ("Load: raw CSV (published layout) -> file-year check -> grain aggregate -> year rebalance -> sorted write (create_store)", load),
         ("total_by_year over the store", total_by_year(imports)),
         ("Year and state filter over the store", imports.where("year = 1998 AND state = 'SP'").select("ncm", "fob_value")),
         ("add_isic_description(level='all')", add_isic_description(imports, product, isic, level="all")),
