@@ -56,6 +56,11 @@ def test_cli_create_update_totals(spark, tmp_dir):
     assert out["files"] == {"export": 7, "import": 7}
     out = main(["update", "--raw", raw, "--dest", dest, "--official", "2001-11", "--current-year", "2001"], spark=spark)
     assert out["status"] == "current"
+    with open(tmp_dir + "/updated.json", "w") as f:
+        f.write('{"data": {"year": "2001", "monthNumber": "11"}}')
+    out = main(["update", "--raw", raw, "--dest", dest, "--official", tmp_dir + "/updated.json",
+                "--current-year", "2001"], spark=spark)
+    assert out["status"] == "current"
     out = main(["totals", "--dest", dest, "--flow", "import", "--by", "year"], spark=spark)
     assert [r["year"] for r in out["rows"]] == list(range(1995, 2002))
 

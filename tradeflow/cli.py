@@ -2,6 +2,7 @@
 
     spark-submit ... -m tradeflow create  --raw s3://b/raw/ --dest s3://b/trade --start-year 2015
     spark-submit ... -m tradeflow update  --raw s3://b/raw/ --dest s3://b/trade --official 2025-06
+    spark-submit ... -m tradeflow update  --raw s3://b/raw/ --dest s3://b/trade --official s3://b/updated.json
     spark-submit ... -m tradeflow build-lookups --dest s3://b/trade --source country=s3://b/pub/PAIS.csv ...
     spark-submit ... -m tradeflow totals  --dest s3://b/trade --flow export --by year
 
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import re
 import sys
 
 from pyspark.sql import SparkSession
@@ -31,7 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     u = sub.add_parser("update", help="load the years the refresh rules pick")
     u.add_argument("--raw", required=True, nargs="+")
     u.add_argument("--dest", required=True)
-    u.add_argument("--official", required=True, help="last published period, yyyy-mm")
+    u.add_argument("--official", required=True,
+                   help="last published period: 'yyyy-mm', or the path of a saved update-service JSON payload")
     u.add_argument("--start-year", type=int, default=None)
     u.add_argument("--current-year", type=int, default=None)
 
@@ -58,7 +61,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         files = db.create_cs_db(args.raw, start_year=args.start_year, flows=args.flows)
         out = {"command": "create", "files": {k: len(v) for k, v in files.items()}}
     elif args.command == "update":
-        r = db.update_cs_db(args.raw, args.official, start_year=args.start_year, current_year=args.current_year)
+        official = args.official
+        if not re.match(r"^[0-9]{4}-[0-9]{2}$", official):  # a payload file: {"data": {"year": .., "monthNumber": ..}}
+            from tradeflow.plans.refresh import official_period
+
+            feed = spark.read.option("wholetext", "true").text(official).withColumnRenamed("value", "payload")
+            official = official_period(feed)
+        r = db.update_cs_db(args.raw, official, start_year=args.start_year, current_year=args.current_year)
         out = {"command": "update", "status": r["status"], "years": r["years"]}
     elif args.command == "build-lookups":
         sources = dict(s.split("=", 1) for s in args.source)
