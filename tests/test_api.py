@@ -19,6 +19,9 @@ def test_tradedb_end_to_end(spark, tmp_dir):
     db.create_cs_db(landing, start_year=1997)
     assert sorted(r.year for r in db.total_exports_by_year().collect()) == [1997, 1998, 1999, 2000, 2001]
     assert db.update_cs_db(landing, official="2001-11")["status"] == "current"
+    assert [r.year for r in db.available_years().collect()] == [1997, 1998, 1999, 2000, 2001]
+    assert db.latest_period().first().period == "2001-11"
+    assert [tuple(r) for r in db.refresh_plan("2001-12", 2001).collect()] == [(2001, "refresh")]
     q = db.add_country_name(db.filter_states(db.imports).groupBy("year", "country_code").count(), lang="es")
     assert q.columns == ["year", "count", "country_name_es"]
     n = db.imports.count()

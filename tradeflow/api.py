@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeflow.operators import enrich
 from tradeflow.operators.summaries import total_by_year, total_by_year_month
-from tradeflow.plans.refresh import update_store
+from tradeflow.plans.refresh import available_years, latest_period, refresh_plan, update_store
 from tradeflow.plans.store import create_store, flow_path, open_store
 from tradeflow.schemas import FLOWS
 from tradeflow.sources.lookups import build_lookups, load_lookup
@@ -51,6 +51,16 @@ class TradeDB:
     def update_cs_db(self, raw_paths, official, start_year: int | None = None, current_year: int | None = None) -> dict:
         return update_store(self.spark, raw_paths, self.dest_dir, official, current_year, start_year)
 
+    def available_years(self, flow: str = "export") -> DataFrame:
+        return available_years(self.open(flow))
+
+    def latest_period(self, flow: str = "import") -> DataFrame:
+        return latest_period(self.open(flow))
+
+    def refresh_plan(self, official, current_year: int | None = None, start_year: int | None = None) -> DataFrame:
+        """The years an update would load, with reasons (empty when the store is current)."""
+        return refresh_plan(self.exports, self.imports, official, current_year, start_year)
+
     # ---------------------------------------------------------------- lookups
     @cached_property
     def _lookups(self) -> dict[str, DataFrame]:
