@@ -86,3 +86,13 @@ def test_conform_refuses_fractional_year(spark):
         conform(df, "export").collect()
     ok = conform(df.withColumn("year", df.year - 0.5), "export").first()
     assert ok.year == 2024
+
+
+def test_warns_without_ansi(spark):
+    df = spark.createDataFrame([(2024, 1, "1", "SP", 20, 1, 1, 5, 1, 1)], RAW)
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.warns(RuntimeWarning, match="ansi"):
+            normalise_imports(df)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")

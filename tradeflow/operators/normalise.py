@@ -8,6 +8,8 @@ grouping, so '01012100' and '1012100' are one product.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,17 @@ from tradeflow.schemas import GRAIN, RAW_RENAMES, store_schema
 from tradeflow.sources.names import clean_column_names, rename_known_columns
 
 
+def warn_without_ansi(df: DataFrame) -> None:
+    """Exact sums and casts rely on ANSI mode (the Spark 4 default); say so when it is off."""
+    if str(df.sparkSession.conf.get("spark.sql.ansi.enabled", "true")).lower() != "true":
+        warnings.warn(
+            "spark.sql.ansi.enabled is off: a BIGINT sum overflow wraps around and a malformed number "
+            "becomes null instead of raising",
+            RuntimeWarning,
+            stacklevel=3,
+        )
+
+
 def _to_store_names(raw: DataFrame) -> DataFrame:
     """Accept raw header names (CO_ANO, ...) or store names (year, ...)."""
     return rename_known_columns(clean_column_names(raw), RAW_RENAMES)
@@ -28,6 +41,7 @@ def _require(df: DataFrame, cols) -> None:
 
 
 def _aggregate(raw: DataFrame, measures: list[str]) -> DataFrame:
+    warn_without_ansi(raw)
     df = _to_store_names(raw)
     _require(df, list(GRAIN) + measures)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -70,6 +84,7 @@ def conform(df: DataFrame, flow: str) -> DataFrame:
     """
     schema = store_schema(flow)
     _require(df, schema.fieldNames())
+    warn_without_ansi(df)
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
