@@ -274,3 +274,37 @@ def flagship_exports(spark: SparkSession, d: str) -> DataFrame:
     fx = Fixtures(spark, d)
     exports = normalise_exports(fx.raw().drop("freight", "insurance"))
     return trade_by_section(exports, fx.product_lookup(), fx.isic_lookup(), fx.country_lookup())
+
+
+@register(
+    "add_country_name_unmatched",
+    with_views(
+        f"SELECT {', '.join('x.' + c.strip() for c in IMP.split(','))}, l.country_name FROM imports x "
+        "LEFT JOIN country_lookup l ON x.country_code IS NOT DISTINCT FROM l.country_code "
+        "WHERE l.country_name IS NULL",
+        "imports", "country_lookup",
+    ),
+)
+def q_add_country_name_unmatched(spark, d):
+    fx = Fixtures(spark, d)
+    named = add_country_name(normalise_imports(fx.raw_coarse()), fx.country_lookup(), drop_key=False)
+    return named.where("country_name IS NULL")
+
+
+@register(
+    "add_isic_null_class",
+    with_views(
+        "SELECT DISTINCT i.isic_class_desc, i.isic_group_desc, i.isic_division_desc, i.isic_section_desc "
+        "FROM imports_fine x "
+        "LEFT JOIN (SELECT ncm AS k, isic_class_code FROM product_lookup) p ON x.ncm IS NOT DISTINCT FROM p.k "
+        "LEFT JOIN (SELECT isic_class_code AS ik, isic_class_desc, isic_group_desc, isic_division_desc, "
+        "isic_section_desc FROM isic_lookup) i ON p.isic_class_code IS NOT DISTINCT FROM i.ik "
+        "WHERE p.isic_class_code IS NULL",
+        "imports_fine", "product_lookup", "isic_lookup",
+    ),
+)
+def q_add_isic_null_class(spark, d):
+    fx = Fixtures(spark, d)
+    out = add_isic_description(normalise_imports(fx.raw()), fx.product_lookup(), fx.isic_lookup(), level="all",
+                               drop_key=False)
+    return out.where("isic_class_code IS NULL").select(*isic_columns("en", "all")).distinct()
