@@ -185,3 +185,11 @@ def test_mixed_layout_landing_reads_like_plain(spark, tmp_dir):
     a, b = read_raw(spark, mixed, "import"), read_raw(spark, plain, "import")
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_lookup_with_byte_order_mark(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/pais")
+    with open(f"{tmp_dir}/pais/PAIS.csv", "wb") as f:
+        f.write(b"\xef\xbb\xbf" + "CO_PAIS;NO_PAIS;NO_PAIS_ING;NO_PAIS_ESP\n20;Bahamas;Bahamas;Bahamas\n".encode("latin-1"))
+    df = read_lookup(spark, f"{tmp_dir}/pais", "country")
+    assert df.columns[0] == "country_code" and df.first().country_code == 20

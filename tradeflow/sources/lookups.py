@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tradeflow.functions import pad_code, sentence_case, squish
 from tradeflow.schemas import LOOKUP_KEYS, LOOKUP_RENAMES, LOOKUP_SCHEMAS, UNIT_TRANSLATIONS
 from tradeflow.sources.names import clean_column_names, rename_known_columns
+from tradeflow.sources.raw import bare_names
 
 LOOKUP_CSV_OPTIONS = {
     "sep": ";",
@@ -54,7 +55,7 @@ def read_lookup(spark: SparkSession, path: str, name: str | None = None, options
     """Scan a published lookup file (';', Latin-1), clean and rename its columns, type the known ones."""
     opts = dict(LOOKUP_CSV_OPTIONS)
     opts.update(options or {})
-    df = spark.read.options(**opts).csv(path)
+    df = bare_names(spark.read.options(**opts).csv(path))  # a leading byte-order mark is not part of a name
     df = rename_known_columns(clean_column_names(df), LOOKUP_RENAMES)
     return typed(df, name) if name else df
 

@@ -84,7 +84,7 @@ def _typed(name: str) -> Column:
     return F.nullif(F.trim(c), F.lit("")).cast(t).alias(name)
 
 
-def _bare_names(df: DataFrame) -> DataFrame:
+def bare_names(df: DataFrame) -> DataFrame:
     """Column names without a leading byte-order mark or surrounding blanks."""
     names = []
     for c in df.columns:
@@ -211,7 +211,7 @@ def read_raw(
         raise ValueError("layout must be 'auto', 'per_file' or 'shared'")
     frames = []
     for schema, group in groups:
-        df = _bare_names(_read_csv(spark, group, options, schema))
+        df = bare_names(_read_csv(spark, group, options, schema))
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             where = group[0] if len(group) == 1 else f"{len(group)} files starting with {group[0]}"
