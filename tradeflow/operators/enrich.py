@@ -18,10 +18,10 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.schemas import BRAZILIAN_STATES, isic_columns, lang_suffix
+from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_DOCUMENTED_ROWS, isic_columns, lang_suffix
 
-# About 100 times the largest documented lookup.
-MAX_BROADCAST_ROWS = 2_000_000
+# 100 times the largest published lookup (13,724 product rows): 1,372,400 rows.
+MAX_BROADCAST_ROWS = 100 * max(LOOKUP_DOCUMENTED_ROWS.values())
 
 _counts: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
