@@ -168,3 +168,40 @@ def test_lookup_beyond_the_bound_is_not_broadcast(spark, country, monkeypatch):
         assert {r.country_code: r.country_name for r in out.collect()}[20] == "Bahamas"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_null_key_is_split_by_aqe_on_the_shuffle_path(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    import tradeflow.operators.enrich as enrich
+
+    monkeypatch.setattr(enrich, "MAX_BROADCAST_ROWS", 1)
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        # a third of the trade rows carry a null country code
+        df = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 50).cast("int")).alias("country_code"),
+            F.col("id").alias("v"))
+        country = spark.range(50).select(F.col("id").cast("int").alias("country_code"),
+                                         F.concat(F.lit("c"), F.col("id").cast("string")).alias("country_name"))
+        country = country.unionByName(spark.createDataFrame([(None, "none")], "country_code int, country_name string"))
+        out = enrich.add_country_name(df, country, drop_key=False)
+        rows = out.collect()
+        assert len(rows) == 60000 and sum(r.country_name == "none" for r in rows) == 20000
+        final = plan_text(out, "simple")
+        assert "isFinalPlan=true" in final and "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
