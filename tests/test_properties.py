@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from tradeflow.functions import pad_code, strict_sum
 from tradeflow.operators.enrich import add_country_name
-from tradeflow.operators.normalise import normalise_imports
+from tradeflow.operators.normalise import normalise_exports, normalise_imports
 
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -139,3 +139,50 @@ def test_refresh_plan_matches_model(spark, exp, imp, off_y, off_m, current, star
     official = f"{off_y:04d}-{off_m:02d}"
     got = sorted(tuple(r) for r in refresh_plan(store(exp), store(imp), official, current, start).collect())
     assert got == _plan_model(exp, imp, official, current, start)
+
+
+csv_rows = st.lists(
+    st.tuples(
+        st.integers(1, 3),                                   # month
+        st.sampled_from(["1", "01", "0001012100", "1012100", "123456789"]),   # product code as written
+        st.sampled_from(["SP", "RJ", "ND", ""]),             # state ('' = quoted empty string)
+        st.one_of(st.none(), st.integers(1, 300)),           # country
+        st.one_of(st.none(), st.integers(0, 10**12)),        # kg
+        st.one_of(st.none(), st.integers(0, 10**6)),         # qty
+        st.one_of(st.none(), st.integers(0, 10**12)),        # fob
+        st.booleans(),                                       # null written as NA (True) or as an empty field
+    ),
+    min_size=1, max_size=30,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(csv_rows)
+def test_csv_roundtrip_matches_model(spark, tmp_path_factory, rows):
+    import os
+
+    from tradeflow.sources.raw import read_raw
+
+    folder = str(tmp_path_factory.mktemp("csvprop"))
+
+    def cell(v, na):
+        return ("NA" if na else "") if v is None else str(v)
+
+    lines = ["CO_ANO;CO_MES;CO_NCM;SG_UF_NCM;CO_PAIS;KG_LIQUIDO;QT_ESTAT;VL_FOB"]
+    for month, ncm, state, country, kg, qty, fob, na in rows:
+        st_cell = '""' if state == "" else state
+        lines.append(";".join(["2024", str(month), ncm, st_cell, cell(country, na), cell(kg, na), cell(qty, na),
+                               cell(fob, na)]))
+    with open(os.path.join(folder, "EXP_2024.csv"), "w", encoding="latin-1") as f:
+        f.write("\n".join(lines) + "\n")
+    got = {tuple(r) for r in normalise_exports(read_raw(spark, folder, "export")).collect()}
+
+    groups = defaultdict(list)
+    for month, ncm, state, country, kg, qty, fob, _ in rows:
+        groups[(2024, month, ncm.rjust(8, "0"), state, country)].append((fob, kg, qty))
+
+    def ssum(vals):
+        return None if any(v is None for v in vals) else sum(vals)
+
+    want = {(*k, *(ssum([v[i] for v in vs]) for i in range(3))) for k, vs in groups.items()}
+    assert got == want
