@@ -193,3 +193,10 @@ def test_lookup_with_byte_order_mark(spark, tmp_dir):
         f.write(b"\xef\xbb\xbf" + "CO_PAIS;NO_PAIS;NO_PAIS_ING;NO_PAIS_ESP\n20;Bahamas;Bahamas;Bahamas\n".encode("latin-1"))
     df = read_lookup(spark, f"{tmp_dir}/pais", "country")
     assert df.columns[0] == "country_code" and df.first().country_code == 20
+
+
+def test_crlf_line_endings(spark, tmp_dir):
+    with open(f"{tmp_dir}/EXP_2024.csv", "wb") as f:
+        f.write((EXP_HEADER + "\r\n2024;1;1;SP;20;5;1;500\r\n2024;2;1;RJ;20;5;1;700\r\n").encode("latin-1"))
+    rows = sorted((r.CO_MES, r.SG_UF_NCM, r.VL_FOB) for r in read_raw(spark, tmp_dir, "export").collect())
+    assert rows == [(1, "SP", 500), (2, "RJ", 700)]
