@@ -119,6 +119,10 @@ def test_discover_files(spark):
     assert sorted(r.href.rsplit("/", 1)[1] for r in allr.collect()) == ["EXP_2023.csv", "IMP_2023.csv", "IMP_2024.csv"]
     cells = discover_files(pages, in_table_cells=True)
     assert sorted(r.link_year for r in cells.collect()) == [2023, 2024]
+    scoped = discover_files(pages, css_scope="table tr td a")
+    assert sorted(r.link_year for r in scoped.collect()) == [2023, 2024]
+    with pytest.raises(ValueError):
+        discover_files(pages, css_scope="div a")
     by_list = discover_files(pages, years=[2024])
     assert [r.href for r in by_list.collect()] == ["https://x/ncm/IMP_2024.csv"]
     plan = spark.createDataFrame([(2023,)], "year int")

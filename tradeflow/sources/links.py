@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 HREF_PATTERN = r'<a\s[^>]*?href="([^"]*)"'
 CELL_PATTERN = r"(?s)<td[^>]*>.*?</td>"
+TABLE_CELL_SCOPE = "table tr td a"
 # Raw-file links contain this path part, and complete/check files are left out.
 RAW_INCLUDE = "/ncm/"
 RAW_EXCLUDE = "COMPLETA|CONFERENCIA"
@@ -47,12 +48,19 @@ def discover_files(
     exclude: str | None = RAW_EXCLUDE,
     html_col: str = "html",
     in_table_cells: bool = False,
+    css_scope: str | None = None,
 ) -> DataFrame:
     """Links to raw files: (page columns..., href, link_year).
 
     ``years`` is None (no year condition), a list of ints, or a DataFrame with a
     ``year`` column.  An empty list or an empty frame gives no links.
+    ``css_scope='table tr td a'`` (the portal's scope) is the same as
+    ``in_table_cells=True``; no other selector is supported.
     """
+    if css_scope is not None:
+        if " ".join(css_scope.split()) != TABLE_CELL_SCOPE:
+            raise ValueError(f"css_scope must be {TABLE_CELL_SCOPE!r} or None")
+        in_table_cells = True
     links = extract_links(pages, html_col, in_table_cells)
     if include:
         links = links.where(F.col("href").rlike(include))
