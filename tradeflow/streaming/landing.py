@@ -16,6 +16,8 @@ trigger it keeps watching the folder.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -67,8 +69,16 @@ def ingest_batch(landing: str, base: str, layout: str = "auto"):
     def run(batch: DataFrame, batch_id: int) -> None:
         paths = [r.path for r in batch.select("path").collect()]  # file names only
         spark = batch.sparkSession
-        for flow, years in touched_years(paths).items():
-            load_flow(spark, landing, base, flow, years=years, layout=layout)
+        work = touched_years(paths)
+        if not work:
+            return
+        # the flows are independent jobs; submit them together, as create_store does
+        with ThreadPoolExecutor(max_workers=len(work)) as pool:
+            futures = [
+                pool.submit(load_flow, spark, landing, base, flow, None, years, layout) for flow, years in work.items()
+            ]
+            for f in futures:
+                f.result()  # re-raise a failure, so the batch fails and is replayed
 
     return run
 
