@@ -204,3 +204,8 @@ def test_crlf_line_endings(spark, tmp_dir):
         f.write((EXP_HEADER + "\r\n2024;1;1;SP;20;5;1;500\r\n2024;2;1;RJ;20;5;1;700\r\n").encode("latin-1"))
     rows = sorted((r.CO_MES, r.SG_UF_NCM, r.VL_FOB) for r in read_raw(spark, tmp_dir, "export").collect())
     assert rows == [(1, "SP", 500), (2, "RJ", 700)]
+
+
+def test_missing_lookup_is_explained(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError, match="no country lookup"):
+        load_lookup(spark, tmp_dir, "country")

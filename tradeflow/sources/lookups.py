@@ -7,6 +7,7 @@ key is unique, so that enrichment joins never multiply trade rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,7 +154,15 @@ def save_lookup(lookup: DataFrame, base: str, name: str, check_keys: bool = True
 
 def load_lookup(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Read a saved lookup, with its key and code columns in the lookup's types."""
-    return typed(spark.read.parquet(f"{base.rstrip('/')}/{name}"), name)
+    _schema(name)
+    path = f"{base.rstrip('/')}/{name}"
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as exc:
+        raise FileNotFoundError(
+            f"no {name} lookup at {path}; build it from the published file with build_lookups / save_lookup"
+        ) from exc
+    return typed(df, name)
 
 
 def build_lookups(spark: SparkSession, sources: dict[str, str], dest: str, options: dict | None = None) -> dict[str, str]:
