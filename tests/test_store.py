@@ -88,3 +88,8 @@ def test_stray_year_in_a_file_is_refused(spark, tmp_dir):
         f.write(header + "2024;1;1;SP;20;1;1;10\n2023;5;1;SP;20;1;1;10\n")
     with pytest.raises(Exception, match="row of year 2023 in file EXP_2024.csv"):
         create_store(spark, tmp_dir + "/raw", tmp_dir + "/db", flows=("export",))
+
+
+def test_missing_store_is_explained(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError, match="no export store"):
+        open_store(spark, tmp_dir + "/nothing/export", "export")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,11 @@ def write_store(df: DataFrame, path: str, flow: str, compact: bool = True, compr
 def open_store(spark: SparkSession, path: str, flow: str) -> DataFrame:
     """Lazy handle on one flow of the store, columns in store order, year as INT."""
     schema = store_schema(flow)
-    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.fieldNames())
+    try:
+        df = spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"no {flow} store at {path}; create it with create_store") from exc
+    return df.select(*schema.fieldNames())
 
 
 def load_flow(
