@@ -93,3 +93,21 @@ def test_stray_year_in_a_file_is_refused(spark, tmp_dir):
 def test_missing_store_is_explained(spark, tmp_dir):
     with pytest.raises(FileNotFoundError, match="no export store"):
         open_store(spark, tmp_dir + "/nothing/export", "export")
+
+
+def test_load_with_files_split_over_many_tasks(spark, tmp_dir):
+    """Large raw files are split over tasks; only the first split has the header."""
+    fx = Fixtures(spark, "/root/testdata/sf0.01")
+    landing = tmp_dir + "/landing"
+    write_raw_files(fx.raw_files("import", layout="published"), landing, "import")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        rows = read_raw(spark, landing, "import")
+        assert rows.rdd.getNumPartitions() > 14  # seven files, split into several parts each
+        create_store(spark, landing, tmp_dir + "/db", flows=("import",))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    store = open_store(spark, flow_path(tmp_dir + "/db", "import"), "import")
+    expected = fx.imports()
+    assert store.exceptAll(expected).count() == 0 and expected.exceptAll(store).count() == 0
