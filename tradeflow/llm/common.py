@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,4 +37,16 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-__all__ = ["BLANKS", "BLANK_CLASS", "table", "scratch", "written", "id_remainder"]
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: a lambda's variable is never copied into its body."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def sampled(docs: DataFrame, n_ids: int) -> DataFrame:
+    """The rows of at most ``n_ids`` ids, those of least hash: a bounded list, so it is broadcast."""
+    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    ids = ids.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(n_ids)
+    return docs.join(F.broadcast(ids), "doc_id", "left_semi")
+
+
+__all__ = ["let", "sampled", "BLANKS", "BLANK_CLASS", "table", "scratch", "written", "id_remainder"]
