@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANK_CLASS, BLANKS, let, table
+from .common import BLANK_CLASS, BLANKS, let, table, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -76,9 +76,9 @@ def statistics(text: Column) -> Column:
     return let(text, told)
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` as struct ``row``, and the statistics as columns."""
-    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+def with_statistics(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns ``keep`` of ``docs`` as struct ``row``, and the statistics as columns."""
+    row = F.struct(*[docs[f"`{c}`"] for c in keep])
     found = docs.select(row.alias("row"), statistics(F.col("text").cast("string")).alias("s"))
     n, repeat = F.col("s.words.n"), F.col("s.words.repeat")
     return found.select(
@@ -138,10 +138,13 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple
     return prior, tables
 
 
-def rate(docs: DataFrame) -> DataFrame:
-    """``row`` (all columns of ``docs``), the statistics, base_failed, quality (posterior) and kept."""
+def rate(docs: DataFrame, keep: tuple[str, ...] | None = None) -> DataFrame:
+    """``row`` (the columns ``keep``, or all), the statistics, base_failed, quality (posterior) and kept.
+
+    The statistics are written to the shared scratch folder: they are read twice, and cost most.
+    """
     votes = rules()
-    measured = with_statistics(docs)
+    measured = written(with_statistics(docs, keep or tuple(docs.columns)), "quality")
     counted = measured.select(*[v.alias(k) for k, v in votes.items()]).groupBy(*votes).count().collect()
     patterns = sorted((tuple(r[k] for k in votes), r["count"]) for r in counted)
     prior, tables = estimate(patterns, len(votes))
@@ -154,8 +157,7 @@ def rate(docs: DataFrame) -> DataFrame:
 
 
 def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return rate(docs).select(
+    return rate(table(spark, sf_dir, "documents"), ("doc_id",)).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality"
     )
 
