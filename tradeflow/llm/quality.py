@@ -108,7 +108,7 @@ def rules() -> dict[str, Column]:
         "capitals": _vote("10 * n_upper > 3 * n_letters", "10 * n_upper <= n_letters and n_letters > 0"),
         "repeats": _vote("100 * n_repeat_words > 30 * n_words", "100 * n_repeat_words <= 15 * n_words"),
         "lines": _vote("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0 and n_lines > 3"),
-        "word_length": _vote("word_chars < 3 * n_words or word_chars > 11 * n_words", "word_chars between 4 * n_words and 8 * n_words"),
+        "word_length": _vote("10 * word_chars < 38 * n_words or word_chars > 11 * n_words", "word_chars between 4 * n_words and 8 * n_words"),
         "letters": _vote("100 * n_letters < 75 * word_chars", "100 * n_letters >= 90 * word_chars and word_chars > 0"),
         "sentences": _vote("100 * n_stops < n_words or 2 * n_stops > n_words", "n_stops between 0.03 * n_words and 0.3 * n_words"),
     }
@@ -117,9 +117,10 @@ def rules() -> dict[str, Column]:
 def estimate(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[dict[int, float]]]:
     """Log-odds of good before any vote, and for each rule the log-odds that each vote adds.
 
-    ``patterns``: distinct vote tuples with counts.  The start is the majority vote.
+    ``patterns``: distinct vote tuples with counts.  The start takes any bad vote for true, since most rules
+    look at one defect each and call a text with another one good.
     """
-    weight = {v: 1 / (1 + math.exp(-sum(v))) for v, _ in patterns}
+    weight = {v: 0.1 if -1 in v else 0.9 for v, _ in patterns}
     prior, tables = 0.0, [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)]
     for _ in range(STEPS):
         good = PRIOR_AGREE + sum(c * weight[v] for v, c in patterns)

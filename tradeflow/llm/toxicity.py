@@ -1,10 +1,11 @@
 """Operator 3, toxicity: maximum-scoring segments of token log-odds, calibrated by extreme values.
 
-Learning.  For each word (run of letters, lower-cased) the log-odds of being in a toxic
-document against a clean one, with an informative Dirichlet prior: pseudo-counts in proportion
-to the word's share of both classes, so rare words stay near 0.  Words whose
-log-odds are at least ``MIN_Z`` standard errors above 0 score their log-odds; all others
-cost ``DRIFT``, so that the expected score of clean text is negative.
+Learning.  A token (run of letters, lower-cased) is described by itself and its first 5, 6
+and 7 letters, as languages inflect at the end.  For each of these the log-odds of being
+in a toxic document against a clean one, with an informative Dirichlet prior: pseudo-counts
+in proportion to its share of both classes, so rare ones stay near 0.  Those
+at least ``MIN_Z`` standard errors above 0 are kept; a token scores its best one, and a token
+without any costs ``DRIFT``, so that the expected score of clean text is negative.
 
 Scanning.  One left-to-right pass finds every maximal-scoring segment of a text in linear
 time.  Under clean text a text's best segment follows an extreme-value law,
@@ -14,7 +15,7 @@ if it is worth more than ln(K n) / lambda.  What all significant segments are wo
 in nats, is turned into a probability by a one-variable logistic fit.
 
 The fit sees a bounded sample of labelled ids (``SAMPLE_IDS`` of least hash) and
-keeps at most ``MAX_WORDS`` words.  All texts are scored whole, by a map over the rows without a shuffle.
+keeps at most ``MAX_WORDS`` words and beginnings.  All texts are scored whole, by a map over the rows without a shuffle.
 
 Defined results: null and empty texts score like any text without a passage; labels with a
 null id or mark teach nothing, an id that is labelled twice is toxic if one label says so;
@@ -40,9 +41,33 @@ SAMPLE_IDS, MAX_WORDS = 16384, 4096
 #: The prior's weight as a share of all counts, and the least standard score of a scored word.
 PRIOR, MIN_Z = 0.1, 4.0
 DRIFT = 0.1
+BEGINNINGS = (5, 6, 7)
+#: Tokens whose score a task remembers.
+MAX_REMEMBERED = 1 << 18
 _WORD = regex.compile(r"\p{L}+")
 
 
+def describe(token: str) -> list[str]:
+    """The token, and its beginnings marked by ``*``."""
+    return [token, *(token[:k] + "*" for k in BEGINNINGS if len(token) >= k)]
+
+
+class TokenScores(dict):
+    """Score of each token seen (None: the drift), filled on demand and bounded."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.weights = weights
+
+    def __missing__(self, token: str) -> float | None:
+        score = max((w for x in describe(token) if (w := self.weights.get(x)) is not None), default=None)
+        if len(self) < MAX_REMEMBERED:
+            self[token] = score
+        return score
+
+    def hits(self, tokens: list[str]) -> list[tuple[int, float]]:
+        return [(i, s) for i, s in enumerate(map(self.__getitem__, tokens)) if s is not None]
+
+
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float] = field(default_factory=dict)
@@ -51,9 +76,9 @@ class Model:
     slope: float = 0.0
     bias: float = -math.inf
 
-    def score(self, text: str | None) -> tuple[float, int]:
+    def score(self, text: str | None, scores: TokenScores) -> tuple[float, int]:
         """Probability of toxic, and the number of significant passages."""
-        worth = [x for *_, x in passages(text, self)]
+        worth = [x for *_, x in passages(text, self, scores)]
         z = self.slope * math.log1p(sum(worth)) + self.bias
         return (0.0 if z == -math.inf else 1 / (1 + math.exp(-max(-700.0, min(700.0, z))))), len(worth)
 
@@ -82,10 +107,10 @@ def maximal_segments(hits: Iterable[tuple[int, float]], drift: float = DRIFT) ->
     return [(s, e, high - low) for low, high, s, e, _ in found]
 
 
-def passages(text: str | None, model: Model) -> list[tuple[int, int, float]]:
+def passages(text: str | None, model: Model, scores: TokenScores | None = None) -> list[tuple[int, int, float]]:
     """The significant segments of a text: first word, word after the last, worth in nats."""
-    tokens, get = words(text), model.weights.get
-    hits = [(i, s) for i, s in enumerate(map(get, tokens)) if s is not None]
+    tokens = words(text)
+    hits = (scores or TokenScores(model.weights)).hits(tokens)
     if not hits:
         return []
     chance = math.log(model.scale * len(tokens))
@@ -142,8 +167,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_IDS) -> M
             seen = (Counter(), Counter())
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 tokens = words(text)
-                seen[toxic].update(set(tokens))
-                seen[toxic][""] += len(tokens)  # the class's length
+                seen[toxic].update({x for t in set(tokens) for x in describe(t)})
             rows = [(w, seen[0][w], seen[1][w]) for w in {**seen[0], **seen[1]}]
             yield pa.RecordBatch.from_pydict(
                 {"word": [r[0] for r in rows], "clean": pa.array([r[1] for r in rows], pa.int64()), "toxic": pa.array([r[2] for r in rows], pa.int64())},
@@ -151,39 +175,50 @@ def learn(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_IDS) -> M
             )
 
     counts = texts.mapInArrow(count, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    counts = written(counts, "toxic-words")
-    total = counts.where("word != ''").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).first()
-    length = counts.where("word = ''").first()
+    counts = written(counts, "toxic-words").where("word != ''")
+    total = counts.agg(F.sum("c").alias("c"), F.sum("t").alias("t")).first()
     if not total.c or not total.t:
         return Model()
     prior = PRIOR * (F.col("c") + F.col("t"))
     all_prior = PRIOR * (total.c + total.t)
     odds = [(F.col(k) + prior) / (F.lit(float(n)) + all_prior - F.col(k) - prior) for k, n in (("t", total.t), ("c", total.c))]
     delta = F.log(odds[0]) - F.log(odds[1])
-    scored = counts.where("word != ''").select("word", "c", delta.alias("delta"), (delta / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))).alias("z"))
+    scored = counts.select("word", delta.alias("delta"), (delta / F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))).alias("z"))
     best = scored.where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect()
     weights = {r.word: r.delta for r in best}
-    clean_words = max(1, length.c if length else 1)
-    rate = positive_rate([(max(r.c, 0.5) / clean_words, r.delta) for r in best]) if best else 1.0
+    clean = texts.where("toxic = 0").select("text")
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, seen = TokenScores(weights), Counter()
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                seen.update(map(scores.__getitem__, words(text)))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.float64()), pa.array(list(seen.values()), pa.int64())], names=["score", "n"])
+
+    # One row for each distinct score: at most MAX_WORDS + 1.
+    spread = clean.mapInArrow(histogram, "score double, n long").groupBy("score").agg(F.sum("n").alias("n")).collect()
+    length = sum(r.n for r in spread) + 1
+    rate = positive_rate([(r.n / length, r.score) for r in spread if r.score is not None])
     raw = Model(weights, rate)
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = TokenScores(weights)
         for b in batches:
             best_of, sizes = [], []
             for text in b.column(0).to_pylist():
                 tokens = words(text)
-                hits = [(i, weights[w]) for i, w in enumerate(tokens) if w in weights]
-                best_of.append(max((s for *_, s in maximal_segments(hits)), default=0.0))
+                best_of.append(max((s for *_, s in maximal_segments(scores.hits(tokens))), default=0.0))
                 sizes.append(len(tokens))
             yield pa.RecordBatch.from_pydict({"best": pa.array(best_of, pa.float64()), "n": pa.array(sizes, pa.int64())})
 
-    seen = texts.where("toxic = 0").select("text").mapInArrow(tops, "best double, n long").where("n > 0")
+    seen = clean.mapInArrow(tops, "best double, n long").where("n > 0")
     fit = seen.agg(F.count("*").alias("n"), F.sum(F.col("n") * F.exp(-rate * F.col("best"))).alias("u")).first()
     raw = Model(weights, rate, (fit.n / fit.u) if fit.n else 1.0)
 
     def worths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = TokenScores(weights)
         for b in batches:
-            x = [math.log1p(sum(p[2] for p in passages(t, raw))) for t in b.column(0).to_pylist()]
+            x = [math.log1p(sum(p[2] for p in passages(t, raw, scores))) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column(1)], names=["x", "toxic"])
 
     rows = texts.mapInArrow(worths, "x double, toxic int").orderBy("x", "toxic").collect()  # bounded: sample_ids
@@ -195,8 +230,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and n_passages of every whole text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = TokenScores(model.weights)
         for b in batches:
-            found = [model.score(t) for t in b.column(1).to_pylist()]
+            found = [model.score(t, scores) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([s for s, _ in found], pa.float64()), pa.array([n for _, n in found], pa.int64())],
                 names=["doc_id", "score", "n_passages"],
