@@ -58,10 +58,8 @@ def test_random_small_alphabet(spark):
 
 
 def test_kept_text_holds_the_kept_words():
-    import numpy as np
-
     text = " a b\tc d\n e f g "
-    n_words, removed, _, kept = cut(text, [np.array([1, 2], "<u4").tobytes()], 2)
+    n_words, removed, _, kept = cut(text, [2, 1], 2)
     assert (n_words, removed, kept.split(), kept) == (7, 3, ["a", "e", "f", "g"], " a e f g ")
 
 

@@ -41,12 +41,12 @@ from .shingles import blocks, mix, window_rows, windows_of, words_of
 
 WINDOW, GRAM = 13, 5
 #: Text bytes that a task reduces before it sends entries, and text bytes for each bucket.
-CHUNK_BYTES, BUCKET_BYTES = 1 << 24, 1 << 24
+CHUNK_BYTES, BUCKET_BYTES = 1 << 23, 1 << 24
 
 PACKED = "bucket int, keys binary, checks binary, spots binary, marks binary, ids binary, crcs binary, counts binary"
-FOUND = "id long, crc long, spots binary"
+FOUND = "id long, crc long, spot long"
 _PACKED = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("keys", "checks", "spots", "marks", "ids", "crcs", "counts")]])
-_FOUND = pa.schema([("id", pa.int64()), ("crc", pa.int64()), ("spots", pa.binary())])
+_FOUND = pa.schema([("id", pa.int64()), ("crc", pa.int64()), ("spot", pa.int64())])
 
 
 def anchors(words: np.ndarray, first: np.ndarray, n: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -119,36 +119,23 @@ def by_key(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.nd
     return smallest, several
 
 
-def _rows_of(ids: np.ndarray, crcs: np.ndarray, spots: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """One (id, crc, spots) for each document of the entries."""
-    order = np.lexsort((crcs, ids))
-    ids, crcs, spots = ids[order], crcs[order], spots[order]
-    cuts = np.flatnonzero(np.r_[True, (np.diff(ids) != 0) | (np.diff(crcs) != 0)]) if len(ids) else np.zeros(0, int)
-    for a, b in zip(cuts, np.r_[cuts[1:], len(ids)]):
-        yield int(ids[a]), int(crcs[a]), spots[a:b].astype("<u4").tobytes()
-
-
 def settle(only_later: bool):
     """What a bucket finds: the entries of keys that several documents hold, or only those of later documents."""
 
     def work(bucket: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, bytes]] = []
         columns = {c: bucket.column(c).to_pylist() for c in bucket.column_names}
         joined = lambda name, kind: np.frombuffer(b"".join(columns[name]), kind)
         counts = joined("counts", "<u4")
         ids, crcs = np.repeat(joined("ids", np.int64), counts), np.repeat(joined("crcs", "<u4").astype(np.int64), counts)
-        spots = joined("spots", "<u4")
-        if columns["bucket"][0] < 0:
-            found.extend(_rows_of(ids, crcs, spots))
-        else:
-            keys, checks = joined("keys", np.uint64), joined("checks", "<u4")
+        hit = np.ones(len(ids), bool)
+        if columns["bucket"][0] >= 0:
             sizes = [len(k) // 8 for k in columns["keys"]]
             marks = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(columns["marks"], sizes)]).astype(bool)
-            smallest, several = by_key(keys, checks, ids)
+            smallest, several = by_key(joined("keys", np.uint64), joined("checks", "<u4"), ids)
             hit = ids > smallest if only_later else several | marks
-            found.extend(_rows_of(ids[hit], crcs[hit], spots[hit]))
-        a, b, c = zip(*found) if found else ((), (), ())
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], schema=_FOUND)
+        ids, crcs, spots = ids[hit], crcs[hit], joined("spots", "<u4")[hit].astype(np.int64)
+        order = np.lexsort((spots, ids))
+        return pa.Table.from_arrays([pa.array(x[order]) for x in (ids, crcs, spots)], schema=_FOUND)
 
     return work
 
@@ -159,14 +146,15 @@ def _entries(n: int, gram: int, buckets: int, flagged: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = Chunk(buckets)
         for b in batches:
-            all_ids, all_crcs = b.column(0).to_pylist(), b.column(1).to_pylist()
+            all_ids, all_crcs = b.column(0).fill_null(0).to_pylist(), b.column(1).to_pylist()  # null ids have no entries
             for start, end, raw, starts in blocks(b.column(2)):
                 words, first = words_of(raw, starts)
                 rows, at, least, place = anchors(words, first, n, gram)
                 if flagged:
                     wanted = np.zeros(len(words), bool)
-                    for row, lists in enumerate(b.column(3)[start:end].to_pylist()):
-                        wanted[first[row] + np.frombuffer(b"".join(lists or []), "<u4").astype(np.int64)] = True
+                    spots_of = b.column(3)[start:end]
+                    for row in np.flatnonzero(spots_of.is_valid()):
+                        wanted[first[row] + spots_of[int(row)].values.to_numpy()] = True
                     keep = np.flatnonzero(wanted[place])
                     keys = windows_of(words, n, seed=1)[at[keep]] if len(keep) else np.zeros(0, np.uint64)
                     second = windows_of(words, n, seed=2)[at[keep]] if len(keep) else keys
@@ -183,13 +171,13 @@ def _entries(n: int, gram: int, buckets: int, flagged: bool):
     return work
 
 
-def cut(text: str | None, spots: list[bytes], n: int) -> tuple[int, int, str, str]:
+def cut(text: str | None, spots: list[int], n: int) -> tuple[int, int, str, str]:
     """(words, removed words, SHA-256 of the kept words, kept text) of a text whose windows at ``spots`` go."""
     raw = (text or "").encode()
     words = raw.split()
     if not spots:
         return len(words), 0, hashlib.sha256(b" ".join(words)).hexdigest(), text or ""
-    starts = np.unique(np.frombuffer(b"".join(spots), "<u4").astype(np.int64))
+    starts = np.unique(np.array(spots, np.int64))
     # Overlapping or touching windows are one path.
     breaks = np.flatnonzero(np.diff(starts) > n) + 1
     paths = list(zip(starts[np.r_[0, breaks]].tolist(), (starts[np.r_[breaks - 1, len(starts) - 1]] + n).tolist()))
@@ -215,11 +203,11 @@ def repeated_windows(docs: DataFrame, n: int = WINDOW, gram: int = GRAM) -> Data
     """(id, crc, spots): of each text the windows that also start in a document with a smaller id."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     buckets = max(16, math.ceil(size / BUCKET_BYTES))
-    known = docs.where("id is not null")
-    gathered = lambda df: df.groupBy("id", "crc").agg(F.collect_list("spots").alias("spots"))
-    pieces = known.mapInArrow(_entries(n, gram, buckets, False), PACKED)
+    gathered = lambda df: df.groupBy("id", "crc").agg(F.collect_list("spot").alias("spots"))
+    pieces = docs.where("id is not null").mapInArrow(_entries(n, gram, buckets, False), PACKED)
     pieces = gathered(pieces.groupBy("bucket").applyInArrow(settle(False), FOUND))
-    windows = known.join(pieces, ["id", "crc"]).select("id", "crc", "text", "spots")
+    # A left join, as the last one is: both then read one shuffle of the texts.
+    windows = docs.join(pieces, ["id", "crc"], "left").select("id", "crc", "text", "spots")
     windows = windows.mapInArrow(_entries(n, gram, buckets, True), PACKED)
     return gathered(windows.groupBy("bucket").applyInArrow(settle(True), FOUND))
 
