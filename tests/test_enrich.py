@@ -152,16 +152,14 @@ def test_row_count_kept(spark, product, country):
     assert out.agg({"fob_value": "sum"}).first()[0] == imp.agg({"fob_value": "sum"}).first()[0]
 
 
-def test_lookup_beyond_the_bound_is_not_broadcast(spark, country, monkeypatch):
+def test_lookup_beyond_the_size_bound_is_not_broadcast(spark, country):
     import tradeflow.operators.enrich as enrich
 
-    monkeypatch.setattr(enrich, "MAX_BROADCAST_ROWS", 1)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = spark.range(100).selectExpr("CAST(id % 30 AS INT) AS country_code", "id AS v")
-        fresh = country.select("*")  # a new frame, so its row count is taken again
-        out = enrich.add_country_name(df, fresh, drop_key=False)
+        out = enrich.add_country_name(df, country, drop_key=False)
         plan = plan_text(out)
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("\n\n\n")[0]
         assert out.count() == 100
@@ -170,12 +168,23 @@ def test_lookup_beyond_the_bound_is_not_broadcast(spark, country, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_hot_null_key_is_split_by_aqe_on_the_shuffle_path(spark, monkeypatch):
+def test_building_an_enrichment_starts_no_job(spark, country):
+    import tradeflow.operators.enrich as enrich
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job is expected")
+    try:
+        enrich.add_country_name(spark.range(9).selectExpr("CAST(id AS INT) AS country_code"), country, drop_key=False)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_hot_null_key_is_split_by_aqe_on_the_shuffle_path(spark):
     from pyspark.sql import functions as F
 
     import tradeflow.operators.enrich as enrich
 
-    monkeypatch.setattr(enrich, "MAX_BROADCAST_ROWS", 1)
     confs = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",

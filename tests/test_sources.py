@@ -169,7 +169,7 @@ def test_header_probe_is_bounded(spark, tmp_dir):
         f.write(b"x" * (3 * HEADER_PROBE_BYTES))  # no newline at all
     _write(f"{tmp_dir}/EXP_2023.csv", EXP_HEADER + "\r\n2023;1;1;SP;20;5;1;500\r\n")
     got = header_lines(spark, [f"{tmp_dir}/EXP_2024.csv", f"{tmp_dir}/EXP_2023.csv"])
-    assert len(got[f"{tmp_dir}/EXP_2024.csv"]) == HEADER_PROBE_BYTES
+    assert got[f"{tmp_dir}/EXP_2024.csv"] is None  # no line end: Spark reads the header
     assert got[f"{tmp_dir}/EXP_2023.csv"] == EXP_HEADER
     with pytest.raises(ValueError, match="EXP_2024.csv: not a raw export file"):
         read_raw(spark, tmp_dir, "export")
@@ -209,3 +209,76 @@ def test_crlf_line_endings(spark, tmp_dir):
 def test_missing_lookup_is_explained(spark, tmp_dir):
     with pytest.raises(FileNotFoundError, match="no country lookup"):
         load_lookup(spark, tmp_dir, "country")
+
+
+def test_header_longer_than_the_probe(spark, tmp_dir):
+    from tradeflow.sources.raw import HEADER_PROBE_BYTES
+
+    extra = ";".join(f"EXTRA_{k}" for k in range(HEADER_PROBE_BYTES // 10))
+    n = extra.count(";") + 1
+    _write(f"{tmp_dir}/EXP_2024.csv", f"{EXP_HEADER};{extra}\n2024;1;1;SP;20;5;1;500{';0' * n}\n")
+    (row,) = read_raw(spark, tmp_dir, "export", options={"maxColumns": 20000}).collect()
+    assert (row.CO_ANO, row.VL_FOB) == (2024, 500)
+
+
+def test_text_codes_lose_their_blanks(spark, tmp_dir):
+    _write(f"{tmp_dir}/EXP_2024.csv", EXP_HEADER + '\n2024;1; 1012100 ;SP ;20;5;1;500\n2024;1;"";RJ;20;5;1;7\n')
+    rows = sorted(((r.CO_NCM, r.SG_UF_NCM) for r in read_raw(spark, tmp_dir, "export").collect()), key=str)
+    assert rows == [("1012100", "SP"), (None, "RJ")]
+
+
+def test_odd_folder_and_file_names(spark, tmp_dir):
+    folder = f"{tmp_dir}/a b%20[x]"
+    os.makedirs(folder)
+    _write(f"{folder}/EXP 2024 {{1}}.csv", EXP_HEADER + "\n2024;1;1;SP;20;5;1;500\n")
+    rows = read_raw(spark, folder.replace("[", "\\[").replace("]", "\\]"), "export", keep_file=True).collect()
+    assert [(r.CO_ANO, r.VL_FOB) for r in rows] == [(2024, 500)]
+
+
+def test_many_compressed_files_are_one_scan(spark, tmp_dir):
+    import gzip
+
+    from tradeflow.sources.raw import group_by_header, list_files
+
+    for k in range(20):
+        with gzip.open(f"{tmp_dir}/EXP_2024_{k}.csv.gz", "wb") as f:
+            f.write((EXP_HEADER + f"\n2024;1;{k};SP;20;5;1;500\n").encode("latin-1"))
+    assert len(group_by_header(spark, list_files(spark, tmp_dir))) == 1
+    assert read_raw(spark, tmp_dir, "export").count() == 20
+
+
+def test_lookup_dialect(spark, tmp_dir):
+    """Doubled quotes, separators and line breaks in text, NA and blanks, as the published files write them."""
+    text = (
+        "CO_PAIS;NO_PAIS;NO_PAIS_ING;NO_PAIS_ESP\n"
+        '1;"a ""b"" c";"tube ""1/2""; steel";"two\nlines"\n'
+        '2;NA;"";\n'
+        "NA;x;y;z\n"
+    )
+    _write(f"{tmp_dir}/PAIS.csv", text)
+    rows = {r.country_code: tuple(r)[1:] for r in read_lookup(spark, f"{tmp_dir}/PAIS.csv", "country").collect()}
+    assert rows == {1: ('a "b" c', 'tube "1/2"; steel', "two\nlines"), 2: (None, "", ""), None: ("x", "y", "z")}
+
+
+def test_names_stay_unique(spark):
+    from tradeflow.sources.names import clean_column_names
+
+    assert clean_column_names(spark.createDataFrame([(1, 2, 3, 4)], ["a", "a_2", "A_", "a-2"])).columns == ["a", "a_2", "a_3", "a_2_2"]
+
+
+HTML = """<TABLE class=x><TR><TD><A HREF="/ncm/EXP_2020.csv?a=1&amp;b=2">1</A></TD>
+<td class="y"><a href='/ncm/EXP_2021.csv'>2</a><table><tr><td>inner</td></tr></table>
+<a data-href="/ncm/EXP_1999.csv" href="/ncm/EXP_2022.csv">3</a></td>
+<td><a class=z href = "/ncm/EXP_2023.csv" >4</a> <a href=/ncm/EXP_2024.csv>5</a></td>
+<!-- <td><a href="/ncm/EXP_1998.csv">gone</a></td> --></TR></TABLE>
+<p><a href="/ncm/EXP_2025.csv">outside</a></p><abbr href="/ncm/EXP_1997.csv"></abbr>"""
+
+
+def test_links_as_an_html_parser_sees_them(spark):
+    from tradeflow.sources.links import discover_files
+
+    pages = spark.createDataFrame([(1, HTML), (2, None), (3, "<a name=x>no address</a>")], "id int, html string")
+    years = lambda **kw: sorted(r.link_year for r in discover_files(pages, **kw).collect())
+    assert years(in_table_cells=True) == [2020, 2021, 2022, 2023, 2024]
+    assert years() == [2020, 2021, 2022, 2023, 2024, 2025]
+    assert discover_files(pages).where("link_year = 2020").first().href == "/ncm/EXP_2020.csv?a=1&b=2"

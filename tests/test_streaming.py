@@ -7,8 +7,9 @@ from tradeflow.sources.raw import write_raw_files
 from tradeflow.streaming.landing import run_ingest_once, touched_years
 
 
-def test_touched_years():
-    got = touched_years(["s3://b/l/EXP_2024.csv", "/x/IMP_2023_1.csv", "/x/IMP_2023.csv", "/x/readme.csv"])
+def test_touched_years(spark):
+    paths = ["s3://b/l/EXP%202024.csv", "/x/IMP_2023_1.csv", "/x/IMP_2023.csv", "/x/readme.csv"]
+    got = touched_years(spark.createDataFrame([(p,) for p in paths], "path string"))
     assert got == {"export": [2024], "import": [2023]}
 
 
@@ -54,3 +55,32 @@ def test_one_file_per_batch_reloads_whole_years(spark, tmp_dir):
     store = open_store(spark, flow_path(base, "import"), "import")
     expected = fx.imports().where("year IN (1996, 1997)")
     assert store.exceptAll(expected).count() == 0 and expected.exceptAll(store).count() == 0
+
+
+def test_republished_and_old_dated_files_are_loaded(spark, tmp_dir):
+    import os
+    import time
+
+    header = "CO_ANO;CO_MES;CO_NCM;SG_UF_NCM;CO_PAIS;QT_ESTAT;KG_LIQUIDO;VL_FOB\n"
+    landing, base, ckpt = tmp_dir + "/landing", tmp_dir + "/store", tmp_dir + "/ckpt"
+    os.makedirs(landing)
+
+    def publish(year, months, age_days=0):
+        path = f"{landing}/EXP_{year}.csv"
+        with open(path, "w") as f:
+            f.write(header + "".join(f"{year};{m};1;SP;20;5;1;500\n" for m in months))
+        then = time.time() - 86400 * age_days
+        os.utime(path, (then, then))
+
+    def months():
+        rows = open_store(spark, flow_path(base, "export"), "export").select("year", "month").collect()
+        return sorted((r.year, r.month) for r in rows)
+
+    publish(2018, [1], age_days=30)
+    publish(2021, [1])
+    assert run_ingest_once(spark, landing, base, ckpt) == {"export": [2018, 2021]}
+    assert run_ingest_once(spark, landing, base, ckpt) == {}
+    publish(2021, [1, 2])
+    publish(2017, [5], age_days=400)
+    assert run_ingest_once(spark, landing, base, ckpt) == {"export": [2017, 2021]}
+    assert months() == [(2017, 5), (2018, 1), (2021, 1), (2021, 2)]

@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeflow.operators import enrich
 from tradeflow.operators.summaries import total_by_year, total_by_year_month
 from tradeflow.plans.refresh import available_years, latest_period, refresh_plan, update_store
-from tradeflow.plans.store import create_store, flow_path, open_store
-from tradeflow.schemas import FLOWS
+from tradeflow.plans.store import create_store, flow_path, open_store, stored_years
+from tradeflow.schemas import FIRST_DATA_YEAR, FLOWS
 from tradeflow.sources.lookups import build_lookups, load_lookup
 
 filter_states = enrich.filter_states
@@ -46,7 +46,8 @@ class TradeDB:
         return self.open("import")
 
     def create_cs_db(self, raw_paths, start_year: int | None = None, flows=FLOWS) -> dict:
-        return create_store(self.spark, raw_paths, self.dest_dir, start_year=start_year, flows=flows)
+        """Load the raw files from the first published year (1997) or ``start_year`` on."""
+        return create_store(self.spark, raw_paths, self.dest_dir, start_year=start_year, flows=flows, first_year=FIRST_DATA_YEAR)
 
     def update_cs_db(self, raw_paths, official, start_year: int | None = None, current_year: int | None = None) -> dict:
         return update_store(self.spark, raw_paths, self.dest_dir, official, current_year, start_year)
@@ -55,11 +56,12 @@ class TradeDB:
         return available_years(self.open(flow))
 
     def latest_period(self, flow: str = "import") -> DataFrame:
-        return latest_period(self.open(flow))
+        return latest_period(self.open(flow), stored_years(self.spark, flow_path(self.dest_dir, flow)))
 
     def refresh_plan(self, official, current_year: int | None = None, start_year: int | None = None) -> DataFrame:
         """The years an update would load, with reasons (empty when the store is current)."""
-        return refresh_plan(self.exports, self.imports, official, current_year, start_year)
+        years = {flow: stored_years(self.spark, flow_path(self.dest_dir, flow)) for flow in FLOWS}
+        return refresh_plan(self.exports, self.imports, official, current_year, start_year, years=years)
 
     # ---------------------------------------------------------------- lookups
     @cached_property

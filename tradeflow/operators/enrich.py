@@ -2,48 +2,21 @@
 
 Every enrichment is a left join against a lookup with a null-safe equality, so
 a null code finds the lookup's null-key row, as in the reference.  Lookups are
-small (the largest published one has 13,724 rows); they are broadcast only after
-their row count has been checked against ``MAX_BROADCAST_ROWS``, otherwise the
-join is left to the planner (sort-merge, or a runtime broadcast under AQE).
-The input is never shuffled for a broadcast join, and its row count is kept as
-long as lookup keys are unique (checked when a lookup is saved).
+small (the largest published one has 13,724 rows), but no hint says so: the planner
+broadcasts a lookup whose size in bytes is below ``spark.sql.autoBroadcastJoinThreshold``,
+or finds out at run time (AQE), and otherwise joins by sort-merge, splitting hot keys.
+No job runs while a frame is built.  The input's row count is kept as long as lookup
+keys are unique (checked when a lookup is saved).
 
 Output columns: the input columns (minus a dropped key), then the added ones.
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_DOCUMENTED_ROWS, isic_columns, lang_suffix
-
-# 100 times the largest published lookup (13,724 product rows): 1,372,400 rows.
-MAX_BROADCAST_ROWS = 100 * max(LOOKUP_DOCUMENTED_ROWS.values())
-
-_counts: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
-
-
-def lookup_rows(lookup: DataFrame) -> int:
-    """Row count of a lookup, computed once per DataFrame object."""
-    try:
-        return _counts[lookup]
-    except (KeyError, TypeError):
-        n = lookup.count()
-        try:
-            _counts[lookup] = n
-        except TypeError:
-            pass
-        return n
-
-
-def bounded_broadcast(lookup: DataFrame, projected: DataFrame | None = None) -> DataFrame:
-    """``broadcast(projected)`` if ``lookup`` has at most MAX_BROADCAST_ROWS rows, else no hint."""
-    side = lookup if projected is None else projected
-    return F.broadcast(side) if lookup_rows(lookup) <= MAX_BROADCAST_ROWS else side
-
+from tradeflow.schemas import BRAZILIAN_STATES, isic_columns, lang_suffix
 
 def _require(df: DataFrame, col: str) -> None:
     if col not in df.columns:
@@ -62,7 +35,7 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, cols: list[str], lef
         raise ValueError(f"column(s) {clash} already exist; rename or drop them before joining")
     tmp = f"__lookup_{key}"
     right = lookup.select(F.col(key).alias(tmp), *cols)
-    joined = df.join(bounded_broadcast(lookup, right), F.col(left_key).eqNullSafe(F.col(tmp)), "left")
+    joined = df.join(right, F.col(left_key).eqNullSafe(F.col(tmp)), "left")
     return joined.drop(tmp)
 
 

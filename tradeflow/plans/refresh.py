@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.functions import pad_code, period
-from tradeflow.plans.store import create_store, flow_path, open_store
-from tradeflow.schemas import FIRST_DATA_YEAR
+from tradeflow.plans.store import create_store, flow_path, open_store, stored_years
+from tradeflow.schemas import FIRST_DATA_YEAR, FLOWS
 from tradeflow.session import checkpoint_root
 from tradeflow.sources.raw import route_of
 
@@ -51,9 +51,14 @@ def _key_period(key: Column) -> Column:
     return period(F.floor(key / 100), key % 100)
 
 
-def latest_period(store: DataFrame) -> DataFrame:
-    """One row: the last month of the last year as 'yyyy-mm' (null for an empty store)."""
-    last = store.agg(F.max(_period_key("year", "month")).alias("k"))
+def latest_period(store: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """One row: the last month of the last year as 'yyyy-mm' (null for an empty store).
+
+    Only the last year's files are scanned: the year comes from ``years`` (``stored_years``),
+    or from a scan of partition values, and prunes the others.
+    """
+    year = F.lit(max(years)) if years else available_years(store).agg(F.max("year")).scalar()
+    last = store.where(F.col("year") == year).agg(F.max(_period_key("year", "month")).alias("k"))
     return last.select(_key_period(F.col("k")).alias("period"))
 
 
@@ -69,9 +74,9 @@ def official_period(feed: DataFrame, payload_col: str = "payload") -> DataFrame:
     return feed.select(*[c for c in feed.columns if c != payload_col], p.alias("period"))
 
 
-def is_current(store: DataFrame, official: DataFrame) -> DataFrame:
+def is_current(store: DataFrame, official: DataFrame, years: list[int] | None = None) -> DataFrame:
     """For each official period: the local period and whether they are equal."""
-    local = latest_period(store).scalar()
+    local = latest_period(store, years).scalar()
     return official.select("*", local.alias("local_period"), (F.col("period") == local).alias("is_current"))
 
 
@@ -90,13 +95,24 @@ def _as_period_column(spark: SparkSession, official: str | DataFrame) -> Column:
     return F.when(p.rlike(_PERIOD_PATTERN), p).otherwise(bad.cast("string"))
 
 
-def year_summary(exports: DataFrame, imports: DataFrame) -> DataFrame:
-    """(flow, year, last_month): one scan per flow, reading ``month`` and partition values only."""
+def year_summary(exports: DataFrame, imports: DataFrame, years: dict[str, list[int]] | None = None) -> DataFrame:
+    """(flow, year, last_month), the month for each flow's last year only: no other year's files are scanned.
+
+    ``years`` holds the stored years by flow (``stored_years``); without it they come from a scan of
+    partition values.
+    """
 
     def one(store: DataFrame, flow: str) -> DataFrame:
-        g = store.groupBy("year").agg(F.max("month").alias("last_month"))
-        return g.select(F.lit(flow).alias("flow"), "year", "last_month")
+        if years is not None:
+            known = spark.range(0, 10_000).where(F.col("id").isin(years[flow])).select(F.col("id").cast("int").alias("year"))
+            last = F.lit(max(years[flow], default=None)).cast("int")
+        else:
+            known = available_years(store)
+            last = known.agg(F.max("year")).scalar()
+        month = store.where(F.col("year") == last).agg(F.max("month")).scalar()
+        return known.select(F.lit(flow).alias("flow"), "year", F.when(F.col("year") == last, month).alias("last_month"))
 
+    spark = exports.sparkSession
     return one(exports, "export").unionByName(one(imports, "import"))
 
 
@@ -107,6 +123,7 @@ def refresh_plan(
     current_year: int | None = None,
     start_year: int | None = None,
     first_year: int = FIRST_DATA_YEAR,
+    years: dict[str, list[int]] | None = None,
 ) -> DataFrame:
     """Years to load into both flows, with a reason: 'missing' (absent from a flow) or 'refresh'.
 
@@ -114,14 +131,16 @@ def refresh_plan(
     (for example from ``official_period``).  Empty when the store is current.
 
     The two stores are scanned once, into a per-year summary (at most one row
-    per flow and year) that is checkpointed to the shared checkpoint folder;
-    every later step reads that small table instead of scanning the stores again.
+    per flow and year) that is checkpointed to the shared checkpoint folder (a job
+    that runs when the plan is made); every later step reads that small table instead of
+    scanning the stores again.  With ``years`` (the stored years by flow, from
+    ``stored_years``) only the last year of either flow is scanned.
     """
     spark = exports.sparkSession
     if current_year is None:
         current_year = datetime.date.today().year
     checkpoint_root(spark)
-    summary = year_summary(exports, imports).checkpoint()
+    summary = year_summary(exports, imports, years).checkpoint()
 
     off = _as_period_column(spark, official)
     off_year = F.substring(off, 1, 4).cast("int")
@@ -154,8 +173,8 @@ def refresh_plan(
 
     start = F.greatest(F.lit(start_year).cast("int") if start_year is not None else lo, F.lit(first_year))
     stop = F.least(F.lit(int(current_year)), off_year)
-    years = spark.range(first_year, int(current_year) + 1).select(F.col("id").cast("int").alias("year"))
-    desired = years.where(F.col("year").between(start, stop))
+    calendar = spark.range(first_year, int(current_year) + 1).select(F.col("id").cast("int").alias("year"))
+    desired = calendar.where(F.col("year").between(start, stop))
     kept = both.where(~F.col("year").between(last_local, off_year))
     download = desired.subtract(kept)
 
@@ -183,14 +202,12 @@ def update_store(
     planned year is replaced as a whole.  Planned years without a raw file
     are listed under ``missing_files`` (per flow) and left as they are.
     """
-    try:
-        exports = open_store(spark, flow_path(base, "export"), "export")
-        imports = open_store(spark, flow_path(base, "import"), "import")
-        if not exports.inputFiles() or not imports.inputFiles():
-            raise FileNotFoundError("a flow of the store has no data files")
-    except Exception as exc:  # missing path, no files
-        raise RuntimeError(f"the store at {base} cannot be read; create it first ({exc})") from exc
-    plan = refresh_plan(exports, imports, official, current_year, start_year, first_year)
+    stored = {flow: stored_years(spark, flow_path(base, flow)) for flow in FLOWS}
+    if not all(stored.values()):
+        raise RuntimeError(f"the store at {base} cannot be read; create it first (years by flow: {stored})")
+    exports = open_store(spark, flow_path(base, "export"), "export")
+    imports = open_store(spark, flow_path(base, "import"), "import")
+    plan = refresh_plan(exports, imports, official, current_year, start_year, first_year, stored)
     rows = plan.orderBy("year").collect()
     years = [r.year for r in rows]
     if not years:

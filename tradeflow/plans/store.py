@@ -13,13 +13,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeflow.operators.normalise import conform, normalise
 from tradeflow.schemas import FLOWS, GRAIN, store_schema
-from tradeflow.sources.raw import file_name, list_files, read_raw, route_of, select_files
+from tradeflow.sources.raw import list_files, literal_path, read_raw, route_of, select_files
 
 
 def flow_path(base: str, flow: str) -> str:
@@ -76,28 +77,40 @@ def load_flow(
     check_file_year: bool = True,
 ) -> list[str]:
     """Ingest the raw files of one flow (chosen by file name) into the store; returns the files read."""
-    files = select_files(list_files(spark, raw_paths), flow, start_year, years)
+    return load_files(spark, list_files(spark, raw_paths), base, flow, start_year, years, layout, compact, check_file_year)
+
+
+def load_files(
+    spark: SparkSession,
+    listed: list[str],
+    base: str,
+    flow: str,
+    start_year: int | None = None,
+    years=None,
+    layout: str = "auto",
+    compact: bool = True,
+    check_file_year: bool = True,
+) -> list[str]:
+    """``load_flow`` over files that are listed already."""
+    files = select_files(listed, flow, start_year, years)
     if not files:
         return []
-    rows = read_raw(spark, files, flow, layout=layout, keep_file=check_file_year)
+    rows = read_raw(spark, [literal_path(f) for f in files], flow, layout=layout, keep_file=check_file_year)
     if check_file_year:
-        rows = _rows_match_file_year(rows, files)
+        rows = _rows_match_file_year(rows)
     write_store(normalise(rows, flow), flow_path(base, flow), flow, compact=compact)
     return files
 
 
-def _rows_match_file_year(rows: DataFrame, files: list[str]) -> DataFrame:
+def _rows_match_file_year(rows: DataFrame) -> DataFrame:
     """Raise on a row whose year differs from the year in its file's name.
 
     A year is replaced as a whole, so one stray row of 2023 in ``IMP_2024.csv``
-    would otherwise replace the stored 2023 with that single row.  The file years
-    are known from the file names already, so the check is a lookup in a small
-    literal map plus a comparison per row, inside the scan (no extra pass).
+    would otherwise replace the stored 2023 with that single row.  The year is read
+    from the row's file name, so the check costs the same for any number of files.
     """
-    by_name = {file_name(f): route_of(f)[1] for f in files}  # one name, one year (the year comes from the name)
-    pairs = [(n, y) for n, y in sorted(by_name.items()) if y is not None]
-    years = F.create_map(*[x for name, year in pairs for x in (F.lit(name), F.lit(year))])
-    expected = F.element_at(years, F.col("source_file")) if pairs else F.lit(None)
+    name = F.regexp_replace(F.col("source_file"), "%[0-9A-Fa-f]{2}", "_")  # a listed name may be an encoded URI
+    expected = F.nullif(F.regexp_extract(name, "[0-9]{4}", 0), F.lit("")).cast("int")
     ok = expected.isNull() | F.col("CO_ANO").isNull() | (F.col("CO_ANO") == expected)
     bad = F.raise_error(
         F.format_string("row of year %s in file %s: a file may only hold its own year", F.col("CO_ANO"), F.col("source_file"))
@@ -114,19 +127,42 @@ def create_store(
     flows=FLOWS,
     layout: str = "auto",
     compact: bool = True,
+    first_year: int | None = None,
 ) -> dict[str, list[str]]:
     """Ingest every raw file whose name carries a year >= ``start_year`` (and in ``years``), both flows.
 
     Files are chosen by name before anything is read.  Years already in the
     store that are not loaded stay as they are.  The flows are independent
     jobs and are submitted together, so Spark's scheduler can overlap them.
+
+    ``first_year`` is a lower bound beside ``start_year`` (the published data begin in
+    1997: ``schemas.FIRST_DATA_YEAR``).  Raises when no file's name has a flow and a year;
+    ``ignored_files`` tells which names have none.
     """
     flows = list(flows)
-    if len(flows) == 1:
-        return {flows[0]: load_flow(spark, raw_paths, base, flows[0], start_year, years, layout, compact)}
+    files = list_files(spark, raw_paths)
+    if not any(None not in route_of(f) for f in files):
+        raise ValueError(f"no raw file at {raw_paths!r}: a name must hold EXP or IMP and a year; found {files[:5]}")
+    if first_year is not None:
+        start_year = max(first_year, start_year or first_year)
+    load = inheritable_thread_target(spark)(load_files)  # job group, pool and tags as in the calling thread
     with ThreadPoolExecutor(max_workers=len(flows)) as pool:
         futures = {
-            flow: pool.submit(load_flow, spark, raw_paths, base, flow, start_year, years, layout, compact)
-            for flow in flows
+            flow: pool.submit(load, spark, files, base, flow, start_year, years, layout, compact) for flow in flows
         }
         return {flow: f.result() for flow, f in futures.items()}
+
+
+def ignored_files(spark: SparkSession, raw_paths) -> list[str]:
+    """Files at ``raw_paths`` that no load reads: their name has no flow or no year."""
+    return [f for f in list_files(spark, raw_paths) if None in route_of(f)]
+
+
+def stored_years(spark: SparkSession, path: str) -> list[int]:
+    """Years with a folder in one flow of the store, ascending: a listing of the folder, no row is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+    return sorted(int(n[5:]) for n in names if n.startswith("year=") and n[5:].isdigit())

@@ -33,6 +33,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tradeflow-ckpt-")
         sc.setCheckpointDir(root)

@@ -23,7 +23,14 @@ LOOKUP_CSV_OPTIONS = {
     "inferSchema": "false",
     "enforceSchema": "false",
     "mode": "FAILFAST",
+    # The published dialect: doubled quotes, separators and line breaks inside quoted text, NA for missing.
+    "quote": '"',
+    "escape": '"',
+    "multiLine": "true",
+    "emptyValue": "",
 }
+# Fixed value: the published files' mark for a missing value.
+MISSING = "NA"
 
 
 def _schema(name: str):
@@ -56,8 +63,11 @@ def read_lookup(spark: SparkSession, path: str, name: str | None = None, options
     """Scan a published lookup file (';', Latin-1), clean and rename its columns, type the known ones."""
     opts = dict(LOOKUP_CSV_OPTIONS)
     opts.update(options or {})
+    missing = opts.pop("nullValue", MISSING)
     df = bare_names(spark.read.options(**opts).csv(path))  # a leading byte-order mark is not part of a name
     df = rename_known_columns(clean_column_names(df), LOOKUP_RENAMES)
+    # A field without anything in it is empty text, quoted or not; only the mark is missing.
+    df = df.select(*[F.when(F.col(f"`{c}`") == missing, None).otherwise(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(c) for c in df.columns])
     return typed(df, name) if name else df
 
 

@@ -19,15 +19,13 @@ def clean_name(name: str) -> str:
 
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Rename every column to lower snake_case; repeated results get a numeric suffix."""
-    seen: dict[str, int] = {}
-    names = []
+    names: list[str] = []
     for c in df.columns:
-        n = clean_name(c)
-        if n in seen:
-            seen[n] += 1
-            n = f"{n}_{seen[n]}"
-        else:
-            seen[n] = 1
+        base = n = clean_name(c)
+        k = 1
+        while n in names:
+            k += 1
+            n = f"{base}_{k}"
         names.append(n)
     return df if names == df.columns else df.toDF(*names)
 

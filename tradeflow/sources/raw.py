@@ -15,7 +15,9 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +33,7 @@ CSV_OPTIONS = {
     "inferSchema": "false",
     "enforceSchema": "false",
     "mode": "FAILFAST",
+    "escape": '"',  # a doubled quote inside a quoted field is one quote
 }
 
 FLOW_TOKEN = {"export": "EXP", "import": "IMP"}
@@ -41,7 +44,13 @@ _YEAR = re.compile(r"[0-9]{4}")
 def list_files(spark: SparkSession, paths: str | list[str]) -> list[str]:
     """Expand paths, directories and globs to data files (file listing only, no data is read)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return sorted(spark.read.format("text").option("recursiveFileLookup", "true").load(paths).inputFiles())
+    listed = spark.read.format("text").option("recursiveFileLookup", "true").load(paths).inputFiles()
+    return sorted(unquote(f) for f in listed)  # Spark lists URIs; names are used as they are stored
+
+
+def literal_path(path: str) -> str:
+    """A listed path as a read path: characters that would start a glob are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def file_name(path: str) -> str:
@@ -76,12 +85,12 @@ def with_file_route(df: DataFrame, file_col: str = "source_file") -> DataFrame:
 
 
 def _typed(name: str) -> Column:
-    """Blank -> null, then an exact cast to the raw column's type."""
+    """Without blanks at either end; blank numbers and product codes -> null, then an exact cast."""
     t = RAW_TYPES[name]
-    c = F.col(f"`{name}`")
-    if t.simpleString() == "string":
-        return c.alias(name)
-    return F.nullif(F.trim(c), F.lit("")).cast(t).alias(name)
+    c = F.trim(F.col(f"`{name}`"))
+    if t.simpleString() != "string" or name == "CO_NCM":  # a product code is a number in the published files
+        c = F.nullif(c, F.lit(""))
+    return c.cast(t).alias(name)
 
 
 def bare_names(df: DataFrame) -> DataFrame:
@@ -104,40 +113,49 @@ def _read_csv(spark: SparkSession, paths, options: dict | None = None, schema=No
     return reader.csv(paths)
 
 
+# A header is looked for in so many bytes; where they hold no line end, Spark reads the file's header itself.
 HEADER_PROBE_BYTES = 65536
 
 
-def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str]:
+def header_lines(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[str, str | None]:
     """First line of each file, read through the Hadoop file system (a few bytes per file).
 
+    Compressed files are read through Hadoop's codec for their suffix.  None: no
+    line end within the probe, or no codec; such a file's header is left to Spark.
     Files are opened concurrently (object stores have high per-request latency);
     only the header lines reach the driver.
     """
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
 
-    def first_line(f: str) -> str:
+    def first_line(f: str) -> str | None:
         p = Path(f)
+        codec = codecs.getCodec(p)
+        if codec is None and f.lower().endswith(COMPRESSED_SUFFIXES):
+            return None
         stream = p.getFileSystem(conf).open(p)
         try:
-            head = bytes(stream.readNBytes(HEADER_PROBE_BYTES))  # bounded, whatever the file holds
+            source = stream if codec is None else codec.createInputStream(stream)
+            head = bytes(source.readNBytes(HEADER_PROBE_BYTES))  # bounded, whatever the file holds
         finally:
             stream.close()
+        if b"\n" not in head and len(head) == HEADER_PROBE_BYTES:
+            return None
         return head.decode(encoding, errors="replace").split("\n", 1)[0].rstrip("\r")
 
     if len(files) <= 4:
         return {f: first_line(f) for f in files}
     with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
-        return dict(zip(files, pool.map(first_line, files)))
+        return dict(zip(files, pool.map(inheritable_thread_target(spark)(first_line), files)))
 
 
 # A UTF-8 byte-order mark, as it reads in UTF-8 and in Latin-1.
 _BOMS = ("\ufeff", "\u00ef\u00bb\u00bf")
 
 
-# Compressed files are not probed: their first bytes are not the header.  Spark
-# decompresses them when it reads them (gzip files are not splittable, so each
+# Spark decompresses these when it reads them (gzip files are not splittable, so each
 # is read by one task; uncompressed or bzip2 files are split).
 COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".deflate", ".lz4", ".snappy", ".xz", ".br", ".zip")
 
@@ -145,16 +163,19 @@ COMPRESSED_SUFFIXES = (".gz", ".bz2", ".zst", ".deflate", ".lz4", ".snappy", ".x
 def group_by_header(spark: SparkSession, files: list[str]) -> list[tuple[str | None, list[str]]]:
     """(header line, files) groups: files with the same header line are read in one scan.
 
-    A compressed file forms its own group with no known header (Spark reads its header).
+    A file whose header was not found forms its own group (Spark reads its header).
     """
-    plain = [f for f in files if not f.lower().endswith(COMPRESSED_SUFFIXES)]
     groups: dict[str, list[str]] = {}
-    for f, h in header_lines(spark, plain).items():
+    unknown: list[tuple[str | None, list[str]]] = []
+    for f, h in header_lines(spark, files).items():
+        if h is None:
+            unknown.append((None, [f]))
+            continue
         for bom in _BOMS:  # Spark's CSV parser skips a byte-order mark too
             if h.startswith(bom):
                 h = h[len(bom):]
         groups.setdefault(h.strip(), []).append(f)
-    return list(groups.items()) + [(None, [f]) for f in files if f not in set(plain)]
+    return list(groups.items()) + unknown
 
 
 def header_schema(header: str, sep: str = ";") -> T.StructType | None:
@@ -211,7 +232,7 @@ def read_raw(
         raise ValueError("layout must be 'auto', 'per_file' or 'shared'")
     frames = []
     for schema, group in groups:
-        df = bare_names(_read_csv(spark, group, options, schema))
+        df = bare_names(_read_csv(spark, [literal_path(f) for f in group], options, schema))
         missing = [c for c in wanted if c not in df.columns]
         if missing:
             where = group[0] if len(group) == 1 else f"{len(group)} files starting with {group[0]}"

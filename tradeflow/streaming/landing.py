@@ -1,30 +1,32 @@
-"""Keeping the store current from a landing folder, with Structured Streaming.
+"""Keeping the store current from a landing folder.
 
 Raw files (``EXP_2024.csv``, ``IMP_2024.csv``, possibly split in several
-parts) are dropped into a landing folder.  A ``binaryFile`` stream over that
-folder lists the new files without reading them (only path, time and length
-are selected, so no content is read), and the stream's checkpoint remembers
-which files have been seen.  Each micro-batch reloads every (flow, year) it
-touched, from **all** landing files of that flow and year, and replaces those
-years in the store (dynamic overwrite).  Replaying a batch after a failure
-writes the same years again with the same content, so the sink is idempotent.
-
-With ``trigger(availableNow=True)`` (the default) the query processes what has
-arrived and stops, which suits a scheduled refresh; with a processing-time
-trigger it keeps watching the folder.
+parts) are dropped into a landing folder, and the current year's file is
+published again under its name every month.  A refresh compares the folder's listing
+(path, modification time, length; no content is read) with the listing that the last load
+recorded in the checkpoint folder, so late, old-dated and republished files all
+count as changed.  It reloads every (flow, year) with a changed file from **all** landing
+files of that flow and year, replaces those years in the store (dynamic overwrite), and then
+records the listing.  A refresh that fails before that is simply done again: the same
+years are written with the same content.
+
+``run_ingest_once`` does one refresh.  ``start_ingest`` keeps watching the folder: a
+``binaryFile`` stream, without an age limit, notices arriving names, and each micro-batch runs the same
+refresh (so files that were republished meanwhile are loaded too).
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeflow.plans.store import load_flow
-from tradeflow.schemas import FLOWS
-from tradeflow.sources.raw import route_of
+from tradeflow.sources.raw import route_columns
 
 # The fixed schema of Spark's binaryFile source; ``content`` is never selected, so never read.
 BINARY_FILE_SCHEMA = T.StructType(
@@ -47,38 +49,69 @@ def new_files(spark: SparkSession, landing: str, glob: str = "*.csv*", max_files
         .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", "36500d")  # the default drops files a week older than the newest one
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
     return reader.load(landing).select("path", "modificationTime", "length")
 
 
-def touched_years(paths: list[str]) -> dict[str, list[int]]:
-    """(flow -> years) named by the file names of one batch."""
-    out: dict[str, set[int]] = {f: set() for f in FLOWS}
-    for p in paths:
-        flow, year = route_of(p)
-        if flow is not None and year is not None:
-            out[flow].add(year)
-    return {f: sorted(ys) for f, ys in out.items() if ys}
+LISTING = "path string, modificationTime timestamp, length long"
 
 
-def ingest_batch(landing: str, base: str, layout: str = "auto"):
-    """``foreachBatch`` function: reload the (flow, year)s of the batch's files into the store."""
+def listing(spark: SparkSession, landing: str, glob: str = "*.csv*") -> DataFrame:
+    """path, modificationTime and length of the files in ``landing``; contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    return files.load(landing).select("path", "modificationTime", "length")
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.select("path").collect()]  # file names only
-        spark = batch.sparkSession
-        work = touched_years(paths)
-        if not work:
-            return
+
+def _versions(spark: SparkSession, state: str) -> list[int]:
+    """Completely written listings below ``state``, ascending."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(state)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    done = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/v*/_SUCCESS"))
+    return sorted(int(s.getPath().getParent().getName()[1:]) for s in done)
+
+
+def touched_years(changed: DataFrame) -> dict[str, list[int]]:
+    """flow -> years named by the changed files: at most one row for each flow and year reaches the driver."""
+    name = F.regexp_replace(F.substring_index("path", "/", -1), "%[0-9A-Fa-f]{2}", "_")
+    rows = changed.select(*route_columns(name)).where("flow is not null and file_year is not null").distinct().collect()
+    out: dict[str, list[int]] = {}
+    for flow, year in sorted((r.flow, r.file_year) for r in rows):
+        out.setdefault({"exp": "export", "imp": "import"}[flow], []).append(year)
+    return out
+
+
+def refresh_from_landing(spark: SparkSession, landing: str, base: str, state: str, layout: str = "auto") -> dict[str, list[int]]:
+    """Reload the (flow, year)s whose files changed since the listing recorded below ``state``; returns them."""
+    versions = _versions(spark, state)
+    number = versions[-1] + 1 if versions else 0
+    now = listing(spark, landing)
+    # Written first, and read back: the folder may change while the years are loaded.
+    seen = f"{state}/next-{number}"
+    now.write.mode("overwrite").parquet(seen)
+    now = spark.read.schema(LISTING).parquet(seen)
+    known = spark.read.schema(LISTING).parquet(f"{state}/v{versions[-1]}") if versions else spark.createDataFrame([], LISTING)
+    work = touched_years(now.join(known, ["path", "modificationTime", "length"], "left_anti"))
+    if work:
         # the flows are independent jobs; submit them together, as create_store does
+        load = inheritable_thread_target(spark)(load_flow)
         with ThreadPoolExecutor(max_workers=len(work)) as pool:
-            futures = [
-                pool.submit(load_flow, spark, landing, base, flow, None, years, layout) for flow, years in work.items()
-            ]
+            futures = [pool.submit(load, spark, landing, base, flow, None, years, layout) for flow, years in work.items()]
             for f in futures:
-                f.result()  # re-raise a failure, so the batch fails and is replayed
+                f.result()  # re-raise a failure: nothing is recorded, so the next refresh does it again
+    now.write.mode("overwrite").parquet(f"{state}/v{number}")
+    return work
+
+
+def ingest_batch(landing: str, base: str, state: str, layout: str = "auto"):
+    """``foreachBatch`` function: refresh the store from the landing folder."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        refresh_from_landing(batch.sparkSession, landing, base, state, layout)
 
     return run
 
@@ -93,8 +126,8 @@ def start_ingest(
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder ingest; ``checkpoint`` must be on a shared file system."""
-    writer = new_files(spark, landing, max_files=max_files).writeStream.foreachBatch(ingest_batch(landing, base))
-    writer = writer.option("checkpointLocation", checkpoint)
+    writer = new_files(spark, landing, max_files=max_files).writeStream.foreachBatch(ingest_batch(landing, base, f"{checkpoint}/listings"))
+    writer = writer.option("checkpointLocation", f"{checkpoint}/stream")
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -102,9 +135,6 @@ def start_ingest(
     return writer.start()
 
 
-def run_ingest_once(spark: SparkSession, landing: str, base: str, checkpoint: str) -> None:
-    """Process everything that has arrived since the last run, then return."""
-    q = start_ingest(spark, landing, base, checkpoint, available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"landing ingest failed: {q.exception()}")
+def run_ingest_once(spark: SparkSession, landing: str, base: str, checkpoint: str) -> dict[str, list[int]]:
+    """Load everything that has changed since the last run, then return; ``checkpoint`` must be shared."""
+    return refresh_from_landing(spark, landing, base, f"{checkpoint}/listings")
