@@ -12,14 +12,16 @@ weighted Jaccard without bias, and a shingle is left as soon as its next point i
 later than the latest place of its text, which is why few points are drawn.
 
 Candidates.  25 bands of 5 places: a pair at 0.8 shares a band with probability 0.99995.
-Exact copies are collapsed to their smallest id first.  Groups of equal bands are worked off in
-rounds instead of pair by pair: some members become pivots, are compared with every member
-of another class in the group, and retire.  Links found merge classes, and groups
-within one class are done; so copies cost one comparison each, yet every pair of texts in
-different classes that shares a band is verified in the end.  Verification is exact, on the
-shingle counts.
+Exact copies are collapsed to their smallest id first.  Then each group of equal bands is
+worked off in two steps instead of pair by pair.  First its most connected text (the one in the
+largest groups over all bands: the text that others are edits of) is compared with all others,
+which costs one pair for each member and merges nearly all classes.  Groups that
+still hold several classes are finished in blocks: packs of texts outside the group's
+largest class against packs of all its texts, a whole pack pair by one inverted index.  So
+every pair of texts in different classes that shares a band is verified.  Verification is
+exact, on the shingle counts.
 
-Every round's tables are written to the shared scratch folder; the driver holds none of them.
+Tables that are read twice are written to the shared scratch folder; the driver holds none of them.
 
 Defined results: texts without a word are in no class but that of their exact copies; a class's id is its
 smallest doc_id; rows with a null id never stand for a class (alone, their class is null);
@@ -42,8 +44,8 @@ from .shingles import blocks, mix, uniform, window_rows, windows_of, words_of
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 25, 5
 PLACES = BANDS * ROWS
-#: Pivots of a group grow by this factor each round.
-GROWTH = 4
+#: Texts, and bytes of shingles, in a pack of a group that is finished in blocks.
+PACK_TEXTS, PACK_BYTES = 64, 1 << 22
 
 
 def shingle_counts(raw: np.ndarray, starts: np.ndarray, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,6 +184,48 @@ def merged(links: DataFrame) -> DataFrame:
     return found
 
 
+def _reclassed(classes: DataFrame, moved: DataFrame) -> DataFrame:
+    """``classes`` (id, class) after the moves (old, new)."""
+    after = classes.join(moved, F.col("class") == F.col("old"), "left")
+    return written(after.select("id", F.coalesce("new", "class").alias("class")), "classes")
+
+
+def _packs(members: DataFrame, bags: DataFrame) -> DataFrame:
+    """(band, minor, pack): texts of a group, those outside its largest class apart, in packs of bounded size."""
+    rows = members.join(bags, "id")
+    sizes = rows.groupBy("band", "minor").agg(F.count("*").alias("texts"), F.sum(F.octet_length("hashes")).alias("bytes"))
+    slots = F.greatest(F.ceil(F.col("texts") / PACK_TEXTS), F.ceil(F.col("bytes") / PACK_BYTES))
+    rows = rows.join(sizes.select("band", "minor", slots.alias("slots")), ["band", "minor"])
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64("id"), F.col("slots")))
+    pack = F.collect_list(F.struct("id", "class", "n", "hashes", "counts")).alias("pack")
+    return written(rows.groupBy("band", "minor", "slot").agg(pack), "packs")
+
+
+def _alike_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (class, class) between the texts of two packs, by one index of the second."""
+    for b in batches:
+        links: set[tuple[int, int]] = set()
+        for left, right in zip(b.column(0), b.column(1)):
+            right = [x.as_py() for x in right]
+            hashes = np.concatenate([np.frombuffer(x["hashes"], np.uint64) for x in right])
+            owner = np.repeat(np.arange(len(right)), [len(x["hashes"]) // 8 for x in right])
+            counts = np.concatenate([np.frombuffer(x["counts"], "<u4") for x in right]).astype(np.int64)
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner, counts = hashes[order], owner[order], counts[order]
+            sizes, of = np.array([x["n"] for x in right]), np.array([x["class"] for x in right])
+            for x in left:
+                x = x.as_py()
+                own, times = np.frombuffer(x["hashes"], np.uint64), np.frombuffer(x["counts"], "<u4").astype(np.int64)
+                low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+                lengths = high - low
+                at = np.repeat(low - np.cumsum(lengths) + lengths, lengths) + np.arange(int(lengths.sum()))
+                shared = np.bincount(owner[at], np.minimum(counts[at], np.repeat(times, lengths)), len(right))
+                alike = (shared >= SIMILARITY * (sizes + x["n"] - shared)) & (of != x["class"])
+                links.update((x["class"], int(c)) for c in of[alike])
+        u, v = zip(*sorted(links)) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id and class_id of every row of ``docs`` (doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
@@ -190,34 +234,25 @@ def near_classes(docs: DataFrame) -> DataFrame:
     standing = signed.groupBy("copy").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
     standing = written(standing.where("id is not null"), "standing")
     places = standing.select("id", F.explode("bands").alias("band"))
-    shared = places.groupBy("band").count().where("count > 1").select("band")
-    members = written(places.join(shared, "band").select("band", "id", F.col("id").alias("class")), "members")
-    classes = members.select("id").distinct().select("id", F.col("id").alias("class"))
-    bags = written(texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_packed, "id long, n long, hashes binary, counts binary"), "bags")
-    slots = 1
-    while True:
-        mixed = members.groupBy("band").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a != z")
-        sizes = members.join(mixed.select("band"), "band", "left_semi").groupBy("band", "class").count()
-        # The largest class of a group gives one pivot a round; of all other members, ``slots`` are pivots.
-        largest = sizes.groupBy("band").agg(F.max_by("class", F.struct("count", -F.col("class"))).alias("large"))
-        open_ = members.join(largest, "band").withColumn(
-            "slot", F.when(F.col("class") == F.col("large"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("id", F.lit(slots)), F.lit(slots)))
-        )
-        open_ = written(open_, "open")
-        pivots = open_.groupBy("band", "slot").agg(F.min("id").alias("pivot"), F.min_by("class", "id").alias("pivot_class"))
-        pivots = written(pivots.select("band", "pivot", "pivot_class"), "pivots")
-        pairs = open_.join(pivots, "band").where("class != pivot_class")
-        pairs = written(pairs.select(F.least("id", "pivot").alias("u"), F.greatest("id", "pivot").alias("v")).distinct(), "pairs")
-        if pairs.isEmpty():
-            break
-        links = _verified(pairs, bags)
-        of = lambda k: classes.select(F.col("id").alias(k), F.col("class").alias(k + "_class"))
-        moved = merged(links.join(of("u"), "u").join(of("v"), "v").select(F.col("u_class").alias("u"), F.col("v_class").alias("v")))
-        renamed = lambda df: df.join(moved, F.col("class") == F.col("old"), "left").withColumn("class", F.coalesce("new", "class")).drop("old", "new")
-        classes = written(renamed(classes), "classes")
-        waiting = open_.join(pivots.select("band", F.col("pivot").alias("id")), ["band", "id"], "left_anti")
-        members = written(renamed(waiting.select("band", "id", "class")), "members")
-        slots *= GROWTH
+    shared = places.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(places.join(shared, "band").select("band", "id", "size"), "members")
+    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
+    classes = weight.select("id", F.col("id").alias("class"))
+    bags = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    bags = written(bags.mapInArrow(_packed, "id long, n long, hashes binary, counts binary"), "bags")
+    # First step: each group's most connected text against the others.
+    pivots = members.join(weight, "id").groupBy("band").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("pivot"))
+    paired = written(members.select("band", "id").join(pivots, "band").where("id != pivot"), "paired")
+    pairs = paired.select(F.least("id", "pivot").alias("u"), F.greatest("id", "pivot").alias("v")).distinct()
+    classes = _reclassed(classes, merged(_verified(written(pairs, "pairs"), bags)))
+    # Second step: groups whose other members are still in several classes.
+    waiting = written(paired.select("band", "id").join(classes, "id"), "waiting")
+    sizes = waiting.groupBy("band", "class").count()
+    largest = sizes.groupBy("band").agg(F.max_by("class", F.struct("count", -F.col("class"))).alias("large"), F.count("*").alias("k"))
+    packs = _packs(waiting.join(largest.where("k > 1"), "band").select("band", "id", "class", (F.col("class") != F.col("large")).alias("minor")), bags)
+    side = lambda k: packs.select("band", "minor", F.col("pack").alias(k))
+    both = side("a").where("minor").drop("minor").join(side("b").drop("minor"), "band").select("a", "b")
+    classes = _reclassed(classes, merged(both.mapInArrow(_alike_packs, "u long, v long")))
     named = standing.select("copy", "id").join(classes, "id", "left").select("copy", F.coalesce("class", "id").alias("class_id"))
     return signed.select(F.col("id").alias("doc_id"), "copy").join(named, "copy", "left").select("doc_id", "class_id")
 
