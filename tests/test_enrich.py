@@ -39,7 +39,11 @@ def test_null_key_matches_null_key(spark, country):
     assert out.columns == ["country_code", "v", "country_name"]
 
 
-def test_broadcast_join_no_shuffle_of_input(spark, country):
+def test_broadcast_join_no_shuffle_of_input(spark, country, tmp_dir):
+    from tradeflow.sources.lookups import load_lookup, save_lookup
+
+    save_lookup(country, tmp_dir, "country")
+    country = load_lookup(spark, tmp_dir, "country")  # a saved lookup has a known size
     df = spark.range(1000).selectExpr("CAST(id % 30 AS INT) AS country_code", "id AS v")
     plan = plan_text(add_country_name(df, country))
     assert "BroadcastHashJoin" in plan

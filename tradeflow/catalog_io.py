@@ -20,10 +20,10 @@ from tradeflow.plans.refresh import (
     refresh_plan,
     update_store,
 )
-from tradeflow.plans.store import create_store, flow_path, open_store, write_store
+from tradeflow.plans.store import create_store, flow_path, open_store, write_store, stored_years
 from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_RENAMES, RAW_RENAMES, UNIT_TRANSLATIONS
 from tradeflow.session import scratch_dir
-from tradeflow.sources.links import discover_files
+from tradeflow.sources.links import discover_files, find_table_links
 from tradeflow.sources.lookups import (
     build_bec_lookup,
     build_country_lookup,
@@ -131,6 +131,26 @@ def q_read_lookup(spark, d):
     return read_lookup(spark, path, "country")
 
 
+@register(
+    "read_lookup_quoted",
+    """SELECT CAST(p_partkey AS INT) AS country_code, CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_name END AS country_name_pt,
+  p_name || ' "' || p_brand || '"; ' || p_type || chr(10) || 'end' AS country_name,
+  CASE WHEN p_size % 5 = 0 THEN '' ELSE p_brand END AS country_name_es FROM part""",
+)
+def q_read_lookup_quoted(spark, d):
+    """Doubled quotes, separators and line breaks in text, NA and blanks."""
+    p = Fixtures(spark, d).table("part")
+    df = p.select(
+        F.col("p_partkey").alias("CO_PAIS"),
+        F.when(F.col("p_size") % 7 == 0, "NA").otherwise(F.col("p_name")).alias("NO_PAIS"),
+        F.concat("p_name", F.lit(' "'), "p_brand", F.lit('"; '), "p_type", F.lit("\nend")).alias("NO_PAIS_ING"),
+        F.when(F.col("p_size") % 5 == 0, "").otherwise(F.col("p_brand")).alias("NO_PAIS_ESP"),
+    )
+    path = scratch_dir(spark, "lookup-csv")
+    df.write.options(sep=";", header="true", encoding="ISO-8859-1", escape='"', emptyValue="").csv(path)
+    return read_lookup(spark, path, "country")
+
+
 def _prepared(df):
     return rename_known_columns(clean_column_names(df), LOOKUP_RENAMES)
 
@@ -230,6 +250,43 @@ def q_discover_files(spark, d):
     return discover_files(pages, include="^/[a-z]", exclude="tion|ment")
 
 
+def _portal(spark, d):
+    """A portal page for each order: a link to its year's file in a table cell, and links that do not count."""
+    o = Fixtures(spark, d).table("orders").select(F.col("o_orderkey").cast("string").alias("k"), F.year("o_orderdate").cast("string").alias("y"))
+    html = F.concat(
+        F.lit("<p><a href='/ncm/EXP_1900.csv'>no cell</a></p><TABLE class=x><TR><TD><A title=y HREF = '/ncm/EXP_"), "y", F.lit("_"), "k",
+        F.lit(".csv?a=1&amp;b=2'>file</A><!-- <a href=\"/ncm/EXP_"), "y", F.lit("_0.csv\">old</a> --></TD><td><a data-href=no href=/ncm/IMP_"),
+        "y", F.lit("_COMPLETA.csv>all</a> <a href=\"/tab/PAIS.csv\">countries</a></td></TR></TABLE>"),
+    )
+    return o.select(F.col("k").cast("bigint").alias("page_id"), html.alias("html"))
+
+
+def _portal_sql(where: str) -> str:
+    return f"""SELECT CAST(o_orderkey AS BIGINT) AS page_id, '/ncm/EXP_' || year(o_orderdate) || '_' || o_orderkey || '.csv?a=1&b=2' AS href,
+  CAST(year(o_orderdate) AS INT) AS link_year FROM orders WHERE {where}"""
+
+
+@register("discover_files_portal", _portal_sql("TRUE"))
+def q_discover_files_portal(spark, d):
+    return discover_files(_portal(spark, d), css_scope="table tr td a")
+
+
+@register("discover_files_years", _portal_sql("year(o_orderdate) IN (1993, 1996)"))
+def q_discover_files_years(spark, d):
+    return discover_files(_portal(spark, d), years=[1993, 1996], css_scope="table tr td a")
+
+
+@register("discover_files_planned", with_views(_portal_sql("year(o_orderdate) IN (SELECT year FROM exports)"), "exports"))
+def q_discover_files_planned(spark, d):
+    planned = Fixtures(spark, d).exports().select("year").distinct()
+    return discover_files(_portal(spark, d), years=planned, css_scope="table tr td a")
+
+
+@register("find_table_links", "SELECT CAST(o_orderkey AS BIGINT) AS page_id, '/tab/PAIS.csv' AS href, CAST(NULL AS INT) AS link_year FROM orders")
+def q_find_table_links(spark, d):
+    return find_table_links(_portal(spark, d), "PAIS")
+
+
 # ---------------------------------------------------------------- store
 def _store(spark, d, exports=None, imports=None):
     base = scratch_dir(spark, "store")
@@ -314,15 +371,16 @@ def q_is_current(spark, d):
     return is_current(store, official_period(Fixtures(spark, d).official_feed()))
 
 
-def _plan_sql(official: str, current_year: int, exports_where: str = "TRUE", views=()) -> str:
-    """The year plan in SQL; ``official`` is a SQL expression giving 'yyyy-mm'."""
+def _plan_sql(official: str, current_year: int, exports_where: str = "TRUE", views=(), start: str | None = None) -> str:
+    """The year plan in SQL; ``official`` is a SQL expression giving 'yyyy-mm', ``start`` the first year wanted."""
+    start = start or "least((SELECT min(year) FROM e), (SELECT min(year) FROM i))"
     download = f"""
 SELECT year FROM (SELECT CAST(y AS INT) AS year FROM range(1997, {current_year + 1}) t(y)) r, p
 WHERE year BETWEEN p.start_y AND p.stop_y
 EXCEPT
 SELECT year FROM b, p WHERE NOT (year BETWEEN p.local_last AND p.off_y)"""
     params = f"""
-SELECT greatest(least((SELECT min(year) FROM e), (SELECT min(year) FROM i)), 1997) AS start_y,
+SELECT greatest({start}, 1997) AS start_y,
   least({current_year}, CAST(substr(o.period, 1, 4) AS INT)) AS stop_y,
   least((SELECT max(year) FROM e), (SELECT max(year) FROM i)) AS local_last,
   CAST(substr(o.period, 1, 4) AS INT) AS off_y, o.period AS off_period
@@ -357,6 +415,18 @@ def q_refresh_plan(spark, d):
     return refresh_plan(e, i, "2002-03", current_year=2002)
 
 
+for _name, _start in (("refresh_plan_start_year", 2000), ("refresh_plan_start_before_data", 1990)):
+    def _q(spark, d, _start=_start):
+        fx = Fixtures(spark, d)
+        base = _store(spark, d, exports=fx.exports().where("year <> 1997"))
+        e = open_store(spark, flow_path(base, "export"), "export")
+        i = open_store(spark, flow_path(base, "import"), "import")
+        years = {flow: stored_years(spark, flow_path(base, flow)) for flow in ("export", "import")}
+        return refresh_plan(e, i, "2002-03", current_year=2002, start_year=_start, years=years)
+
+    register(_name, _plan_sql("'2002-03'", 2002, "year <> 1997", start=str(_start)))(_q)
+
+
 @register("refresh_plan_current", _plan_sql(f"(SELECT max(period) FROM ({_OFFICIAL}) f)", 2001, views=("official_feed",)))
 def q_refresh_plan_current(spark, d):
     base = _store(spark, d)
@@ -366,8 +436,7 @@ def q_refresh_plan_current(spark, d):
     return refresh_plan(e, i, official, current_year=2001)
 
 
-@register("update_store", with_views(f"SELECT {EXP} FROM exports", "exports"))
-def q_update_store(spark, d):
+def _updated(spark, d):
     fx = Fixtures(spark, d)
     landing = _landing(spark, d)
     base = scratch_dir(spark, "store")
@@ -377,9 +446,19 @@ def q_update_store(spark, d):
                 flow_path(base, "export"), "export")
     official = official_period(fx.official_feed())
     result = update_store(spark, landing, base, official, current_year=2001)
-    if result["status"] != "updated" or result["years"] != [1997, 2001]:
+    if result["status"] != "updated":
         raise AssertionError(f"unexpected update: {result}")
-    return open_store(spark, flow_path(base, "export"), "export")
+    return base
+
+
+@register("update_store", with_views(f"SELECT {EXP} FROM exports", "exports"))
+def q_update_store(spark, d):
+    return open_store(spark, flow_path(_updated(spark, d), "export"), "export")
+
+
+@register("update_store_imports", with_views(f"SELECT {IMP} FROM imports", "imports"))
+def q_update_store_imports(spark, d):
+    return open_store(spark, flow_path(_updated(spark, d), "import"), "import")
 
 
 # ---------------------------------------------------------------- streaming
@@ -393,6 +472,22 @@ def q_stream_ingest(spark, d):
     return open_store(spark, flow_path(base, "import"), "import")
 
 
+@register("stream_ingest_republished", with_views(f"SELECT {IMP} FROM imports", "imports"))
+def q_stream_ingest_republished(spark, d):
+    """The files of all years are published with half of their months, loaded, and published again whole."""
+    from tradeflow.streaming.landing import run_ingest_once
+
+    raw = Fixtures(spark, d).raw_files("import")
+    landing, base, seen = (scratch_dir(spark, x) for x in ("landing", "store", "stream-checkpoint"))
+    write_raw_files(raw.where("CO_MES <= 6"), landing, "import")
+    run_ingest_once(spark, landing, base, seen)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(landing)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    write_raw_files(raw, landing, "import")
+    run_ingest_once(spark, landing, base, seen)
+    return open_store(spark, flow_path(base, "import"), "import")
+
+
 # ---------------------------------------------------------------- the documented queries, over a created store
 def _created_store(spark, d):
     landing = _landing(spark, d)

@@ -12,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.functions import strict_sum
-from tradeflow.schemas import GRAIN
+from tradeflow.operators.normalise import normalise_exports, normalise_imports
 
 # Fixed values of the fixture: flag pair -> state code.
 STATE_BY_FLAGS = {"AF": "SP", "AO": "RJ", "NF": "MG", "NO": "ND", "RF": "EX"}
@@ -77,9 +76,8 @@ class Fixtures:
         )
 
     def raw_coarse(self) -> DataFrame:
-        """Ten products only, so that grouping merges rows."""
-        r = self.raw()
-        return r.withColumn("ncm", _s(r.ncm.cast("int") % 10))
+        """All rows with all their products (the name is older than that)."""
+        return self.raw()
 
     def raw_files(self, flow: str, coarse: bool = True, layout: str = "plain") -> DataFrame:
         """The raw rows with the published header names, as found in the yearly files.
@@ -109,26 +107,14 @@ class Fixtures:
         return r.select(*[c[n].alias(n) for n in names])
 
     # ------------------------------------------------------------------ expected stores
-    def _normalised(self, r: DataFrame, with_cif: bool) -> DataFrame:
-        keyed = r.withColumn("ncm", F.lpad("ncm", 8, "0"))
-        measures = ["fob_value", "insurance", "freight", "kg", "qty"] if with_cif else ["fob_value", "kg", "qty"]
-        g = keyed.groupBy(*GRAIN).agg(*[strict_sum(m).alias(m) for m in measures])
-        if not with_cif:
-            return g.select(*GRAIN, "fob_value", "kg", "qty")
-        return g.select(
-            *GRAIN, "fob_value",
-            (F.col("fob_value") + F.col("insurance") + F.col("freight")).alias("cif_value"),
-            "kg", "qty",
-        )
-
     def exports(self) -> DataFrame:
-        return self._normalised(self.raw_coarse(), with_cif=False)
+        return normalise_exports(self.raw_coarse())
 
     def imports(self) -> DataFrame:
-        return self._normalised(self.raw_coarse(), with_cif=True)
+        return normalise_imports(self.raw_coarse())
 
     def imports_fine(self) -> DataFrame:
-        return self._normalised(self.raw(), with_cif=True)
+        return normalise_imports(self.raw())
 
     # ------------------------------------------------------------------ lookups
     def country_lookup(self) -> DataFrame:

@@ -58,7 +58,7 @@ SELECT CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS
   CAST(floor(l_extendedprice * l_discount) AS BIGINT) AS insurance
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""),
     "raw_coarse": (("raw",), """
-SELECT year, month, CAST(CAST(ncm AS INT) % 10 AS VARCHAR) AS ncm, state, country_code, kg, qty, fob_value, freight, insurance
+SELECT year, month, ncm, state, country_code, kg, qty, fob_value, freight, insurance
 FROM raw"""),
     "exports": (("raw_coarse",), _normalised("raw_coarse", cif=False)),
     "imports": (("raw_coarse",), _normalised("raw_coarse", cif=True)),
