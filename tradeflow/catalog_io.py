@@ -121,7 +121,7 @@ def q_rename_known(spark, d):
 
 # ---------------------------------------------------------------- lookups
 def _csv(df, path):
-    df.write.mode("overwrite").options(sep=";", header="true", encoding="ISO-8859-1").csv(path)
+    df.write.mode("overwrite").options(sep=";", header="true", encoding="ISO-8859-1", nullValue="NA").csv(path)
     return path
 
 
