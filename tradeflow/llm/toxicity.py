@@ -221,8 +221,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_IDS) -> M
             x = [math.log1p(sum(p[2] for p in passages(t, raw, scores))) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), b.column(1)], names=["x", "toxic"])
 
-    rows = texts.mapInArrow(worths, "x double, toxic int").orderBy("x", "toxic").collect()  # bounded: sample_ids
-    slope, bias = logistic([(r.x, r.toxic) for r in rows])
+    rows = texts.mapInArrow(worths, "x double, toxic int").collect()  # bounded: sample_ids
+    slope, bias = logistic(sorted((r.x, r.toxic) for r in rows))
     return Model(weights, rate, raw.scale, slope, bias)
 
 
