@@ -30,11 +30,11 @@ def test_toxicity_held_out(spark):
 
 def test_segments_are_the_maximal_ones():
     def brute(scores):
-        """Split off the best segment (leftmost, shortest), then do the same on either side."""
-        best = max(((sum(scores[a:b]), -a, -b) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0))
+        """Split off the best segment (of equals the shortest, then the leftmost), then do the same on either side."""
+        best = max(((sum(scores[a:b]), a - b, -a) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)), default=(0, 0, 0))
         if best[0] <= 0:
             return []
-        a, b = -best[1], -best[2]
+        a, b = -best[2], -best[2] - best[1]
         left = brute(scores[:a])
         return left + [(a, b)] + [(x + b, y + b) for x, y in brute(scores[b:])]
 
@@ -106,13 +106,14 @@ def test_quality_empty(no_rows):
 
 def test_em_finds_the_accurate_rules():
     rng = random.Random(2)
-    accuracy = (0.95, 0.9, 0.6)
+    accuracy = (0.97, 0.85, 0.85, 0.6)
     patterns = Counter()
     for _ in range(4000):
         good = 1 if rng.random() < 0.7 else -1
         patterns[tuple(good if rng.random() < a else -good for a in accuracy)] += 1
-    prior, tables = quality.estimate(sorted(patterns.items()), 3)
-    assert tables[0][1] > tables[1][1] > tables[2][1] > 0 > tables[2][-1] > tables[0][-1]
+    prior, tables = quality.estimate(sorted(patterns.items()), 4)
+    worth = [t[1] - t[-1] for t in tables]
+    assert worth[0] > max(worth[1:3]) and min(worth[1:3]) > worth[3] > 0
 
 
 URLS = [None, "", "no scheme", "http://a.org/x?y", "https://WWW.Example.ORG/en/12#q", "http://example.org/es/1", "http://org", "http://xorg/",

@@ -85,6 +85,11 @@ LABELLED: tuple[tuple[str, int], ...] = (
     ("https://www.school.example.org/fr/10", 0),
     ("http://maps.example.net/de/7/", 0),
     ("https://travel-guide.example.com/es/2", 0),
+    ("http://a.org", 0),  # short hosts, which say nothing
+    ("https://b.com/x/y", 0),
+    ("http://c.net/#top", 0),
+    ("http://user.net/fr/", 0),
+    ("https://d.com?page=2", 0),
 )
 
 SIZES, BUCKETS = (3, 4, 5), 1 << 15
@@ -128,7 +133,7 @@ def features(host: str, path: str) -> dict[int, float]:
     return {k: v / norm for k, v in counts.items()}
 
 
-def train(labelled: Sequence[tuple[str, int]] = LABELLED, epochs: int = 400, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
+def train(labelled: Sequence[tuple[str, int]] = LABELLED, epochs: int = 1000, rate: float = 2.0, decay: float = 1e-4) -> np.ndarray:
     """Weights of the n-gram buckets, and the bias last, by full gradient steps over the small table."""
     x = np.zeros((len(labelled), BUCKETS + 1))
     for row, (url, _) in zip(x, labelled):
