@@ -5,8 +5,8 @@ all rows that its predecessor kept and is one of the operators of ``tradeflow.ll
 return the columns they were given, the last the packed pieces.  ``run`` writes every
 stage's rows to the shared scratch folder and reads them back for the next.
 
-Rows with a null id pass the near-duplicate stage (they cannot stand for a group); all other
-defined results are those of the operators.
+The near-duplicate stage leaves exactly one row of each class, whether ids are null or repeated; all
+other defined results are those of the operators.
 """
 
 from __future__ import annotations
@@ -39,9 +39,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each class."""
-    standing = neardup.near_classes(docs).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(standing, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    """One row of each class: that of smallest id, nulls last."""
+    return neardup.one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

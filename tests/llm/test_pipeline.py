@@ -8,6 +8,7 @@ import corpus_pipeline as p
 from tradeflow.llm import language, quality
 from tradeflow.llm.tokens import default_tokenizer  # noqa: F401  (the stages need the installed vocabulary)
 
+from .conftest import EDGE
 from .test_neardup import brute as near
 from .test_substrings import brute as substrings
 from .test_tokens import check_packing
@@ -67,6 +68,20 @@ def test_edge_rows(spark, edge, no_rows):
     assert language.predict(edge, {}).count() == edge.count()
 
 
+def test_one_row_of_each_class(spark, edge, no_rows):
+    """Null and repeated ids: copies and near copies go, and nothing else."""
+    key = lambda r: tuple(map(str, r))
+    got = p.near_duplicates(spark, edge, SF)
+    assert got.dtypes == edge.dtypes
+    assert sorted(map(tuple, got.collect()), key=key) == sorted([EDGE[k] for k in (0, 2, 5, 6, 7, 9)], key=key)
+    one, other, third = (" ".join(f"{c}{k}" for k in range(40)) for c in "xyz")
+    rows = [(None, one), (None, one), (None, f"{one} end"), (None, other), (5, f"{other} end"), (5, third), (5, third)]
+    got = p.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sum(r.doc_id is None for r in got) == 1 and next(r.text for r in got if r.doc_id is None) in (one, f"{one} end")
+    assert sorted(r.text for r in got if r.doc_id == 5) == sorted([f"{other} end", third]) and len(got) == 3
+    assert p.near_duplicates(spark, no_rows, SF).count() == 0
+
+
 def test_the_library_does_not_need_this_package():
     code = (
         "import sys, builtins\n"

@@ -12,7 +12,7 @@ weighted Jaccard without bias, and a shingle is left as soon as its next point i
 later than the latest place of its text, which is why few points are drawn.
 
 Candidates.  25 bands of 5 places: a pair at 0.8 shares a band with probability 0.99995.
-Exact copies are collapsed to their smallest id first.  Then each group of equal bands is
+Exact copies are collapsed to one text first; texts, not ids, are compared.  Then each group of equal bands is
 worked off in two steps instead of pair by pair.  First its most connected text (the one in the
 largest groups over all bands: the text that others are edits of) is compared with all others,
 which costs one pair for each member and merges nearly all classes.  Groups that
@@ -24,18 +24,18 @@ exact, on the shingle counts.
 Tables that are read twice are written to the shared scratch folder; the driver holds none of them.
 
 Defined results: texts without a word are in no class but that of their exact copies; a class's id is its
-smallest doc_id; rows with a null id never stand for a class (alone, their class is null);
-repeated rows share a class; an empty table gives no rows.
+smallest doc_id, and null if all its ids are null (rows with a null id are compared as all others);
+an id that stands on several texts has the class of each of them; repeated rows share a class; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -113,16 +113,12 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = b.column(1)
         bands: list = []
-        for first, last, raw, starts in blocks(texts):
+        for first, last, raw, starts in blocks(b.column(2)):
             signatures = bag_min_hash(last - first, *shingle_counts(raw, starts))
             keys = band_keys(signatures)
             bands.extend(k if ok else None for k, ok in zip(keys, np.isfinite(signatures[:, 0])))
-        copies = [hashlib.blake2b((t.as_py() or "").encode(), digest_size=16).digest() for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(copies, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "copy", "bands"]
-        )
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "copy", "bands"])
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,22 +222,40 @@ def _alike_packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id of every row of ``docs`` (doc_id, text)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    signed = written(texts.mapInArrow(_signed, "id long, copy binary, bands array<long>"), "signed")
-    # Equal texts have equal bands, so any of them will do.
-    standing = signed.groupBy("copy").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    standing = written(standing.where("id is not null"), "standing")
-    places = standing.select("id", F.explode("bands").alias("band"))
+#: What finds a row's text again: its digest, and its id as two columns that are never null.
+PLACE = ("copy", "unnamed", "known")
+
+
+def _copy(text: Column) -> Column:
+    """128 bits of the text's digest; a null text counts as empty."""
+    return F.substring(F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)), 1, 16)
+
+
+def _place(copy: Column, doc_id: Column) -> list[Column]:
+    values = (copy, doc_id.isNull(), F.coalesce(doc_id.cast("long"), F.lit(0).cast("long")))
+    return [c.alias(k) for c, k in zip(values, PLACE)]
+
+
+def _classed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, copy) of every row, and of every distinct text (copy, doc_id: the smallest, class)."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _copy(F.col("text")).alias("copy"), F.col("text").cast("string").alias("text"))
+    signed = written(texts.mapInArrow(_signed, "doc_id long, copy binary, bands array<long>"), "signed")
+    # Equal texts have equal bands, so any of them will do.  The number is the text's from here on.
+    standing = signed.groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    standing = written(standing.withColumn("id", F.monotonically_increasing_id()), "standing")
+    # Of equally connected texts that of smallest doc_id is compared first: edits often have later ids.
+    early = F.coalesce(F.bitwise_not("doc_id"), F.lit(-(2**63)))
+    places = standing.select("id", early.alias("early"), F.explode("bands").alias("band"))
     shared = places.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(places.join(shared, "band").select("band", "id", "size"), "members")
+    members = written(places.join(shared, "band").select("band", "id", "early", "size"), "members")
     weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
     classes = weight.select("id", F.col("id").alias("class"))
-    bags = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    # Repeated rows are reduced before the shuffle, and copies of other ids find no partner.
+    sought = standing.join(classes.select("id"), "id", "left_semi").select("id", *_place(F.col("copy"), F.col("doc_id")))
+    bags = texts.select(*_place(F.col("copy"), F.col("doc_id")), "text").dropDuplicates(list(PLACE)).join(sought, list(PLACE)).select("id", "text")
     bags = written(bags.mapInArrow(_packed, "id long, n long, hashes binary, counts binary"), "bags")
     # First step: each group's most connected text against the others.
-    pivots = members.join(weight, "id").groupBy("band").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("pivot"))
+    pivots = members.join(weight, "id").groupBy("band").agg(F.max_by("id", F.struct("weight", "early", -F.col("id"))).alias("pivot"))
     paired = written(members.select("band", "id").join(pivots, "band").where("id != pivot"), "paired")
     pairs = paired.select(F.least("id", "pivot").alias("u"), F.greatest("id", "pivot").alias("v")).distinct()
     classes = _reclassed(classes, merged(_verified(written(pairs, "pairs"), bags)))
@@ -253,12 +267,29 @@ def near_classes(docs: DataFrame) -> DataFrame:
     side = lambda k: packs.select("band", "minor", F.col("pack").alias(k))
     both = side("a").where("minor").drop("minor").join(side("b").drop("minor"), "band").select("a", "b")
     classes = _reclassed(classes, merged(both.mapInArrow(_alike_packs, "u long, v long")))
-    named = standing.select("copy", "id").join(classes, "id", "left").select("copy", F.coalesce("class", "id").alias("class_id"))
-    return signed.select(F.col("id").alias("doc_id"), "copy").join(named, "copy", "left").select("doc_id", "class_id")
+    return signed.select("doc_id", "copy"), standing.join(classes, "id", "left").select("copy", "doc_id", F.coalesce("class", "id").alias("class"))
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """doc_id and class_id of every row of ``docs`` (doc_id, text)."""
+    rows, named = _classed(docs)
+    names = written(named.groupBy("class").agg(F.min("doc_id").alias("class_id")), "names")
+    named = named.select("copy", "class").join(names, "class").select("copy", "class_id")
+    return rows.join(named, "copy", "left").select("doc_id", "class_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each class of ``docs``: that of smallest id (nulls last), then text digest, then all columns."""
+    _, named = _classed(docs)
+    first = named.groupBy("class").agg(F.min(F.struct(*_place(F.col("copy"), F.col("doc_id"))[1:], "copy")).alias("place"))
+    first = written(first.select("place.*"), "first")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    rows = docs.select(*_place(_copy(F.col("text")), F.col("doc_id")), row).groupBy(*PLACE).agg(F.min("row").alias("row"))
+    return rows.join(first, list(PLACE), "left_semi").select("row.*")
 
 
 def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
-__all__ = ["near_classes", "bag_min_hash", "band_keys", "shingle_counts", "overlap", "merged", "op5_bagminhash"]
+__all__ = ["near_classes", "one_of_each", "bag_min_hash", "band_keys", "shingle_counts", "overlap", "merged", "op5_bagminhash"]
