@@ -75,6 +75,14 @@ def test_edge_rows(edge, no_rows):
     assert near_classes(no_rows).count() == 0
 
 
+def test_one_id_on_two_texts(spark):
+    """Both texts keep their own links, and the id does not tie them together."""
+    one, other = (" ".join(f"{c}{k}" for k in range(40)) for c in "xy")
+    rows = [(9, one), (9, other), (10, f"{one} end"), (2, f"{other} end"), (11, other), (None, f"{one} and")]
+    got = near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.class_id) for r in got) == [(0, 9), (2, 2), (9, 2), (9, 9), (10, 9), (11, 2)]
+
+
 def test_chains_and_big_groups(spark):
     """Copies of one text that differ in place, so that many pairs are just below or above 0.8."""
     rng = random.Random(3)
