@@ -63,6 +63,12 @@ def test_language_held_out(spark, docs):
     assert sum(a == b for a, b in held) / len(held) > 0.98
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(k, f"the cat sat on mat {k}", "en") for k in range(2000)] + [(5000 + k, "ça va très bien", f"rare{k}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(language.learn(docs, 5)) == {"en", "rare0", "rare1", "rare2"}
+
+
 def test_language_edge(edge, no_rows):
     got = [(r.doc_id, r.lang_pred, r.score) for r in language.predict(edge, language.learn(edge)).collect()]
     assert len(got) == len(EDGE)

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
@@ -64,10 +65,13 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def sampled(docs: DataFrame, n_ids: int) -> DataFrame:
-    """The rows of at most ``n_ids`` ids, those of least hash: a bounded list, so it is broadcast."""
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    ids = ids.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(n_ids)
+def sampled(docs: DataFrame, n_ids: int, by: str, n_each: int) -> DataFrame:
+    """The rows of the ``n_ids`` ids of least hash, and of the ``n_each`` of each value of ``by``: a bounded list, so it is broadcast."""
+    order = (F.xxhash64(F.col("doc_id")), F.col("doc_id"))
+    ids = docs.where(F.col("doc_id").isNotNull()).select(by, "doc_id").distinct()
+    # Every task drops the later ids of a value before the shuffle.
+    each = ids.withColumn("k", F.row_number().over(W.partitionBy(by).orderBy(*order))).where(F.col("k") <= n_each).select("doc_id")
+    ids = ids.select("doc_id").distinct().orderBy(*order).limit(n_ids).union(each)
     return docs.join(F.broadcast(ids), "doc_id", "left_semi")
 
 

@@ -10,7 +10,7 @@ Texts are lower-cased, and every run of other characters becomes one blank.  A l
 character of Unicode category L.
 
 Prototypes come from a bounded sample of labelled rows (``SAMPLE_IDS`` ids of least
-hash), so the model does not grow with the table; every text is predicted, whole, by a map
+hash, and ``EACH_IDS`` of every language, however rare), so the model does not grow with the table; every text is predicted, whole, by a map
 over the rows without a shuffle.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, and all texts
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import id_remainder, sampled, table
 
 DIMENSIONS = 1024
-#: At most so many labelled ids teach the prototypes.
-SAMPLE_IDS = 8192
+#: At most so many labelled ids teach the prototypes, and so many more of each language.
+SAMPLE_IDS, EACH_IDS = 8192, 256
 UNKNOWN = "und"
 #: Trigram vectors kept by a worker (int8), and texts bundled by one matrix product.
 MAX_TRIGRAMS, BLOCK = 1 << 15, 32
@@ -115,7 +115,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def learn(docs: DataFrame, sample_ids: int = SAMPLE_IDS) -> dict[str, np.ndarray]:
-    """Prototypes (unit vectors) from at most ``sample_ids`` ids of ``docs`` (doc_id, text, lang).
+    """Prototypes (unit vectors) from a sample (``sample_ids``, and ``EACH_IDS`` of each lang) of ``docs`` (doc_id, text, lang).
 
     Workers send one partial sum for each language and task, and Spark adds them up
     (as integers, so the order does not matter); the driver gets one vector for each language.
@@ -132,7 +132,7 @@ def learn(docs: DataFrame, sample_ids: int = SAMPLE_IDS) -> dict[str, np.ndarray
             yield pa.RecordBatch.from_pydict({"lang": [lang] * DIMENSIONS, "i": np.arange(DIMENSIONS, dtype=np.int32), "v": vector})
 
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    parts = sampled(labelled, sample_ids).select("text", "lang").mapInArrow(work, "lang string, i int, v long")
+    parts = sampled(labelled, sample_ids, "lang", EACH_IDS).select("text", "lang").mapInArrow(work, "lang string, i int, v long")
     rows = parts.groupBy("lang", "i").agg(F.sum("v").alias("v")).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("p"))
     found = {r.lang: np.array([x.v for x in r.p], np.float64) for r in rows.orderBy("lang").collect()}
     return {k: (v / np.linalg.norm(v)).astype(np.float32) for k, v in found.items() if v.any()}
