@@ -1,16 +1,16 @@
-"""Operator 1, substring dedup: repeated word k-mers as De Bruijn edges, compacted into paths.
+"""Operator 1, substring dedup: repeated word k-mers, found by minimiser pieces in place of a De Bruijn graph.
 
-A window of ``WINDOW`` words of one document is an edge between the word tuples at its ends.
-A word is removed if a window that covers it also starts in a document with a smaller id.
+A window of ``WINDOW`` words of one document would be an edge between the word tuples at its ends; no
+nodes, degrees or branches are computed, and no edges are joined on shared ends.  A word is removed if a window that covers it also starts in a document with a smaller id.
 
-1. Paths by minimiser.  Consecutive windows that share their least ``GRAM``-word gram (their
-   anchor) form a piece of a path that does not branch.  Equal windows have equal anchors, so
+1. Pieces by minimiser.  Consecutive windows that share their least ``GRAM``-word gram (their
+   anchor) form a piece.  Equal windows have equal anchors, so
    a piece can only repeat if its anchor does: one entry for a piece, not for each window, is
    shuffled, to find the anchors that several documents hold.
-2. Edges.  The repeated anchors are joined back to their documents' texts.  The windows of those
+2. Windows.  The repeated anchors are joined back to their documents' texts.  The windows of those
    pieces alone are shuffled with 96 hash bits; each learns the smallest document that holds it.
-3. Compaction.  Joined back to the texts once more, windows with an earlier source that
-   overlap form one path; its words are cut out.
+3. Spans.  Joined back to the texts once more, windows with an earlier source that
+   overlap or touch in their document form one span; its words are cut out.
 
 Skew.  A task first reduces its own share: of equal keys only the entries of its smallest
 document are shuffled, the others are settled on the spot.  A passage that a third of all
