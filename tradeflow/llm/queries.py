@@ -11,6 +11,7 @@ from .chat import OP7_SQL, op7_chat_parts
 from .fingerprints import op10_weighted_sampling
 from .language import op4_language_id
 from .lines import OP13_SQL, op13_line_dedup
+from .manifest import OP12_SQL, op12_merkle_manifest
 from .neardup import op5_bagminhash
 from .packing import op2_harmonic_packing
 from .quality import op6_weak_supervision
@@ -30,9 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_transducer,
         op9_url_filter,
         op10_weighted_sampling,
+        op12_merkle_manifest,
         op13_line_dedup,
     )
 }
 
 #: DuckDB statements for those that SQL can express.
-ORACLE: dict[str, str] = {"op7_chat_parts": OP7_SQL, "op13_line_dedup": OP13_SQL}
+ORACLE: dict[str, str] = {"op7_chat_parts": OP7_SQL, "op12_merkle_manifest": OP12_SQL, "op13_line_dedup": OP13_SQL}
