@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op8_bpe_transducer
 from .chat import OP7_SQL, op7_chat_parts
+from .collocations import OP11_SQL, op11_son_collocations
 from .fingerprints import op10_weighted_sampling
 from .language import op4_language_id
 from .lines import OP13_SQL, op13_line_dedup
@@ -31,10 +32,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_transducer,
         op9_url_filter,
         op10_weighted_sampling,
+        op11_son_collocations,
         op12_merkle_manifest,
         op13_line_dedup,
     )
 }
 
 #: DuckDB statements for those that SQL can express.
-ORACLE: dict[str, str] = {"op7_chat_parts": OP7_SQL, "op12_merkle_manifest": OP12_SQL, "op13_line_dedup": OP13_SQL}
+ORACLE: dict[str, str] = {
+    "op7_chat_parts": OP7_SQL,
+    "op11_son_collocations": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
+}
