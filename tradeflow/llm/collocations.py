@@ -40,9 +40,9 @@ from .shingles import blocks, mix, windows_of, words_of
 
 LEAST, LONGEST, TOP, COVER_PERCENT = 30, 4, 2000, 80
 #: Shards (a power of two), and groups of a language in the first round of its ranking.
-SHARDS, GROUPS = 8, 64
+SHARDS, GROUPS = 4, 64
 #: Text bytes of a block, entries that a task reduces before it sends them, words for each bucket.
-BLOCK_BYTES, CHUNK_ENTRIES, BUCKET_WORDS = 1 << 23, 1 << 22, 1 << 21
+BLOCK_BYTES, CHUNK_ENTRIES, BUCKET_WORDS = 1 << 22, 1 << 21, 1 << 21
 LEAST_BITS, MOST_BITS = 20, 28
 
 #: Fixed values of the contract: bytes that end a piece, and all that end a word.
@@ -155,15 +155,20 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "phrase", "key").agg(F.sum("f").alias("f"))
 
 
-def _entries(find: Callable[[Tokens], Iterator[tuple[np.ndarray, np.ndarray]]], buckets: int):
-    """Grams by bucket and shard (in the key's lowest bits), counted inside the task; counts saturate far above any support."""
+def _entries(find: Callable[[Tokens], Iterator[tuple[np.ndarray, np.ndarray]]], prefix: int):
+    """Grams by bucket, counted inside the task; counts saturate far above any support.
+
+    A bucket is the first ``prefix`` bits of the hash.  The next 32 travel, the shard in the lowest of them:
+    buckets follow the number of words, so equal bits rarely mean different grams, and then only add a candidate.
+    """
+    low = np.uint64(SHARDS - 1)
 
     def packed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         keys, counts = summed(keys, counts)
-        bucket = (keys >> np.uint64(33)).astype(np.int64) * buckets >> 31
+        bucket = (keys >> np.uint64(32)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, np.diff(bucket) != 0]) if len(keys) else np.zeros(0, np.int64)
         ends = np.r_[cuts[1:], len(keys)]
-        counts = np.minimum(counts, 255).astype(np.uint8)
+        keys = keys.astype(np.uint32)
         rows = [{"bucket": int(bucket[a]), "keys": keys[a:z].tobytes(), "counts": counts[a:z].tobytes()} for a, z in zip(cuts, ends)]
         return pa.RecordBatch.from_pylist(rows, schema=_PACKED)
 
@@ -171,8 +176,8 @@ def _entries(find: Callable[[Tokens], Iterator[tuple[np.ndarray, np.ndarray]]],
         held, size = [], 0
         for tokens, shards, _, _ in read(batches):
             for at, keys in find(tokens):
-                keys = keys & np.uint64(-SHARDS & (1 << 64) - 1) | shards[tokens.row[at]].astype(np.uint64)
-                held.append(np.unique(keys, return_counts=True))
+                keys = (keys >> np.uint64(32 - prefix)) & ~low | shards[tokens.row[at]].astype(np.uint64)
+                held.append(summed(keys, np.ones(len(keys), np.uint8)))
                 size += len(held[-1][0])
             if size >= CHUNK_ENTRIES:
                 yield packed(*map(np.concatenate, zip(*held)))
@@ -184,30 +189,33 @@ def _entries(find: Callable[[Tokens], Iterator[tuple[np.ndarray, np.ndarray]]],
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order with their counts added up, 255 at most."""
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.int64)
+    keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return keys[starts], np.add.reduceat(counts, starts) if len(starts) else counts
+    total = np.add.reduceat(counts, starts, dtype=np.int64) if len(starts) else counts
+    return keys[starts], np.minimum(total, 255).astype(np.uint8)
 
 
-def _frequent(support: list[int]):
+def _frequent(support: list[int], prefix: int):
     """The grams of a bucket that have their shard's local support in some shard."""
     wanted = np.array(support, np.int64)
 
     def work(bucket: pa.Table) -> pa.Table:
         joined = lambda c, kind: np.frombuffer(b"".join(bucket.column(c).to_pylist()), kind)
-        keys, counts = summed(joined("keys", np.uint64), joined("counts", np.uint8))
-        keys = keys[counts >= wanted[(keys & np.uint64(SHARDS - 1)).astype(np.int64)]]
-        keys = np.unique(keys & np.uint64(-SHARDS & (1 << 64) - 1))
+        keys, counts = summed(joined("keys", np.uint32), joined("counts", np.uint8))
+        keys = keys[counts >= wanted[keys & (SHARDS - 1)]]
+        keys = np.unique(keys & np.uint32(0xFFFFFFFF - (SHARDS - 1))).astype(np.uint64)
+        keys = (np.uint64(bucket.column("bucket")[0].as_py()) << np.uint64(32) | keys) << np.uint64(32 - prefix)
         return pa.table({"key": pa.array(keys.astype(np.int64))})
 
     return work
 
 
-def mined(docs: DataFrame, find, support: list[int], buckets: int, bits: int) -> BitFilter:
+def mined(docs: DataFrame, find, support: list[int], prefix: int, bits: int) -> BitFilter:
     """The grams of ``find`` with local support in a shard."""
-    sent = docs.mapInArrow(_entries(find, buckets), "bucket int, keys binary, counts binary")
-    return bit_filter(sent.groupBy("bucket").applyInArrow(_frequent(support), "key long"), bits)
+    sent = docs.mapInArrow(_entries(find, prefix), "bucket int, keys binary, counts binary")
+    return bit_filter(sent.groupBy("bucket").applyInArrow(_frequent(support, prefix), "key long"), bits)
 
 
 def _pairs(tokens: Tokens, common: BitFilter) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +229,7 @@ def _longer(tokens: Tokens, common: BitFilter, pairs: BitFilter) -> Iterator[tup
     """(n, first word, hash) of the runs of 3 words and more whose pairs all pass."""
     at, keys = _pairs(tokens, common)
     good = np.zeros(len(tokens.keys) + LONGEST, bool)
-    good[at[pairs(keys & np.uint64(-SHARDS & (1 << 64) - 1))]] = True
+    good[at[pairs(keys)]] = True
     for n in range(3, LONGEST + 1):
         at, keys = tokens.grams(n)
         whole = np.logical_and.reduce([good[at + k] for k in range(n - 1)]) if len(at) else np.zeros(0, bool)
@@ -230,7 +238,6 @@ def _longer(tokens: Tokens, common: BitFilter, pairs: BitFilter) -> Iterator[tup
 
 def _count_phrases(common: BitFilter, pairs: BitFilter, longer: BitFilter):
     """Counts of all phrases that pass the filters; equal hashes are told apart by their words."""
-    clear = np.uint64(-SHARDS & (1 << 64) - 1)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tokens, _, number, tongues in read(batches):
@@ -241,7 +248,7 @@ def _count_phrases(common: BitFilter, pairs: BitFilter, longer: BitFilter):
             at, keys = _pairs(tokens, common)
             found = [(2, at, keys, pairs)] + [(n, at, keys, longer) for n, at, keys in _longer(tokens, common, pairs)]
             for n, at, keys, passes in found:
-                some = passes(keys & clear)
+                some = passes(keys)
                 at, keys = at[some], keys[some]
                 if not len(at):
                     continue
@@ -269,16 +276,16 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
                        F.pmod(F.xxhash64(text), F.lit(SHARDS)).cast("int").alias("shard"))
     shares = {r.shard: r.n for r in docs.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
     whole = max(1, sum(shares.values()))
-    # Ceiling of least * share: exact in integers, and 1 at least.
-    support = [max(1, -(-least * shares.get(k, 0) // whole)) for k in range(SHARDS)]
+    # Ceiling of least * share: exact in integers, 1 at least, and no more than a counter holds.
+    support = [min(255, max(1, -(-least * shares.get(k, 0) // whole))) for k in range(SHARDS)]
     words = written(word_counts(docs), "collocation-words")
     size = words.agg(F.sum("f").alias("n")).first().n or 0
     bits = min(MOST_BITS, max(LEAST_BITS, size.bit_length() - 1))
-    buckets = max(16, math.ceil(size / BUCKET_WORDS))
+    prefix = min(MOST_BITS, max(4, math.ceil(size / BUCKET_WORDS).bit_length()))
     share = docs.sparkSession.sparkContext.broadcast
     common = share(bit_filter(words.where(F.col("f") >= least).select("key"), bits))
-    pairs = share(mined(docs, lambda t: iter([_pairs(t, common.value)]), support, buckets, bits))
-    longer = share(mined(docs, lambda t: ((at, keys) for _, at, keys in _longer(t, common.value, pairs.value)), support, buckets, bits))
+    pairs = share(mined(docs, lambda t: iter([_pairs(t, common.value)]), support, prefix, bits))
+    longer = share(mined(docs, lambda t: ((at, keys) for _, at, keys in _longer(t, common.value, pairs.value)), support, prefix, bits))
     exact = docs.mapInArrow(lambda batches: _count_phrases(common.value, pairs.value, longer.value)(batches), "lang string, phrase string, n_words int, f long")
     exact = exact.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
     single = words.select("lang", "phrase", F.lit(1).alias("n_words"), "f")
