@@ -34,8 +34,8 @@ DIMENSIONS = 1024
 #: At most so many labelled ids teach the prototypes, and so many more of each language.
 SAMPLE_IDS, EACH_IDS = 8192, 256
 UNKNOWN = "und"
-#: Trigram vectors kept by a worker (int8), and texts bundled by one matrix product.
-MAX_TRIGRAMS, BLOCK = 1 << 15, 32
+#: Trigram vectors kept by a worker (int8), texts bundled at a time, and trigrams of one matrix product.
+MAX_TRIGRAMS, BLOCK, SLICE = 1 << 15, 32, 1 << 12
 _SCALE = 1 << 20
 
 
@@ -90,16 +90,19 @@ class Bundler:
         out = np.zeros((len(texts), DIMENSIONS), np.float32)
         for at in range(0, len(texts), BLOCK):
             found = [trigrams(t) for t in texts[at : at + BLOCK]]
+            of = np.repeat(np.arange(len(found)), [len(k) for k, _ in found])
             keys, places = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-            if len(self.rows) + len(keys) > MAX_TRIGRAMS:
-                self.__init__()
-            counts, seen = np.zeros((len(found), len(keys)), np.float32), 0
-            for row, (k, n) in zip(counts, found):
-                row[places[seen : seen + len(k)]] = n
-                seen += len(k)
-            rows = [self._row(k) for k in keys.tolist()]
-            for part in range(0, len(rows), 4096):
-                out[at : at + BLOCK] += counts[:, part : part + 4096] @ self.matrix[rows[part : part + 4096]].astype(np.float32)
+            order = np.argsort(places, kind="stable")
+            of, n, places = of[order], np.concatenate([n for _, n in found])[order], places[order]
+            for part in range(0, len(keys), SLICE):  # the bound holds inside a block, whatever its texts
+                some = keys[part : part + SLICE].tolist()
+                if len(self.rows) + len(some) > MAX_TRIGRAMS:
+                    self.__init__()
+                a, z = np.searchsorted(places, (part, part + len(some)))
+                counts = np.zeros((len(found), len(some)), np.float32)
+                counts[of[a:z], places[a:z] - part] = n[a:z]
+                rows = [self._row(k) for k in some]
+                out[at : at + BLOCK] += counts @ self.matrix[rows].astype(np.float32)
         return out
 
 

@@ -213,22 +213,23 @@ def repeated_windows(docs: DataFrame, n: int = WINDOW, gram: int = GRAM) -> Data
 
 
 def dedup_substrings(docs: DataFrame, n: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """All columns of ``docs`` as struct ``row``; n_words, n_removed, kept_sha256 and kept_text of every text."""
+    """All columns of ``docs`` but the text as struct ``row``; n_words, n_removed, kept_sha256 and kept_text (null for a null text) of every text."""
     if not 0 < gram <= n:
         raise ValueError("a gram must be shorter than the window")
-    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
     text = F.col("text").cast("string")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), text.alias("text"))
+    key = (F.col("doc_id").cast("long").alias("id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), text.alias("text"))
+    keyed = docs.select(*key)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    wide = keyed if not others else docs.select(
-        F.col("doc_id").cast("long").alias("id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"), text.alias("text"), row.alias("row")
-    )
+    # The text travels once; without other columns the last join reads the shuffle of the first.
+    wide = keyed if not others else docs.select(*key, F.struct("doc_id", *[docs[f"`{c}`"] for c in others]).alias("row"))
     joined = wide.join(repeated_windows(keyed, n, gram), ["id", "crc"], "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [cut(t, s or [], n) for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            texts = b.column(1).to_pylist()
+            found = [cut(t, s or [], n) for t, s in zip(texts, b.column(2).to_pylist())]
             a, r, h, k = zip(*found) if found else ((), (), (), ())
+            k = [None if t is None else x for t, x in zip(texts, k)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(a, pa.int64()), pa.array(r, pa.int64()), pa.array(h, pa.string()), pa.array(k, pa.string())],
                 names=["row", "n_words", "n_removed", "kept_sha256", "kept_text"],
