@@ -1,11 +1,14 @@
 """The pipeline's stages against brute force, and the package's place in the library."""
 
+import os
 import re
 import subprocess
 import sys
+import tempfile
 
 import corpus_pipeline as p
 from tradeflow.llm import language, quality
+from tradeflow.session import checkpoint_root
 from tradeflow.llm.tokens import default_tokenizer  # noqa: F401  (the stages need the installed vocabulary)
 
 from .conftest import EDGE
@@ -55,10 +58,32 @@ def test_stages(spark):
 
 def test_run_is_its_stages(spark):
     assert [name for name, _ in p.STAGES] == ["language_id", "quality_rules", "near_duplicates", "substring_dedup", "packing"]
+    before = scratch_tables(spark)
     rows = p.run(spark, SF)
+    assert {t.rsplit("-", 1)[0] for t in scratch_tables(spark) - before} == {"substring_dedup"}  # the last stage reads it
     assert rows.count() > 0 and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns)
 
 
+def scratch_tables(spark):
+    root = f"{checkpoint_root(spark)}/llm"
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_stages_free_what_their_predecessors_left(spark):
+    """As the driver calls them: each stage's rows are written elsewhere before the next stage starts."""
+    docs, folder = spark.read.parquet(f"{SF}/documents.parquet"), tempfile.mkdtemp(prefix="stages-")
+    p.free(spark, p._SCRATCH)
+    for name, work in p.STAGES:
+        before = scratch_tables(spark)
+        out = work(spark, docs, SF)
+        left = scratch_tables(spark)
+        assert {os.path.basename(t) for t in p._SCRATCH} <= left
+        out.write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        assert not {os.path.basename(t) for t in p._SCRATCH} & before  # those of the stage before are gone
+    assert p._SCRATCH == []  # packing leaves none
+
+
 def test_edge_rows(spark, edge, no_rows):
     """Null and repeated rows, empty texts and clashing names pass every stage."""
     for docs in (edge, no_rows):
