@@ -4,10 +4,12 @@ Encoding.  The last token of a prefix's BPE tokenisation determines the rest: th
 tokenisation of ``b[:i]`` is that of ``b[:i - len(t)]`` followed by the one token ``t``
 that ends at ``i`` and stays apart from its left neighbour, i.e. whose merges
 with it never fire.  The transducer reads bytes left to right and holds, for each recent
-position, only that last token.  No token is longer than the merge list's longest product,
-so a later token starts at most that many bytes back: this is the sufficient lookahead.  A
-boundary that the tokenisations of all positions inside the lookahead share is stable;
-tokens before it are emitted and forgotten, so memory is constant for any length.
+position, only that last token.  A token that ends later starts at most as many bytes back as the longest
+product that the merge list can make: this is its sufficient lookahead (products whose own bytes merge into something else
+never occur, and do not count).  A boundary that the tokenisations of all positions inside the lookahead
+share is stable; tokens before it are emitted and forgotten.  Every pretoken takes this way, short or long; a text is
+read, encoded, decoded and hashed part by part, cut where no pretoken crosses, so a task holds one text and
+small buffers.
 
 Decoding.  Ids become bytes, and an incremental UTF-8 state machine turns bytes into
 text as they come, holding at most three bytes; ill-formed bytes become U+FFFD.
@@ -24,7 +26,9 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+import unicodedata
 from functools import cached_property, lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +39,39 @@ from pyspark.sql import functions as F
 from .common import table
 from .tokens import PieceEncoder, byte_alphabet, default_tokenizer
 
-#: Fixed value: the public byte-level pattern that cuts text before the merges.  \s is White_Space.
-PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-)
+#: The White_Space characters, and the public byte-level pattern that cuts text before the merges.
+SPACES = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: Remembered neighbour tests; a full memory is emptied.
 MAX_PAIRS = 1 << 19
 
 
+#: Letters and numbers that Unicode 16.0 (the tokenizer library's version) adds to 15.1.
+LETTERS_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+
+
+def _ranges(kind: str, newer: tuple[tuple[int, int], ...]) -> str:
+    """The code points of a general category as a set for a pattern, from the interpreter's tables and ``newer``.
+
+    The pattern library's own tables are of a later Unicode version than the tokenizer's; a test holds these against it.
+    """
+    inside = np.fromiter((unicodedata.category(chr(c))[0] == kind for c in range(0x110000)), bool, 0x110000)
+    for a, z in newer:
+        inside[a : z + 1] = True
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    return "".join(f"\\U{a:08X}-\\U{z - 1:08X}" for a, z in edges.reshape(-1, 2).tolist())
+
+
+@lru_cache(maxsize=1)
+def pretokens() -> regex.Pattern:
+    return regex.compile(PATTERN.format(S=SPACES, L=_ranges("L", LETTERS_16), N=_ranges("N", NUMBERS_16)))
+
+
 class Transducer:
     """A byte-level BPE vocabulary file as encoder and decoder."""
 
@@ -64,12 +92,14 @@ class Transducer:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of = {k: b for b, k in self.vocab.items()}
         self.bytes_of |= {k: s.encode() for s, k in self.added.items()}
-        #: Sufficient lookahead: no token of the merge list spans more bytes.
-        self.lookahead = max(map(len, self.vocab))
         self.alone: dict[int, bool] = {}
         self.apart: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.pretoken = regex.compile(PATTERN)
+        #: Sufficient lookahead of the merge list: the bytes of the longest product that merging makes.
+        self.lookahead = max((len(self.bytes_of[k]) for k in self.made if self._reachable(k)), default=1)
+        #: Proper ends of tokens: where none matches, no longer token ends here.
+        self.tails = {b[k:] for b in self.vocab for k in range(1, len(b))}
+        self.pretoken = pretokens()
         names = sorted(map(regex.escape, self.added), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(names) + ")") if names else None
 
@@ -127,55 +157,35 @@ class Transducer:
             found = self.apart[left << 32 | token] = self._reachable(token) and self._meets(left, token) is None
         return found
 
-    def inside_lookahead(self, data: bytes) -> list[int]:
-        """Ids of a pretoken that fits into the lookahead: longest token first, shorter ones where it does not fit."""
-        vocab, apart, n = self.vocab.get, self.apart.get, len(data)
-        out: list[int] = []
-        starts: list[int] = []
-        dead: set[int] = set()  # no tokenisation goes on from these positions
-        at, end = 0, n
-        while at < n:
-            token = None
-            left = out[-1] if out else -1
-            while end > at:
-                if end not in dead and (token := vocab(data[at:end])) is not None:
-                    if (fits := apart(left << 32 | token)) is None:
-                        fits = self._fits(left, token)
-                    if fits:
-                        break
-                end -= 1
-            if end > at:
-                out.append(token)
-                starts.append(at)
-                at, end = end, n
-            else:
-                if not out:
-                    raise ValueError("a byte is not in the vocabulary")
-                dead.add(at)
-                out.pop()
-                at, end = starts.pop(), at - 1
-        return out
+    def _last(self, data: bytes, i: int, first: int, last: list[int], before: int) -> int:
+        """The token that ends at ``i``: the one whose left neighbour stays apart from it.  ``last[0]`` stands for ``first``."""
+        vocab, apart, tails = self.vocab.get, self.apart.get, self.tails
+        for j in range(i - 1, max(first, i - self.lookahead) - 1, -1):
+            part = data[j:i]
+            token = vocab(part)
+            if token is not None:
+                left = last[j - first] if j > first else before
+                if (fits := apart(left << 32 | token)) is None:
+                    fits = self._fits(left, token)
+                if fits:
+                    return token
+            if part not in tails:
+                break
+        raise ValueError("a byte is not in the vocabulary")
 
     def transduce(self, data: bytes) -> Iterator[int]:
         """Ids of one pretoken of any length, emitted as soon as they are stable."""
-        vocab, reach, n, base = self.vocab.get, self.lookahead, len(data), 0
-        if n <= reach:
-            yield from self.inside_lookahead(data)
-            return
+        n, base, limit = len(data), 0, 4 * self.lookahead
         last = [-1]  # last[i]: the token that ends at base + i
         before = -1  # the token that was emitted last
         for i in range(1, n + 1):
-            for j in range(max(base, i - reach), i):
-                token = vocab(data[j:i])
-                if token is not None and self._fits(last[j - base] if j > base else before, token):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("a byte is not in the vocabulary")
-            if i - base >= 4 * reach and i < n and (stable := self._stable(last)):
-                out = self._chain(last, stable)
-                yield from out
-                before, base, last = out[-1], base + stable, [-1, *last[stable + 1 :]]
+            last.append(self._last(data, i, base, last, before))
+            if i - base >= limit and i < n:
+                if stable := self._stable(last):
+                    out = self._chain(last, stable)
+                    yield from out
+                    before, base, last = out[-1], base + stable, [-1, *last[stable + 1 :]]
+                limit = max(4 * self.lookahead, 2 * (i - base))  # no boundary is stable yet: look again later
         yield from self._chain(last, n - base)
 
     def _stable(self, last: list[int]) -> int:
@@ -201,24 +211,23 @@ class Transducer:
                 ids.append(self.added[part])
             else:
                 for m in self.pretoken.finditer(part):
-                    data = m.group().encode()
-                    known = self.vocab.get(data)
-                    if known is not None and self._reachable(known):
-                        ids.append(known)
-                    else:
-                        ids.extend(self.transduce(data))
+                    ids.extend(self.transduce(m.group().encode()))
         return ids
 
+    @cached_property
+    def decimal(self) -> list[bytes]:
+        """Each id as decimal text."""
+        return [b"%d" % k for k in range(max(self.bytes_of) + 1)]
+
     @cached_property
     def encoder(self) -> PieceEncoder:
         return PieceEncoder(lambda pieces: [array("I", self.encode_piece(p)).tobytes() for p in pieces])
 
     def decode(self, ids: Iterable[int], block: int = 4096) -> Iterator[str]:
         """Text as it becomes complete: an incremental byte-to-text state machine."""
-        machine = codecs.getincrementaldecoder("utf-8")("replace")
-        ids = list(ids)
-        for k in range(0, len(ids), block):
-            yield machine.decode(b"".join(map(self.bytes_of.__getitem__, ids[k : k + block])))
+        machine, ids = codecs.getincrementaldecoder("utf-8")("replace"), iter(ids)
+        while part := list(islice(ids, block)):
+            yield machine.decode(b"".join(map(self.bytes_of.__getitem__, part)))
         yield machine.decode(b"", final=True)
 
 
@@ -235,19 +244,25 @@ def encode_decode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFra
     """Ids of every text and the text they decode to, as digests.  A map over the rows: no shuffle."""
     path = tokenizer_path or default_tokenizer()
 
+    def digests(bpe: Transducer, text: str) -> tuple[int, str, str]:
+        count, ids_hash, text_hash = 0, hashlib.sha256(), hashlib.sha256()
+
+        def told(part: bytes) -> list[int]:
+            nonlocal count
+            ids = np.frombuffer(part, "<u4").tolist()
+            ids_hash.update((b"," if count and ids else b"") + b",".join(map(bpe.decimal.__getitem__, ids)))
+            count += len(ids)
+            return ids
+
+        for part in bpe.decode(chain.from_iterable(map(told, bpe.encoder.stream(text)))):
+            text_hash.update(part.encode())
+        return count, ids_hash.hexdigest(), text_hash.hexdigest()
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = transducer(path)
-        encoder = bpe.encoder
         for b in batches:
-            counts, ids_hex, text_hex = [], [], []
-            for text in b.column(1):
-                ids = np.frombuffer(encoder.encode(text.as_py() or ""), "<u4").tolist()
-                counts.append(len(ids))
-                ids_hex.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                digest = hashlib.sha256()
-                for part in bpe.decode(ids):
-                    digest.update(part.encode())
-                text_hex.append(digest.hexdigest())
+            found = [digests(bpe, text.as_py() or "") for text in b.column(1)]
+            counts, ids_hex, text_hex = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(counts, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -7,16 +7,17 @@ pretoken, so a text can be cut there and the pieces encoded once each.  Pieces r
 
 from __future__ import annotations
 
-import json
+import os
 import re
-from collections.abc import Callable
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 #: Two blanks in a row, or a blank at either end: such texts are cut by the pattern below.
 _ODD = re.compile(r"\s\s|\A\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
-#: Cached pieces of each kind, and the longest piece that is kept.
-MAX_PIECES, MAX_PIECE_CHARS = 1 << 20, 48
+#: Cached pieces of each kind, the longest piece that is kept, and characters encoded at a time.
+MAX_PIECES, MAX_PIECE_CHARS, PART_CHARS = 1 << 20, 48, 1 << 16
 
 
 class PieceEncoder:
@@ -40,6 +41,22 @@ class PieceEncoder:
         return found
 
     def encode(self, text: str) -> bytes:
+        return b"".join(self.stream(text))
+
+    def stream(self, text: str) -> Iterator[bytes]:
+        """The ids part by part, so that the lists of pieces follow ``PART_CHARS`` and not the text."""
+        if len(text) <= 2 * PART_CHARS:
+            yield self._part(text)
+            return
+        at = 0
+        while at < len(text):
+            cut = _CUT.search(text, at + PART_CHARS)
+            end = cut.start() if cut and cut.start() > at else len(text)
+            # A part that does not begin the text begins with its cut: a blank or a line break.
+            yield self._part(text[at:end])
+            at = end
+
+    def _part(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD.search(text):
@@ -72,22 +89,21 @@ def byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def library_ids(tokenizer_path: str) -> Callable[[str], bytes]:
-    """``ids(text)`` as little-endian uint32 bytes, equal to the tokenizers library's on the same file.
+    """``ids(text)`` as little-endian uint32 bytes, by the tokenizers library: it encodes each new piece once.
 
-    The file's vocabulary (byte-level BPE whose ids follow the merge ranks) and its added
-    tokens are loaded into the faster of the two installed BPE libraries; a test compares
-    both over all code points.  One for each worker process.
+    One for each worker process, which uses one core.
     """
-    import public_tokenizers
-    import tiktoken
-
-    with open(tokenizer_path, encoding="utf-8") as f:
-        spec = json.load(f)
-    alphabet = byte_alphabet()
-    ranks = {bytes(alphabet[c] for c in s): k for s, k in spec["model"]["vocab"].items()}
-    added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-    coder = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    return lambda text: coder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(tokenizer_path)
+    coder.no_truncation()
+    coder.no_padding()
+
+    def many(pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in coder.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    return PieceEncoder(many).encode
 
 
 def default_tokenizer() -> str:
