@@ -2,7 +2,7 @@
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -10,8 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tradeflow.llm.bpe import Transducer, encode_decode
-from tradeflow.llm.packing import cut_lengths, pack
+from tradeflow.llm.bpe import Transducer, encode_decode, op8_bpe_transducer
+from tradeflow.llm.packing import MOST_ROOMS, HarmonicPacker, pack
 from tradeflow.llm.tokens import default_tokenizer, library_ids
 
 LIB = Tokenizer.from_file(default_tokenizer())
@@ -44,10 +44,44 @@ def test_any_ids_decode_as_the_library(ids):
 
 
 def test_code_points():
-    for c in range(3, 0x110000, 41):
+    """All code points where their class decides: before 're, after a digit, between letters and blanks."""
+    for c in range(0x110000):
         if not 0xD800 <= c < 0xE000:
-            text = f"a{chr(c)}b 1{chr(c)}"
-            assert own(text) == lib(text) == np.frombuffer(FAST(text), "<u4").tolist(), hex(c)
+            text = f"1{chr(c)}'s a{chr(c)}'re{chr(c)}1 {chr(c)}"
+            assert OWN.encode_piece(text) == lib(text), hex(c)
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000"])
+def test_long_runs_of_blanks(blank):
+    text = blank * 2_000_000 + "x"
+    assert FAST(text) == np.array(lib(text), "<u4").tobytes()
+    assert own(text[-200_000:]) == lib(text[-200_000:])
+
+
+def test_long_texts_in_parts():
+    text = "One two  three\nfour. " * 20_000 + "x" * 300_000 + " end <|endoftext|> of it" * 9000
+    assert own(text) == lib(text) == np.frombuffer(FAST(text), "<u4").tolist()
+    assert len(list(OWN.encoder.stream(text))) > 5
+    assert "".join(OWN.decode(iter(lib(text)))) == text
+
+
+@pytest.mark.parametrize("text", ["ab" * 40_000, "=-" * 30_000, "a" * 50_000, "中" * 20_000, "thering" * 9000])
+def test_buffer_is_bounded(text, monkeypatch):
+    """The transducer holds a few lookaheads of positions, not the pretoken."""
+    most, last = 0, OWN._last
+
+    def seen(data, i, first, held, before):
+        nonlocal most
+        most = max(most, len(held))
+        return last(data, i, first, held, before)
+
+    monkeypatch.setattr(OWN, "_last", seen)
+    assert list(OWN.transduce(text.encode())) == lib(text)
+    assert most <= 5 * OWN.lookahead
+
+
+def test_lookahead_is_of_the_merge_list():
+    assert all(len(OWN.bytes_of[k]) <= OWN.lookahead for k in OWN.made if OWN._reachable(k))
 
 
 @pytest.mark.parametrize("text", ["a" * 3000, "=-" * 2000, "thering" * 700, "中文" * 900, "ab" * 64 + "c" * 700])
@@ -75,9 +109,26 @@ def test_encode_decode_rows(spark):
     assert encode_decode(frame(spark, [])).count() == 0
 
 
-def test_cut_lengths():
-    for n in range(1, 9000):
-        assert sum(cut_lengths(n)) == n and all(0 < x <= 2048 for x in cut_lengths(n))
+@given(st.lists(st.one_of(st.integers(1, 300), st.integers(1, 9000)), max_size=200), st.sampled_from([256, 2048]))
+@settings(max_examples=150, deadline=None)
+def test_any_lengths_fill_bins(lengths, capacity):
+    """Each id lies in one piece, sequences are gapless and full, and bins of a class hold its number of documents."""
+    packer = HarmonicPacker(3, capacity)
+    docs = [np.arange(1000 * d, 1000 * d + n, dtype="<u4").tobytes() for d, n in enumerate(lengths)]
+    early = [p for d, ids in enumerate(docs) for p in packer.add(d, ids)]
+    assert len(packer.rooms) <= MOST_ROOMS and all(sum(len(p[2]) for p in b) < 4 * capacity for b in packer.open.values())
+    pieces = early + list(packer.finish())
+    bins, parts = defaultdict(list), defaultdict(list)
+    for doc_id, start, length, crc, total, sequence, offset in pieces:
+        assert crc == zlib.crc32(docs[doc_id][4 * start : 4 * (start + length)]) and total == lengths[doc_id] and length
+        bins[sequence].append((offset, length))
+        parts[doc_id].append((start, length))
+    for own, total in [(v, None) for v in bins.values()] + [(v, lengths[d]) for d, v in parts.items()]:
+        own.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and own[0][0] == 0 and total in (None, own[-1][0] + own[-1][1])
+    used = [b[-1][0] + b[-1][1] for b in bins.values()]
+    assert len(parts) == len(lengths) and all(u <= capacity and u & (u - 1) == 0 for u in used)
+    assert min(bins, default=3 << 40) >= 3 << 40
 
 
 def check_packing(rows, pieces):
@@ -118,4 +169,23 @@ def test_pack_rows(spark):
 def test_pack_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
+    pieces = pack(docs.coalesce(1)).collect()
+    assert check_packing(rows, pieces) < 0.001
+    count = Counter(p.doc_id for p in pieces)
+    fit = {p.doc_id for p in pieces if p.doc_tokens <= 2048}
+    assert len(fit) > 800 and sum(count[d] > 1 for d in fit) < 0.1 * len(fit)  # documents that fit stay whole
     assert check_packing(rows, pack(docs.repartition(7)).collect()) < 0.01
+
+
+def test_pack_long_blanks(spark):
+    rows = [(1, " " * 1_000_750 + "x"), (2, "\n" * 500_000), (3, None)]
+    assert check_packing(rows, pack(frame(spark, [(*r, "", "") for r in rows])).collect()) == 0
+
+
+def test_query_over_documents(spark, docs):
+    got = {r.doc_id: tuple(r)[1:] for r in op8_bpe_transducer(spark, "/root/testdata/sf0.01").collect()}
+    h = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    for r in docs.collect():
+        ids = lib(r.text or "")
+        assert got.pop(r.doc_id) == (len(ids), h(",".join(map(str, ids))), h(LIB.decode(ids, skip_special_tokens=False)))
+    assert not got

@@ -1,16 +1,16 @@
 """Operator 2, harmonic packing: token sequences of at most 2,048 ids with little padding.
 
-A piece of length n belongs to reciprocal-capacity class k = capacity // n, that is
-n lies in (capacity / (k + 1), capacity / k], and a bin of class k holds exactly k pieces.
-Documents may be cut, so each is cut where the classes fit best: whole sequences
-first (k = 1, no padding), then the parts 1024, 512, 256 and 128 of the remainder
-(k = 2, 4, 8, 16: full bins without padding), and a tail below 128 ids, whose class wastes
-at most 1 / (k + 1) of a bin.  Every worker fills its own bins, so nothing is
-shuffled; sequence ids carry the partition number.  What is left in open bins when a
+A document of length n up to the capacity belongs to reciprocal-capacity class k = capacity // n, that is
+n lies in (capacity / (k + 1), capacity / k], and a bin of class k takes exactly k documents, whole.
+What a full bin leaves free, its room, is filled from documents longer than a sequence: they must be cut
+anyhow, so each first fills the rooms that wait, then whole sequences, and its remainder joins its class.
+Only where more than ``MOST_ROOMS`` rooms wait is a document that would fit cut to fill them; README gives their share.
+Every worker fills its own bins, so nothing is
+shuffled; sequence ids carry the partition number.  What is left in open bins and rooms when a
 worker ends is laid end to end and cut at the capacity, the last part at powers of two,
 which need no padding.
 
-Memory: the open bins, below one capacity of ids for each class (at most ~150 classes).
+Memory: the open bins, below one capacity of ids for each class (at most ~150 classes), and the bins with rooms.
 
 Defined results: a null or empty text is one piece that holds the end id alone; repeated
 rows and null ids are packed row by row; texts of any length are cut into several
@@ -20,7 +20,7 @@ sequences; an empty table gives no rows.
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,8 +33,8 @@ from .tokens import default_tokenizer, library_ids
 
 CAPACITY = 2048
 END_ID = 1
-#: Remainders are cut into powers of two down to this length; the tail is one piece.
-SMALLEST_CUT = 128
+#: Bins that may wait for a long document; beyond that, the next document fills them.
+MOST_ROOMS = 64
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -43,18 +43,6 @@ SCHEMA = (
 _ARROW = pa.schema([(c.split()[0], pa.int64()) for c in SCHEMA.split(", ")])
 
 
-def cut_lengths(n: int, capacity: int = CAPACITY, smallest: int = SMALLEST_CUT) -> list[int]:
-    """The piece lengths of a document of ``n`` ids, in order."""
-    lengths = [capacity] * (n // capacity)
-    rest, part = n % capacity, capacity // 2
-    while part >= smallest:
-        if rest >= part:
-            lengths.append(part)
-            rest -= part
-        part //= 2
-    return lengths + ([rest] if rest else [])
-
-
 class HarmonicPacker:
     """The bins of one worker.  A piece is (doc_id, start, ids as bytes, doc_tokens)."""
 
@@ -62,6 +50,7 @@ class HarmonicPacker:
         self.capacity = capacity
         self.next_id = worker << 40
         self.open: dict[int, list[tuple]] = defaultdict(list)
+        self.rooms: deque[tuple[list[tuple], int]] = deque()
 
     def _close(self, pieces: list[tuple]) -> Iterator[tuple]:
         offset = 0
@@ -71,18 +60,36 @@ class HarmonicPacker:
         self.next_id += 1
 
     def add(self, doc_id: int | None, ids: bytes) -> Iterator[tuple]:
-        doc_tokens, start = len(ids) // 4, 0
-        for n in cut_lengths(doc_tokens, self.capacity):
-            k = self.capacity // n
+        n, start = len(ids) // 4, 0
+        piece = lambda a, z: (doc_id, a, ids[4 * a : 4 * z], n)
+        if n > self.capacity or len(self.rooms) >= MOST_ROOMS:
+            while self.rooms and start < n:
+                bin_, room = self.rooms.popleft()
+                end = min(n, start + room)
+                bin_.append(piece(start, end))
+                if end - start == room:
+                    yield from self._close(bin_)
+                else:
+                    self.rooms.appendleft((bin_, room - end + start))
+                start = end
+            while n - start >= self.capacity:
+                yield from self._close([piece(start, start + self.capacity)])
+                start += self.capacity
+        if start < n:
+            k = self.capacity // (n - start)
             bin_ = self.open[k]
-            bin_.append((doc_id, start, ids[4 * start : 4 * (start + n)], doc_tokens))
-            start += n
+            bin_.append(piece(start, n))
             if len(bin_) == k:
-                yield from self._close(self.open.pop(k))
+                room = self.capacity - sum(len(p[2]) // 4 for p in self.open.pop(k))
+                if room:
+                    self.rooms.append((bin_, room))
+                else:
+                    yield from self._close(bin_)
 
     def finish(self) -> Iterator[tuple]:
-        """Open bins end to end: full sequences, then one for each power of two of the rest."""
-        left = [p for k in sorted(self.open) for p in self.open[k]]
+        """Bins with rooms and open bins end to end: full sequences, then one for each power of two of the rest."""
+        left = [p for bin_, _ in self.rooms for p in bin_] + [p for k in sorted(self.open) for p in self.open[k]]
+        self.rooms.clear()
         self.open.clear()
         total = sum(len(p[2]) // 4 for p in left)
         sizes = [self.capacity] * (total // self.capacity)
@@ -102,8 +109,8 @@ class HarmonicPacker:
 
 def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) in sequences of at most ``capacity`` (a power of two) ids."""
-    if capacity < 2 * SMALLEST_CUT or capacity & (capacity - 1):
-        raise ValueError(f"capacity must be a power of two of at least {2 * SMALLEST_CUT}")
+    if capacity < 2 or capacity & (capacity - 1):
+        raise ValueError("capacity must be a power of two")
     path = tokenizer_path or default_tokenizer()
     end = END_ID.to_bytes(4, "little")
 
@@ -129,4 +136,4 @@ def op2_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-__all__ = ["pack", "HarmonicPacker", "cut_lengths", "op2_harmonic_packing"]
+__all__ = ["pack", "HarmonicPacker", "op2_harmonic_packing"]
