@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .tokens import PieceEncoder, byte_alphabet, default_tokenizer
+from .tokens import MAX_PIECE_CHARS, PieceEncoder, byte_alphabet, default_tokenizer
 
 #: The White_Space characters, and the public byte-level pattern that cuts text before the merges.
 SPACES = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
-#: Remembered neighbour tests; a full memory is emptied.
-MAX_PAIRS = 1 << 19
+#: Remembered neighbour tests, and short pretokens; a full memory is emptied.
+MAX_PAIRS = 1 << 20
 
 
 #: Letters and numbers that Unicode 16.0 (the tokenizer library's version) adds to 15.1.
@@ -94,11 +94,21 @@ class Transducer:
         self.bytes_of |= {k: s.encode() for s, k in self.added.items()}
         self.alone: dict[int, bool] = {}
         self.apart: dict[int, bool] = {}
+        self.known: dict[str, list[int]] = {}
         self.edges: tuple[dict, dict] = ({}, {})
         #: Sufficient lookahead of the merge list: the bytes of the longest product that merging makes.
         self.lookahead = max((len(self.bytes_of[k]) for k in self.made if self._reachable(k)), default=1)
-        #: Proper ends of tokens: where none matches, no longer token ends here.
-        self.tails = {b[k:] for b in self.vocab for k in range(1, len(b))}
+        #: Tokens read backwards, as a state machine: state << 8 | byte -> state, and each state's token (-1: none).
+        self.back: dict[int, int] = {}
+        self.ends: list[int] = [-1]
+        for b, k in self.vocab.items():
+            state = 0
+            for byte in reversed(b):
+                key = state << 8 | byte
+                if (state := self.back.get(key, 0)) == 0:
+                    state = self.back[key] = len(self.ends)
+                    self.ends.append(-1)
+            self.ends[state] = k
         self.pretoken = pretokens()
         names = sorted(map(regex.escape, self.added), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(names) + ")") if names else None
@@ -149,42 +159,40 @@ class Transducer:
 
     def _fits(self, left: int, token: int) -> bool:
         """Whether ``token`` can follow ``left`` (-1: nothing before it) in a BPE tokenisation."""
-        if left < 0:
-            return self._reachable(token)
         if (found := self.apart.get(left << 32 | token)) is None:
             if len(self.apart) >= MAX_PAIRS:
                 self.apart.clear()
-            found = self.apart[left << 32 | token] = self._reachable(token) and self._meets(left, token) is None
+            found = self.apart[left << 32 | token] = self._reachable(token) and (left < 0 or self._meets(left, token) is None)
         return found
 
-    def _last(self, data: bytes, i: int, first: int, last: list[int], before: int) -> int:
-        """The token that ends at ``i``: the one whose left neighbour stays apart from it.  ``last[0]`` stands for ``first``."""
-        vocab, apart, tails = self.vocab.get, self.apart.get, self.tails
-        for j in range(i - 1, max(first, i - self.lookahead) - 1, -1):
-            part = data[j:i]
-            token = vocab(part)
-            if token is not None:
-                left = last[j - first] if j > first else before
-                if (fits := apart(left << 32 | token)) is None:
-                    fits = self._fits(left, token)
-                if fits:
-                    return token
-            if part not in tails:
-                break
-        raise ValueError("a byte is not in the vocabulary")
-
     def transduce(self, data: bytes) -> Iterator[int]:
         """Ids of one pretoken of any length, emitted as soon as they are stable."""
+        back, ends, apart, fits = self.back.get, self.ends, self.apart.get, self._fits
         n, base, limit = len(data), 0, 4 * self.lookahead
-        last = [-1]  # last[i]: the token that ends at base + i
-        before = -1  # the token that was emitted last
+        last = [-1]  # last[i]: the token that ends at base + i; last[0]: the one emitted last
         for i in range(1, n + 1):
-            last.append(self._last(data, i, base, last, before))
+            state, found, j = 0, [], i
+            while j > base:  # the tokens that end here, by their bytes from the last to the first
+                j -= 1
+                if (state := back(state << 8 | data[j])) is None:
+                    break
+                if (token := ends[state]) >= 0:
+                    found.append((j, token))
+            while True:  # only one stays apart from its left neighbour, most often the longest
+                if not found:
+                    raise ValueError("a byte is not in the vocabulary")
+                j, token = found.pop()
+                left = last[j - base]
+                if (good := apart(left << 32 | token)) is None:
+                    good = fits(left, token)
+                if good:
+                    last.append(token)
+                    break
             if i - base >= limit and i < n:
                 if stable := self._stable(last):
                     out = self._chain(last, stable)
                     yield from out
-                    before, base, last = out[-1], base + stable, [-1, *last[stable + 1 :]]
+                    base, last = base + stable, [out[-1], *last[stable + 1 :]]
                 limit = max(4 * self.lookahead, 2 * (i - base))  # no boundary is stable yet: look again later
         yield from self._chain(last, n - base)
 
@@ -210,8 +218,14 @@ class Transducer:
             if k % 2:
                 ids.append(self.added[part])
             else:
-                for m in self.pretoken.finditer(part):
-                    ids.extend(self.transduce(m.group().encode()))
+                for word in self.pretoken.findall(part):
+                    if (found := self.known.get(word)) is None:
+                        found = list(self.transduce(word.encode()))
+                        if len(word) <= MAX_PIECE_CHARS:
+                            if len(self.known) >= MAX_PAIRS:
+                                self.known.clear()
+                            self.known[word] = found
+                    ids += found
         return ids
 
     @cached_property

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
+
 #: Two blanks in a row, or a blank at either end: such texts are cut by the pattern below.
 _ODD = re.compile(r"\s\s|\A\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
+#: Blanks that a line break beside the piece would change the pretokens of.
+_TOUCHES = re.compile(r"\s\n|\n\s\s|\A\n|\s\Z|\A\Z")
 #: Cached pieces of each kind, the longest piece that is kept, and characters encoded at a time.
 MAX_PIECES, MAX_PIECE_CHARS, PART_CHARS = 1 << 20, 48, 1 << 16
 
@@ -32,9 +35,11 @@ class PieceEncoder:
     def _lookup(self, cache: dict[str, bytes], words: list[str], prefix: str) -> list[bytes]:
         found = list(map(cache.get, words))
         if None in found:
-            missing = list({w for w, x in zip(words, found) if x is None})
+            places = [k for k, x in enumerate(found) if x is None]
+            missing = list({words[k] for k in places})
             new = dict(zip(missing, self.encode_many([prefix + w for w in missing])))
-            found = [new[w] if x is None else x for w, x in zip(words, found)]
+            for k in places:
+                found[k] = new[words[k]]
             if len(cache) + len(new) > MAX_PIECES:
                 cache.clear()
             cache.update((w, x) for w, x in new.items() if len(w) <= MAX_PIECE_CHARS)
@@ -69,15 +74,14 @@ class PieceEncoder:
                     lines.append([piece])
         else:
             lines = [line.split(" ") for line in text.split("\n")]
-        first = self._lookup(self.bare, [words[0] for words in lines], "")
-        rest = iter(self._lookup(self.spaced, [w for words in lines for w in words[1:]], " "))
-        out = []
-        for k, words in enumerate(lines):
-            if k:
-                out.append(self.line_break)
-            out.append(first[k])
-            out.extend(next(rest) for _ in range(len(words) - 1))
-        return b"".join(out)
+        rest = self._lookup(self.spaced, [w for words in lines for w in words[1:]], " ")
+        out, k = [], 0
+        for first, words in zip(self._lookup(self.bare, [words[0] for words in lines], ""), lines):
+            out.append(first)
+            out += rest[k : k + len(words) - 1]
+            out.append(self.line_break)
+            k += len(words) - 1
+        return b"".join(out[:-1])
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -100,8 +104,20 @@ def library_ids(tokenizer_path: str) -> Callable[[str], bytes]:
     coder.no_truncation()
     coder.no_padding()
 
+    def ids(text: str) -> np.ndarray:
+        return np.array(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    line_break = ids("\n")
+
     def many(pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in coder.encode_batch_fast(pieces, add_special_tokens=False)]
+        """One call for all pieces: a line break between them is a pretoken and an id of its own."""
+        joined = "\n".join(pieces)
+        if joined.count("\n") != len(pieces) - 1 or _TOUCHES.search(joined):
+            return [ids(p).tobytes() for p in pieces]
+        found = ids(joined)
+        cuts = np.flatnonzero(found == line_break[0])
+        data, ends = found.tobytes(), (4 * np.r_[cuts, len(found)]).tolist()
+        return [data[a:z] for a, z in zip([0, *(e + 4 for e in ends)], ends)]
 
     return PieceEncoder(many).encode
 
