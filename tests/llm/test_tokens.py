@@ -76,7 +76,7 @@ def test_buffer_is_bounded(text, monkeypatch):
         return stable(held)
 
     monkeypatch.setattr(OWN, "_stable", seen)
-    assert list(OWN.transduce(text.encode())) == lib(text)
+    assert sum(OWN.transduce(text.encode()), []) == lib(text)
     assert OWN.lookahead < most <= 5 * OWN.lookahead
 
 

@@ -41,7 +41,7 @@ from .tokens import MAX_PIECE_CHARS, PieceEncoder, byte_alphabet, default_tokeni
 
 #: The White_Space characters, and the public byte-level pattern that cuts text before the merges.
 SPACES = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+PATTERN = r"(?V1)'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
 #: Remembered neighbour tests, and short pretokens; a full memory is emptied.
 MAX_PAIRS = 1 << 20
 
@@ -55,21 +55,32 @@ LETTERS_16 = (
 NUMBERS_16 = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
 
 
-def _ranges(kind: str, newer: tuple[tuple[int, int], ...]) -> str:
-    """The code points of a general category as a set for a pattern, from the interpreter's tables and ``newer``.
+def _ranges(inside: np.ndarray) -> str:
+    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
+    return "".join(f"\\U{a:08X}-\\U{z - 1:08X}" for a, z in edges.reshape(-1, 2).tolist())
+
+
+def _category(kind: str, newer: tuple[tuple[int, int], ...]) -> str:
+    """The code points of a general category as a set for a pattern: the interpreter's and ``newer``.
 
-    The pattern library's own tables are of a later Unicode version than the tokenizer's; a test holds these against it.
+    The pattern library's own table is of a later Unicode version than the tokenizer's; the set is that table
+    with the difference taken out.  A test holds it against the tokenizer.
     """
-    inside = np.fromiter((unicodedata.category(chr(c))[0] == kind for c in range(0x110000)), bool, 0x110000)
+    wanted, given = np.zeros((2, 0x110000), bool)
+    everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    wanted[[c for c in range(0x110000) if unicodedata.category(chr(c))[0] == kind]] = True
     for a, z in newer:
-        inside[a : z + 1] = True
-    edges = np.flatnonzero(np.diff(np.r_[False, inside, False]))
-    return "".join(f"\\U{a:08X}-\\U{z - 1:08X}" for a, z in edges.reshape(-1, 2).tolist())
+        wanted[a : z + 1] = True
+    given[list(map(ord, regex.findall(rf"\p{{{kind}}}", everything)))] = True
+    out = rf"\p{{{kind}}}"
+    if (given & ~wanted).any():
+        out = f"[{out}--[{_ranges(given & ~wanted)}]]"
+    return f"[{out}{_ranges(wanted & ~given)}]"
 
 
 @lru_cache(maxsize=1)
 def pretokens() -> regex.Pattern:
-    return regex.compile(PATTERN.format(S=SPACES, L=_ranges("L", LETTERS_16), N=_ranges("N", NUMBERS_16)))
+    return regex.compile(PATTERN.format(S=SPACES, L=_category("L", LETTERS_16), N=_category("N", NUMBERS_16)))
 
 
 class Transducer:
@@ -165,8 +176,8 @@ class Transducer:
             found = self.apart[left << 32 | token] = self._reachable(token) and (left < 0 or self._meets(left, token) is None)
         return found
 
-    def transduce(self, data: bytes) -> Iterator[int]:
-        """Ids of one pretoken of any length, emitted as soon as they are stable."""
+    def transduce(self, data: bytes) -> Iterator[list[int]]:
+        """Ids of one pretoken of any length, in lists that are emitted as soon as they are stable."""
         back, ends, apart, fits = self.back.get, self.ends, self.apart.get, self._fits
         n, base, limit = len(data), 0, 4 * self.lookahead
         last = [-1]  # last[i]: the token that ends at base + i; last[0]: the one emitted last
@@ -191,10 +202,10 @@ class Transducer:
             if i - base >= limit and i < n:
                 if stable := self._stable(last):
                     out = self._chain(last, stable)
-                    yield from out
+                    yield out
                     base, last = base + stable, [out[-1], *last[stable + 1 :]]
                 limit = max(4 * self.lookahead, 2 * (i - base))  # no boundary is stable yet: look again later
-        yield from self._chain(last, n - base)
+        yield self._chain(last, n - base)
 
     def _stable(self, last: list[int]) -> int:
         """The last boundary that the tokenisations of all positions inside the lookahead share."""
@@ -214,18 +225,19 @@ class Transducer:
 
     def encode_piece(self, text: str) -> list[int]:
         ids: list[int] = []
-        for k, part in enumerate(self.special.split(text) if self.special else [text]):
+        # Added tokens stand at the odd places.
+        for k, part in enumerate(self.special.split(text) if self.special and self.special.search(text) else (text,)):
             if k % 2:
                 ids.append(self.added[part])
-            else:
-                for word in self.pretoken.findall(part):
-                    if (found := self.known.get(word)) is None:
-                        found = list(self.transduce(word.encode()))
-                        if len(word) <= MAX_PIECE_CHARS:
-                            if len(self.known) >= MAX_PAIRS:
-                                self.known.clear()
-                            self.known[word] = found
-                    ids += found
+                continue
+            for word in self.pretoken.findall(part):
+                if (found := self.known.get(word)) is None:
+                    found = [*chain.from_iterable(self.transduce(word.encode()))]
+                    if len(word) <= MAX_PIECE_CHARS:
+                        if len(self.known) >= MAX_PAIRS:
+                            self.known.clear()
+                        self.known[word] = found
+                ids += found
         return ids
 
     @cached_property

@@ -7,6 +7,7 @@ pretoken, so a text can be cut there and the pieces encoded once each.  Pieces r
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -17,8 +18,9 @@ import numpy as np
 #: Two blanks in a row, or a blank at either end: such texts are cut by the pattern below.
 _ODD = re.compile(r"\s\s|\A\s|\s\Z")
 _CUT = re.compile(r"(?<=\S)([ \n])(?=\S)")
-#: Blanks that a line break beside the piece would change the pretokens of.
-_TOUCHES = re.compile(r"\s\n|\n\s\s|\A\n|\s\Z|\A\Z")
+#: So many blanks in a row are left to the tokenizers library.
+LONG_RUN = 1 << 16
+_LONG = re.compile(r"\s{%d}" % LONG_RUN)
 #: Cached pieces of each kind, the longest piece that is kept, and characters encoded at a time.
 MAX_PIECES, MAX_PIECE_CHARS, PART_CHARS = 1 << 20, 48, 1 << 16
 
@@ -93,33 +95,34 @@ def byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def library_ids(tokenizer_path: str) -> Callable[[str], bytes]:
-    """``ids(text)`` as little-endian uint32 bytes, by the tokenizers library: it encodes each new piece once.
+    """``ids(text)`` as little-endian uint32 bytes, equal to the tokenizers library's on the same file.
 
-    One for each worker process, which uses one core.
+    The file's vocabulary (byte-level BPE whose ids follow the merge ranks) and its added
+    tokens are loaded into the faster of the two installed BPE libraries; a test compares
+    both over all code points.  Its pattern engine gives up on about a million blanks in a row, so a
+    text with a run of ``LONG_RUN`` is encoded by the tokenizers library itself.  One for each worker process, on one core.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    import public_tokenizers
+    import tiktoken
     from tokenizers import Tokenizer
 
-    coder = Tokenizer.from_file(tokenizer_path)
-    coder.no_truncation()
-    coder.no_padding()
-
-    def ids(text: str) -> np.ndarray:
-        return np.array(coder.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    line_break = ids("\n")
-
-    def many(pieces: list[str]) -> list[bytes]:
-        """One call for all pieces: a line break between them is a pretoken and an id of its own."""
-        joined = "\n".join(pieces)
-        if joined.count("\n") != len(pieces) - 1 or _TOUCHES.search(joined):
-            return [ids(p).tobytes() for p in pieces]
-        found = ids(joined)
-        cuts = np.flatnonzero(found == line_break[0])
-        data, ends = found.tobytes(), (4 * np.r_[cuts, len(found)]).tolist()
-        return [data[a:z] for a, z in zip([0, *(e + 4 for e in ends)], ends)]
-
-    return PieceEncoder(many).encode
+    with open(tokenizer_path, encoding="utf-8") as f:
+        spec = json.load(f)
+    alphabet = byte_alphabet()
+    ranks = {bytes(alphabet[c] for c in s): k for s, k in spec["model"]["vocab"].items()}
+    added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    coder = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    exact = Tokenizer.from_file(tokenizer_path)
+    exact.no_truncation()
+    exact.no_padding()
+
+    def ids(text: str) -> bytes:
+        if len(text) >= LONG_RUN and _LONG.search(text):
+            return np.array(exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return coder.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+
+    return ids
 
 
 def default_tokenizer() -> str:
