@@ -121,8 +121,9 @@ def test_discover_files(spark):
     assert sorted(r.link_year for r in cells.collect()) == [2023, 2024]
     scoped = discover_files(pages, css_scope="table tr td a")
     assert sorted(r.link_year for r in scoped.collect()) == [2023, 2024]
-    with pytest.raises(ValueError):
-        discover_files(pages, css_scope="div a")
+    assert discover_files(pages, css_scope="div a").count() == 0
+    with pytest.raises(ValueError, match="selector"):
+        discover_files(pages, css_scope="a:hover")
     by_list = discover_files(pages, years=[2024])
     assert [r.href for r in by_list.collect()] == ["https://x/ncm/IMP_2024.csv"]
     plan = spark.createDataFrame([(2023,)], "year int")
@@ -274,6 +275,60 @@ HTML = """<TABLE class=x><TR><TD><A HREF="/ncm/EXP_2020.csv?a=1&amp;b=2">1</A></
 <p><a href="/ncm/EXP_2025.csv">outside</a></p><abbr href="/ncm/EXP_1997.csv"></abbr>"""
 
 
+SELECTED = {
+    "a": ["1", "2", "3", "4", "5", "6"], "div a": ["1", "2", "3"], "div.files > a": ["1"], ".files a, table a": ["1", "2", "4", "5"], "#old a": ["3"],
+    "div div a": ["2"], "table tr td a": ["4", "5"], "tr > td > a": ["4", "5"], "a[rel]": ["2"], "a[rel='x y']": ["2"], "*.big": ["2"], "td td a": [],
+    "div > a": ["1", "2", "3"], "table > tr a": ["4", "5"], "LI > A": ["6"],
+}
+NESTED = """<div class='new files'><a href=1>x</a><div><a rel="x y" class="big z" href=2></a></div></div><div id=old><a href=3></a></div>
+<table><tr><td>1<td><a href=4></a><tr><td><a href=&#53;></a></table><script>document.write('<td><a href="9">');</script><style>a{}</style>
+<ul><li>x<li><a href=6></a><img src=x><br/></ul><a>no address</a><!-- <a href=8> -->"""
+
+
+@pytest.mark.parametrize("scope", list(SELECTED))
+def test_selectors(scope):
+    from tradeflow.sources.markup import select, selector
+
+    assert select(NESTED, selector(scope)) == SELECTED[scope]
+
+
+@pytest.mark.parametrize("scope", ["", " ", "a >", "> a", "a,,b", "a:hover", "a + b", "a[href^=x]", "a]"])
+def test_other_selectors_raise(scope):
+    from tradeflow.sources.markup import selector
+
+    with pytest.raises(ValueError):
+        selector(scope)
+
+
+def test_a_page_is_read_in_linear_time():
+    import time
+
+    from tradeflow.sources.markup import select, selector
+
+    def seconds(cells):
+        page = "<table>" + "<tr><td><a href='/ncm/EXP_2001.csv'>x</a></td></tr>" * cells + "</table>"
+        best = 1e9
+        for _ in range(3):
+            t = time.process_time()
+            assert len(select(page, selector("table tr td a"))) == cells
+            best = min(best, time.process_time() - t)
+        return best
+
+    assert seconds(16_000) < 6 * seconds(4_000)
+
+
+def test_links_keep_page_columns(spark):
+    from tradeflow.sources.links import extract_links
+
+    rows = [(1, "<a href=' x '>", [1, 2], "p"), (2, None, None, "q"), (3, "<a href=y><a href=z>", [], None)]
+    pages = spark.createDataFrame(rows, "id int, html string, tags array<int>, `odd name` string")
+    got = extract_links(pages)
+    assert got.columns == ["id", "tags", "odd name", "href"]
+    assert sorted(map(tuple, got.collect())) == [(1, [1, 2], "p", "x"), (3, [], None, "y"), (3, [], None, "z")]
+    with pytest.raises(ValueError, match="href"):
+        extract_links(pages.withColumnRenamed("id", "href"))
+
+
 def test_links_as_an_html_parser_sees_them(spark):
     from tradeflow.sources.links import discover_files
 

@@ -282,6 +282,23 @@ def q_discover_files_planned(spark, d):
     return discover_files(_portal(spark, d), years=planned, css_scope="table tr td a")
 
 
+@register(
+    "discover_files_selector",
+    """SELECT CAST(o_orderkey AS BIGINT) AS page_id, '/ncm/' || f || '_' || year(o_orderdate) || '.csv?n=' || o_orderkey AS href,
+  CAST(year(o_orderdate) AS INT) AS link_year FROM orders, (VALUES ('EXP'), ('IMP')) v(f)""",
+)
+def q_discover_files_selector(spark, d):
+    """List items without end tags in the wanted division; scripts, comments, other divisions and deeper anchors do not count."""
+    o = Fixtures(spark, d).table("orders").select(F.col("o_orderkey").cast("string").alias("k"), F.year("o_orderdate").cast("string").alias("y"))
+    link = lambda flow, kind: F.concat(F.lit(f"<a class={kind} href=\"&#47;ncm/{flow}_"), "y", F.lit(".csv?n="), "k", F.lit("\">file</a>"))
+    html = F.concat(
+        F.lit("<div class='box files'><ul><li>"), link("EXP", "raw"), F.lit("<li>"), link("IMP", "'new raw'"), F.lit("<li><b>"), link("EXP", "raw"),
+        F.lit("</b></ul></div><script>'<div class=files><li>"), link("OLD", "raw"), F.lit("'</script><!-- <div class=files><li>"), link("GONE", "raw"),
+        F.lit(" --><div class=old><li>"), link("EXP", "raw"), F.lit("</div><div class=files><ol><li>"), link("IMP", "other"), F.lit("</ol></div>"),
+    )
+    return discover_files(o.select(F.col("k").cast("bigint").alias("page_id"), html.alias("html")), css_scope="div.files li > a.raw")
+
+
 @register("find_table_links", "SELECT CAST(o_orderkey AS BIGINT) AS page_id, '/tab/PAIS.csv' AS href, CAST(NULL AS INT) AS link_year FROM orders")
 def q_find_table_links(spark, d):
     return find_table_links(_portal(spark, d), "PAIS")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,4 +50,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/tradeflow/{label}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["local_session", "checkpoint_root", "scratch_dir"]
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, unless they start in its folder or have it on their path.
+
+    The archive is code that the driver serves to executors itself; no data passes through it.
+    """
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED or _ROOT in on_path or os.getcwd() == _ROOT:
+        return
+    name = f"{tempfile.mkdtemp(prefix='tradeflow-code-')}/tradeflow_package"
+    context.addPyFile(shutil.make_archive(name, "zip", _ROOT, "tradeflow"))
+    _SHIPPED.add(context.applicationId)
+
+
+__all__ = ["ship_package", "local_session", "checkpoint_root", "scratch_dir"]

@@ -1,8 +1,8 @@
 """Finding raw-file links in crawled portal pages.
 
 The pages are a DataFrame (one row per page, with its HTML); fetching them is
-outside this library.  Links are extracted as an HTML parser sees them (either quotes or none, any
-case, entities decoded, comments left out), kept when
+outside this library.  Links are the ``href`` values of the elements that a selector matches, found in one pass over each
+page's tags (``sources/markup.py``, Arrow batches of pages); they are kept when
 they match ``include`` and not ``exclude``, and, when years are given, when the
 first 4-digit number of the link's file name is one of them (a semi join, so a
 year plan DataFrame can be passed directly).
@@ -12,63 +12,46 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-COMMENT_PATTERN = r"(?s)<!--.*?(-->|\z)"
-# An anchor tag's attributes up to its own href (so not data-href), then the value: quoted either way, or bare.
-_ATTRIBUTE = r"""(?:\s+(?!href\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?)*"""
-HREF_PATTERN = r"""(?i)<a""" + _ATTRIBUTE + r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-_TABLE_TAG = r"(?i)</?(?:table|tr|td)\b[^>]*>"
-# The entities that an address may hold.
-ENTITIES = (("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"))
+from tradeflow.session import ship_package
+from tradeflow.sources.markup import select, selector
+
+ALL_LINKS = "a"
 TABLE_CELL_SCOPE = "table tr td a"
 # Raw-file links contain this path part, and complete/check files are left out.
 RAW_INCLUDE = "/ncm/"
 RAW_EXCLUDE = "COMPLETA|CONFERENCIA"
 
 
-def extract_links(pages: DataFrame, html_col: str = "html", in_table_cells: bool = False) -> DataFrame:
-    """One row per anchor href, with the page's other columns."""
+def extract_links(pages: DataFrame, html_col: str = "html", in_table_cells: bool = False, css_scope: str | None = None) -> DataFrame:
+    """One row per matched element with an ``href``, with the page's other columns.
+
+    ``css_scope`` is a selector (``markup.selector``); without it all anchors count, or with
+    ``in_table_cells`` those in the cells of tables.
+    """
     if html_col not in pages.columns:
         raise ValueError(f"The '{html_col}' column does not exist.")
     keep = [c for c in pages.columns if c != html_col]
-    src = F.regexp_replace(F.col(html_col), COMMENT_PATTERN, "")
-    if not in_table_cells:
-        values = F.regexp_extract_all(src, F.lit(HREF_PATTERN), 1)
-    else:
-        tags = F.regexp_extract_all(src, F.lit(f"{_TABLE_TAG}|{HREF_PATTERN}"), 0)
-        values = F.transform(_inside_cells(tags), lambda tag: F.regexp_extract(tag, HREF_PATTERN, 1))
-    return pages.select(*keep, F.explode(F.transform(values, address)).alias("href"))
-
-
-def address(value: Column) -> Column:
-    """An attribute value without its quotes and outer blanks, entities decoded."""
-    value = F.trim(F.regexp_replace(value, "^[\"']|[\"']$", ""))
-    for entity, char in ENTITIES:
-        value = F.replace(value, F.lit(entity), F.lit(char))
-    return value
-
-
-def _inside_cells(tags: Column) -> Column:
-    """The anchors among ``tags`` that stand in a cell of a row of a table (nested tables included)."""
-    none = F.lit(0)
-    start = F.struct(none.alias("table"), none.alias("tr"), none.alias("td"), F.array().cast("array<string>").alias("found"))
-
-    def step(s: Column, tag: Column) -> Column:
-        name = F.lower(F.regexp_extract(tag, "^<(/?[A-Za-z]+)", 1))
-        tables = s["table"] + F.when(name == "table", 1).when((name == "/table") & (s["table"] > 0), -1).otherwise(0)
-        outer = s["table"] <= 1  # not in a nested table: a row's start or end ends open cells
-        closed = (tables == 0) | (name.isin("tr", "/tr") & outer)
-        tr = F.when(tables == 0, 0).when(name == "tr", F.when(outer, 1).otherwise(s["tr"] + 1))
-        tr = tr.when(name == "/tr", F.when(outer, 0).otherwise(s["tr"] - 1)).otherwise(s["tr"])
-        td = F.when(closed, 0).when((name == "td") & (s["tr"] > 0), s["td"] + 1)
-        td = td.when((name == "/td") & (s["td"] > 0), s["td"] - 1).otherwise(s["td"])
-        inside = (name == "a") & (s["td"] > 0) & (s["tr"] > 0)
-        found = F.when(inside, F.concat(s["found"], F.array(tag))).otherwise(s["found"])
-        return F.struct(tables.alias("table"), tr.alias("tr"), td.alias("td"), found.alias("found"))
-
-    return F.aggregate(tags, start, step, lambda s: s["found"])
+    if "href" in keep:
+        raise ValueError("pages must not have a column 'href': the links get it")
+    chains = selector(css_scope if css_scope is not None else TABLE_CELL_SCOPE if in_table_cells else ALL_LINKS)
+    ship_package(pages.sparkSession)
+
+    def links(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [select(html, chains) for html in batch.column(0).to_pylist()]
+            rows = pa.array([k for k, values in enumerate(found) for _ in values], pa.int64())
+            columns = [batch.column(k + 1).take(rows) for k in range(len(keep))]
+            href = pa.array([v.strip() for values in found for v in values], pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, href], names=[*keep, "href"])
+
+    rows = pages.select(F.col(f"`{html_col}`").cast("string"), *[F.col(f"`{c}`") for c in keep])
+    return rows.mapInArrow(links, T.StructType([*rows.schema.fields[1:], T.StructField("href", T.StringType())]))
 
 
 def link_year(href: str = "href"):
@@ -90,14 +73,10 @@ def discover_files(
 
     ``years`` is None (no year condition), a list of ints, or a DataFrame with a
     ``year`` column.  An empty list or an empty frame gives no links.
-    ``css_scope='table tr td a'`` (the portal's scope) is the same as
-    ``in_table_cells=True``; no other selector is supported.
+    ``css_scope`` is a selector of the elements whose ``href`` counts; ``'table tr td a'`` (the
+    portal's scope) is the same as ``in_table_cells=True``.
     """
-    if css_scope is not None:
-        if " ".join(css_scope.split()) != TABLE_CELL_SCOPE:
-            raise ValueError(f"css_scope must be {TABLE_CELL_SCOPE!r} or None")
-        in_table_cells = True
-    links = extract_links(pages, html_col, in_table_cells)
+    links = extract_links(pages, html_col, in_table_cells, css_scope)
     if include:
         links = links.where(F.col("href").rlike(include))
     if exclude:
