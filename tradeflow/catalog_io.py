@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tradeflow.catalog import EXP, IMP, register
 from tradeflow.fixtures import Fixtures
-from tradeflow.oracle_sql import with_views
+from tradeflow.oracle_sql import _normalised, with_views
+from tradeflow.plans.ledger import files_digest
 from tradeflow.plans.refresh import (
     available_years,
     is_current,
@@ -20,7 +21,7 @@ from tradeflow.plans.refresh import (
     refresh_plan,
     update_store,
 )
-from tradeflow.plans.store import create_store, flow_path, open_store, write_store, stored_years
+from tradeflow.plans.store import create_store, delete, flow_path, open_store, write_store, stored_years
 from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_RENAMES, RAW_RENAMES, UNIT_TRANSLATIONS
 from tradeflow.session import scratch_dir
 from tradeflow.sources.links import discover_files, find_table_links
@@ -37,7 +38,7 @@ from tradeflow.sources.lookups import (
     save_lookup,
 )
 from tradeflow.sources.names import clean_column_names, rename_known_columns
-from tradeflow.sources.raw import read_raw, with_file_route, write_raw_files
+from tradeflow.sources.raw import list_files, read_raw, route_of, with_file_route, write_raw_files
 
 RAW_SQL = {
     "export": "year AS CO_ANO, month AS CO_MES, ncm AS CO_NCM, state AS SG_UF_NCM, country_code AS CO_PAIS, "
@@ -537,6 +538,96 @@ def q_store_total_imports_by_year_month(spark, d):
     return total_by_year_month(open_store(spark, flow_path(base, "import"), "import"))
 
 
+# ---------------------------------------------------------------- the ledger beside the store
+def _ledger_sql(flow: str) -> str:
+    cif = "CAST(sum(cif_value) AS BIGINT)" if flow == "import" else "CAST(NULL AS BIGINT)"
+    return f'''SELECT '{flow}' AS flow, s.year, r.raw_rows, s.n_rows, s.last_month, s.fob_value, s.cif_value, s.kg, s.qty FROM (
+  SELECT year, count(*) AS n_rows, CAST(max(month) AS INT) AS last_month, CAST(sum(fob_value) AS BIGINT) AS fob_value, {cif} AS cif_value,
+    CAST(sum(kg) AS BIGINT) AS kg, CAST(sum(qty) AS BIGINT) AS qty FROM {flow}s GROUP BY year) s
+JOIN (SELECT year, count(*) AS raw_rows FROM raw_coarse GROUP BY year) r ON r.year = s.year'''
+
+
+@register("store_ledger", with_views(f"{_ledger_sql('export')} UNION ALL {_ledger_sql('import')}", "exports", "imports"))
+def q_store_ledger(spark, d):
+    from tradeflow.plans.ledger import MEASURES, valid
+
+    base = _created_store(spark, d)
+    return valid(spark, base).select("flow", "year", "raw_rows", "n_rows", "last_month", *[F.col(m).cast("bigint").alias(m) for m in MEASURES])
+
+
+_REVISED = "(year <> 1996 OR month <> 12) AND (year <> 1994 OR kg < 40)"
+
+
+def _revised_store(spark, d):
+    """A store whose landing was published again: all files anew, two years with rows left out."""
+    raw = {flow: Fixtures(spark, d).raw_files(flow) for flow in ("export", "import")}
+    landing, base = scratch_dir(spark, "landing"), scratch_dir(spark, "store")
+    for flow, rows in raw.items():
+        write_raw_files(rows, landing, flow)
+    create_store(spark, landing, base)
+    before = {(flow, y): files_digest(spark, base, flow, y) for flow in raw for y in stored_years(spark, flow_path(base, flow))}
+    again = scratch_dir(spark, "landing")
+    for flow, rows in raw.items():
+        kept = F.expr(_REVISED.replace("year", "CO_ANO").replace("month", "CO_MES").replace("kg", "KG_LIQUIDO"))
+        write_raw_files(rows.where(kept).repartition(3), again, flow)
+    create_store(spark, again, base)
+    return base, before
+
+
+@register(
+    "store_unchanged_years",
+    with_views("SELECT flow, year, year IN (1994, 1996) AS rewritten FROM (SELECT DISTINCT year FROM raw_coarse) t, (VALUES ('export'), ('import')) v(flow)",
+               "raw_coarse"),
+)
+def q_store_unchanged_years(spark, d):
+    """Years published again with equal content keep their files; those with other rows get new ones."""
+    base, before = _revised_store(spark, d)
+    rows = [(flow, y, files_digest(spark, base, flow, y) != digest) for (flow, y), digest in before.items()]
+    return spark.createDataFrame(rows, "flow string, year int, rewritten boolean")
+
+
+_TOTAL = "CASE WHEN count(fob_value) = count(*) THEN CAST(sum(fob_value) AS BIGINT) END AS value"
+
+
+def _revised_sql(select: str, group: str) -> str:
+    return with_views(f"{select} FROM revised GROUP BY {group}", "raw_coarse", extra=(
+        ("kept", f"SELECT * FROM raw_coarse WHERE {_REVISED}"), ("revised", _normalised("kept", cif=True))))
+
+
+@register("ledger_total_by_year", _revised_sql(f"SELECT year, {_TOTAL}", "year"))
+def q_ledger_total_by_year(spark, d):
+    from tradeflow.plans.ledger import total_by_year
+
+    return total_by_year(spark, _revised_store(spark, d)[0], "import")
+
+
+@register("ledger_total_by_year_month", _revised_sql(f"SELECT year, month, {_TOTAL}", "year, month"))
+def q_ledger_total_by_year_month(spark, d):
+    from tradeflow.plans.ledger import total_by_year_month
+
+    return total_by_year_month(spark, _revised_store(spark, d)[0], "import")
+
+
+@register(
+    "landing_withdrawn_years",
+    with_views("SELECT 'export' AS flow, year, count(*) AS n_rows FROM exports WHERE year <> 1995 GROUP BY year "
+               "UNION ALL SELECT 'import', year, count(*) FROM imports WHERE year NOT IN (1995, 1997) GROUP BY year", "exports", "imports"),
+)
+def q_landing_withdrawn_years(spark, d):
+    """All files of a year are withdrawn from the landing folder, for one year in both flows, for another in one."""
+    from tradeflow.streaming.landing import run_ingest_once
+
+    landing, base, seen = _landing(spark, d), scratch_dir(spark, "store"), scratch_dir(spark, "stream-checkpoint")
+    run_ingest_once(spark, landing, base, seen)
+    for name in list_files(spark, landing):
+        if route_of(name) in (("export", 1995), ("import", 1995), ("import", 1997)):
+            delete(spark, name)
+    run_ingest_once(spark, landing, base, seen)
+    parts = [open_store(spark, flow_path(base, flow), flow).groupBy(F.lit(flow).alias("flow"), "year").agg(F.count(F.lit(1)).alias("n_rows"))
+             for flow in ("export", "import")]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------- more CSV chains and store queries
 @register("read_lookup_product", PRODUCT_ALL_SQL)
 def q_read_lookup_product(spark, d):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tradeflow.functions import exact_integer, exact_long, pad_code, strict_sums
@@ -40,7 +40,46 @@ def _require(df: DataFrame, cols) -> None:
         raise ValueError(f"missing column(s) {missing}; have {df.columns}")
 
 
-def _aggregate(raw: DataFrame, measures: list[str]) -> DataFrame:
+def _total(column: str) -> Column:
+    """Exact sum of the values that are not null, for any number of rows."""
+    return F.coalesce(F.sum(F.col(column).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias(column)
+
+
+class Reconciliation:
+    """Rows and exact sums on both sides of the grain aggregate, taken by the job that writes its result.
+
+    ``Observation`` metrics: no row is read twice.  After the job, ``differences`` compares the two sides
+    and ``rows_by_year`` tells the raw rows of each year.
+    """
+
+    #: Distinct years are few: the sketch is exact for this many.
+    YEARS = 1024
+
+    def __init__(self, flow: str):
+        self.flow, self.raw, self.stored = flow, Observation(), Observation()
+
+    def before(self, keyed: DataFrame, measures: list[str]) -> DataFrame:
+        by_year = F.call_function("approx_top_k", F.col("year"), F.lit(self.YEARS), F.lit(2 * self.YEARS)).alias("by_year")
+        return keyed.observe(self.raw, F.count(F.lit(1)).alias("rows"), by_year, *[_total(m) for m in measures])
+
+    def after(self, groups: DataFrame, measures: list[str], rows: str) -> DataFrame:
+        total = F.coalesce(F.sum(rows), F.lit(0)).alias("rows")
+        return groups.observe(self.stored, F.count(F.lit(1)).alias("groups"), total, *map(_total, measures))
+
+    def differences(self) -> dict[str, tuple]:
+        """Metric -> (raw, aggregated) where they differ.
+
+        A map task that is run again after a lost executor may count its rows twice, so a
+        difference is to be confirmed by a second ``Reconciliation``.
+        """
+        raw, stored = self.raw.get, self.stored.get
+        return {k: (raw[k], v) for k, v in stored.items() if k in raw and raw[k] != v}
+
+    def rows_by_year(self) -> dict[int | None, int]:
+        return {t["item"]: t["count"] for t in self.raw.get["by_year"] or []}
+
+
+def _aggregate(raw: DataFrame, measures: list[str], watch: Reconciliation | None = None) -> DataFrame:
     warn_without_ansi(raw)
     df = _to_store_names(raw)
     _require(df, list(GRAIN) + measures)
@@ -54,26 +93,30 @@ def _aggregate(raw: DataFrame, measures: list[str]) -> DataFrame:
         *[exact_long(F.col(m), m, types[m]).alias(m) for m in measures],
     )
     aggs, finals = strict_sums(measures)
-    g = keyed.groupBy(*GRAIN).agg(*aggs)
+    if watch is None:
+        g = keyed.groupBy(*GRAIN).agg(*aggs)
+    else:
+        g = watch.before(keyed, measures).groupBy(*GRAIN).agg(*aggs, F.count(F.lit(1)).alias("_rows"))
+        g = watch.after(g, measures, "_rows")  # the sums are not yet null where a value is missing
     return g.select(*GRAIN, *[finals[m].alias(m) for m in measures])
 
 
-def normalise_exports(raw: DataFrame) -> DataFrame:
+def normalise_exports(raw: DataFrame, watch: Reconciliation | None = None) -> DataFrame:
     """Raw export rows -> one row per grain key with strict sums of fob_value, kg, qty."""
-    g = _aggregate(raw, ["fob_value", "kg", "qty"])
+    g = _aggregate(raw, ["fob_value", "kg", "qty"], watch)
     return g.select(*GRAIN, "fob_value", "kg", "qty")
 
 
-def normalise_imports(raw: DataFrame) -> DataFrame:
+def normalise_imports(raw: DataFrame, watch: Reconciliation | None = None) -> DataFrame:
     """As exports, plus cif_value = fob_value + insurance + freight (null if any part is null)."""
-    g = _aggregate(raw, ["fob_value", "insurance", "freight", "kg", "qty"])
+    g = _aggregate(raw, ["fob_value", "insurance", "freight", "kg", "qty"], watch)
     cif = F.col("fob_value") + F.col("insurance") + F.col("freight")
     return g.select(*GRAIN, "fob_value", cif.alias("cif_value"), "kg", "qty")
 
 
-def normalise(raw: DataFrame, flow: str) -> DataFrame:
+def normalise(raw: DataFrame, flow: str, watch: Reconciliation | None = None) -> DataFrame:
     store_schema(flow)
-    return normalise_imports(raw) if flow == "import" else normalise_exports(raw)
+    return normalise_imports(raw, watch) if flow == "import" else normalise_exports(raw, watch)
 
 
 def conform(df: DataFrame, flow: str) -> DataFrame:

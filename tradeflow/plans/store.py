@@ -7,10 +7,17 @@ read the files, the grain aggregate exchanges the rows once, and a rebalance on
 spread over many tasks and small years do not make small files) feeds the
 writers.  Rows are sorted by month and product inside each file, which gives
 tight row-group statistics for month and product filters.
+
+A load writes to a staging folder beside the store.  The same job counts and sums its raw and its aggregated
+rows (``Reconciliation``); a confirmed difference raises before any year is replaced.  The staged
+years' ledger rows (``plans/ledger.py``: rows, exact sums, last month, an order-free hash) are compared with those of the stored
+years: only years whose content differs are published, by renaming their folders.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -18,9 +25,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.normalise import conform, normalise
+from tradeflow.operators.normalise import Reconciliation, conform, normalise
+from tradeflow.plans import ledger
 from tradeflow.schemas import FLOWS, GRAIN, store_schema
-from tradeflow.sources.raw import list_files, literal_path, read_raw, route_of, select_files
+from tradeflow.sources.raw import file_name, list_files, literal_path, read_raw, route_of, select_files
 
 
 def flow_path(base: str, flow: str) -> str:
@@ -97,25 +105,93 @@ def load_files(
         return []
     rows = read_raw(spark, [literal_path(f) for f in files], flow, layout=layout, keep_file=check_file_year)
     if check_file_year:
-        rows = _rows_match_file_year(rows)
-    write_store(normalise(rows, flow), flow_path(base, flow), flow, compact=compact)
+        rows = _rows_match_file_year(rows, files)
+    path, watch = flow_path(base, flow), Reconciliation(flow)
+    staging = f"{base.rstrip('/')}/_staging/{flow}-{uuid.uuid4().hex[:12]}"
+    try:
+        write_store(normalise(rows, flow, watch), staging, flow, compact=compact)
+        watch = _confirmed(rows, flow, watch)
+        found = ledger.measure(open_store(spark, staging, flow), flow, watch.rows_by_year())
+        if (staged := sum(r["n_rows"] for r in found.values())) != watch.stored.get["groups"]:
+            raise RuntimeError(f"{flow}: {watch.stored.get['groups']} rows were aggregated, {staged} staged; nothing was replaced")
+        _publish(spark, base, flow, staging, found, stored_years(spark, path))
+    finally:
+        delete(spark, staging)
     return files
 
 
-def _rows_match_file_year(rows: DataFrame) -> DataFrame:
+def _confirmed(rows: DataFrame, flow: str, watch: Reconciliation) -> Reconciliation:
+    """``watch`` if its two sides agree; else a second count, which raises if they still differ."""
+    if not watch.differences():
+        return watch
+    again = Reconciliation(flow)
+    normalise(rows, flow, again).write.format("noop").mode("overwrite").save()
+    if wrong := again.differences():
+        raise RuntimeError(f"{flow}: raw and aggregated rows differ, nothing was replaced: {wrong}")
+    return again
+
+
+def _publish(spark: SparkSession, base: str, flow: str, staging: str, found: dict[int, dict], present: list[int]) -> list[int]:
+    """Move the staged years whose content differs from the stored one into the store; returns them.
+
+    A year's ledger row is dropped before its folder is replaced and written after it: a load that
+    fails in between leaves a year without a row, which the next load replaces.
+    """
+    known = ledger.read(spark, base, flow)
+    changed = [y for y, row in sorted(found.items()) if y not in present or known.get(y, {}).get("hash") != row["hash"]]
+    ledger.drop(spark, base, flow, changed)
+    fs, Path = _file_system(spark, base)
+    fs.mkdirs(Path(flow_path(base, flow)))
+    for y in changed:
+        target = Path(f"{flow_path(base, flow)}/year={y}")
+        fs.delete(target, True)
+        if not fs.rename(Path(f"{staging}/year={y}"), target):
+            raise OSError(f"could not move {staging}/year={y} to {target}")
+    ledger.write(spark, base, flow, {y: found[y] | {"files": ledger.files_digest(spark, base, flow, y)} for y in changed})
+    spark.catalog.refreshByPath(flow_path(base, flow))
+    return changed
+
+
+def remove_years(spark: SparkSession, base: str, flow: str, years: list[int]) -> list[int]:
+    """Delete years of one flow, and their ledger rows; returns those that were stored."""
+    path = flow_path(base, flow)
+    gone = [y for y in stored_years(spark, path) if y in set(years)]
+    for y in gone:
+        delete(spark, f"{path}/year={y}")
+    ledger.drop(spark, base, flow, list(years))
+    spark.catalog.refreshByPath(path)
+    return gone
+
+
+def _file_system(spark: SparkSession, path: str):
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    return Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), Path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, Path = _file_system(spark, path)
+    fs.delete(Path(path), True)
+
+
+def _rows_match_file_year(rows: DataFrame, files: list[str]) -> DataFrame:
     """Raise on a row whose year differs from the year in its file's name.
 
     A year is replaced as a whole, so one stray row of 2023 in ``IMP_2024.csv``
-    would otherwise replace the stored 2023 with that single row.  The year is read
-    from the row's file name, so the check costs the same for any number of files.
+    would otherwise replace the stored 2023 with that single row.  A name holds its year after the flow's token most often,
+    at a place that all files of a load share: there a substring is compared, without a regular expression for each row.
     """
-    name = F.regexp_replace(F.col("source_file"), "%[0-9A-Fa-f]{2}", "_")  # a listed name may be an encoded URI
-    expected = F.nullif(F.regexp_extract(name, "[0-9]{4}", 0), F.lit("")).cast("int")
-    ok = expected.isNull() | F.col("CO_ANO").isNull() | (F.col("CO_ANO") == expected)
+    names = [file_name(f) for f in files]
+    places = {m.start() for m in (re.search("[0-9]{4}", n) for n in names)}
+    plain = len(places) == 1 and all(re.fullmatch("[A-Za-z0-9_.-]+", n) for n in names)  # as file metadata writes them
+    if plain:
+        ok = F.col("CO_ANO").cast("string") == F.substring("source_file", places.pop() + 1, 4)
+    else:
+        name = F.regexp_replace(F.col("source_file"), "%[0-9A-Fa-f]{2}", "_")  # a listed name may be an encoded URI
+        ok = F.col("CO_ANO") == F.nullif(F.regexp_extract(name, "[0-9]{4}", 0), F.lit("")).cast("int")
     bad = F.raise_error(
         F.format_string("row of year %s in file %s: a file may only hold its own year", F.col("CO_ANO"), F.col("source_file"))
     )
-    return rows.where(F.when(ok, F.lit(True)).otherwise(bad.cast("boolean"))).drop("source_file")
+    return rows.where(F.when(F.coalesce(ok, F.lit(True)), F.lit(True)).otherwise(bad.cast("boolean"))).drop("source_file")
 
 
 def create_store(
@@ -160,9 +236,8 @@ def ignored_files(spark: SparkSession, raw_paths) -> list[str]:
 
 def stored_years(spark: SparkSession, path: str) -> list[int]:
     """Years with a folder in one flow of the store, ascending: a listing of the folder, no row is read."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
+    fs, Path = _file_system(spark, path)
+    if not fs.exists(Path(path)):
         return []
-    names = (s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+    names = (s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory())
     return sorted(int(n[5:]) for n in names if n.startswith("year=") and n[5:].isdigit())

@@ -5,9 +5,9 @@ parts) are dropped into a landing folder, and the current year's file is
 published again under its name every month.  A refresh compares the folder's listing
 (path, modification time, length; no content is read) with the listing that the last load
 recorded in the checkpoint folder, so late, old-dated and republished files all
-count as changed.  It reloads every (flow, year) with a changed file from **all** landing
-files of that flow and year, replaces those years in the store (dynamic overwrite), and then
-records the listing.  A refresh that fails before that is simply done again: the same
+count as changed, and so do withdrawn ones.  It reloads every (flow, year) with a changed file from **all** landing
+files of that flow and year, replaces those years in the store whose content differs, deletes years without
+any file left, and then records the listing.  A refresh that fails before that is simply done again: the same
 years are written with the same content.
 
 ``run_ingest_once`` does one refresh.  ``start_ingest`` keeps watching the folder: a
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradeflow.plans.store import load_flow
+from tradeflow.plans.store import load_flow, remove_years
 from tradeflow.sources.raw import route_columns
 
 # The fixed schema of Spark's binaryFile source; ``content`` is never selected, so never read.
@@ -86,7 +86,7 @@ def touched_years(changed: DataFrame) -> dict[str, list[int]]:
 
 
 def refresh_from_landing(spark: SparkSession, landing: str, base: str, state: str, layout: str = "auto") -> dict[str, list[int]]:
-    """Reload the (flow, year)s whose files changed since the listing recorded below ``state``; returns them."""
+    """Reload, or remove, the (flow, year)s whose files changed since the listing recorded below ``state``; returns them."""
     versions = _versions(spark, state)
     number = versions[-1] + 1 if versions else 0
     now = listing(spark, landing)
@@ -95,14 +95,22 @@ def refresh_from_landing(spark: SparkSession, landing: str, base: str, state: st
     now.write.mode("overwrite").parquet(seen)
     now = spark.read.schema(LISTING).parquet(seen)
     known = spark.read.schema(LISTING).parquet(f"{state}/v{versions[-1]}") if versions else spark.createDataFrame([], LISTING)
-    work = touched_years(now.join(known, ["path", "modificationTime", "length"], "left_anti"))
+    version = ["path", "modificationTime", "length"]
+    # New, republished and withdrawn files: the difference of the two listings, either way.
+    work = touched_years(now.join(known, version, "left_anti").unionByName(known.join(now, version, "left_anti")))
+    left = touched_years(now)
+    gone = {flow: sorted(set(years) - set(left.get(flow, []))) for flow, years in work.items()}
     if work:
         # the flows are independent jobs; submit them together, as create_store does
         load = inheritable_thread_target(spark)(load_flow)
         with ThreadPoolExecutor(max_workers=len(work)) as pool:
-            futures = [pool.submit(load, spark, landing, base, flow, None, years, layout) for flow, years in work.items()]
+            futures = [
+                pool.submit(load, spark, landing, base, flow, None, sorted(set(years) - set(gone[flow])), layout) for flow, years in work.items()
+            ]
             for f in futures:
                 f.result()  # re-raise a failure: nothing is recorded, so the next refresh does it again
+        for flow, years in gone.items():
+            remove_years(spark, base, flow, years)  # all files of these years were withdrawn
     now.write.mode("overwrite").parquet(f"{state}/v{number}")
     return work
 
