@@ -9,7 +9,7 @@ from planutil import plan_text
 from tradeflow.fixtures import Fixtures
 from tradeflow.operators.enrich import add_isic_description, add_units
 from tradeflow.operators.summaries import total_by_year
-from tradeflow.plans.refresh import latest_period, refresh_plan
+from tradeflow.plans.refresh import available_years, latest_period, refresh_plan
 from tradeflow.plans.reports import imports_by_section
 from tradeflow.plans.store import flow_path, open_store, write_store
 from tradeflow.sources.lookups import load_lookup, save_lookup
@@ -62,14 +62,28 @@ def test_totals_read_one_column(env):
     assert plan.count("HashAggregate") >= 2
 
 
-def test_latest_period_is_a_hash_aggregate_over_month(env):
-    imports, _, _ = env
+def test_latest_period_reads_footers(env):
+    """A plain store handle: no row is read, the month comes from footers, and no job runs before."""
+    imports, exports, _ = env
+    plan = latest_period(imports)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(month)]" in plan and "year=2001" in plan and "FileScan" not in plan
+    years = available_years(imports)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in years and "BatchScan" not in years
+    plan = refresh_plan(exports, imports, "2002-01", current_year=2002)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Scan ExistingRDD" not in plan and "PushedAggregation: [MAX(month)]" in plan
+
+
+def test_latest_period_of_other_frames_is_a_hash_aggregate_over_month(env):
+    imports = env[0].where("month < 6")
     plan = plan_text(latest_period(imports))
     assert "SortAggregate" not in plan and "HashAggregate" in plan
     assert "ReadSchema: struct<month:int>" in plan
+    assert latest_period(imports).first().period == "2001-05" and [r.year for r in available_years(imports).collect()][-1] == 2001
+
 
 
 def test_refresh_plan_does_not_rescan_the_store(env):
     imports, exports, _ = env
     plan = plan_text(refresh_plan(exports, imports, "2001-11", 2001))
-    assert "Scan parquet" not in plan  # every step reads the checkpointed summary
+    assert not re.search(r"(?<!Batch)Scan parquet", plan)  # no row of the store is read
+    assert plan.count("BatchScan parquet") and plan.count("PushedAggregation: [MAX(month)]") >= 2

@@ -1,10 +1,10 @@
 """Keeping the store current: which years to (re)load.
 
-Everything here works on partition values and one-row aggregates: the year
-scans read no data columns, the latest period reads ``month`` only and is a
-partial (map-side) max.  Comparisons with one-row results use scalar
-subqueries, so no join multiplies rows.  The refresh plan scans each store
-once, into a checkpointed per-year summary.  Only the final year list (at most one
+No row is scanned here.  For a frame of ``open_store`` the years are the store's folders (a listing) and a year's
+last month comes from the footers of that year's files (Parquet aggregate pushdown); both are read when the
+frame is built or run, and no job runs before.  Other frames (filtered, or read in another way) are
+asked by partition values and a partial max over ``month``.  Comparisons with one-row results use scalar
+subqueries, so no join multiplies rows.  Only the final year list (at most one
 row per year since 1997) reaches the driver, in ``update_store``.
 
 Rules (a year plan for both flows):
@@ -27,19 +27,60 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeflow.functions import pad_code, period
 from tradeflow.plans.store import create_store, flow_path, open_store, stored_years
-from tradeflow.schemas import FIRST_DATA_YEAR, FLOWS
+from tradeflow.schemas import FIRST_DATA_YEAR, FLOWS, STORE_SCHEMAS
 from tradeflow.session import checkpoint_root
 from tradeflow.sources.raw import route_of
 
 FEED_SCHEMA = "data struct<year:string, monthNumber:string>"
 
 
+def store_folder(store: DataFrame) -> str | None:
+    """The folder of a plain store handle (``open_store``); None for any other frame."""
+    if not any([f.name for f in store.schema] == schema.fieldNames() for schema in STORE_SCHEMAS.values()) or not hasattr(store, "_jdf"):
+        return None
+    plan = store._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() == "Project":
+        plan = plan.child()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return None
+    roots = plan.relation().location().rootPaths()
+    return roots.apply(0).toString() if roots.size() == 1 else None
+
+
+def _years(spark: SparkSession, years: list[int]) -> DataFrame:
+    return spark.range(0, 10_000).where(F.col("id").isin(list(years))).select(F.col("id").cast("int").alias("year"))
+
+
+def _known_years(store: DataFrame) -> list[int] | None:
+    folder = store_folder(store)
+    return stored_years(store.sparkSession, folder) if folder else None
+
+
+_FOOTERS: dict[str, SparkSession] = {}
+
+
+def _last_month(store: DataFrame, folder: str, year: int) -> DataFrame:
+    """One row, ``month``: the last month of a stored year, from the footers of its files."""
+    spark = store.sparkSession
+    session = _FOOTERS.get(spark.sparkContext.applicationId)
+    if session is None:  # aggregates are pushed into footers by the second version of the Parquet source only
+        session = _FOOTERS[spark.sparkContext.applicationId] = spark.newSession()
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    columns = T.StructType([f for f in store.schema.fields if f.name != "year"])  # as the store writes its files
+    return session.read.schema(columns).parquet(f"{folder}/year={year}").agg(F.max("month").alias("month"))
+
+
 def available_years(store: DataFrame) -> DataFrame:
-    """Distinct stored years, ascending (partition values only)."""
-    return store.select("year").distinct().orderBy("year")
+    """Distinct stored years, ascending (folders, or partition values only)."""
+    years = _known_years(store)
+    if years is None:
+        return store.select("year").distinct().orderBy("year")
+    return _years(store.sparkSession, years).orderBy("year")
 
 
 def _period_key(year, month) -> Column:
@@ -54,11 +95,19 @@ def _key_period(key: Column) -> Column:
 def latest_period(store: DataFrame, years: list[int] | None = None) -> DataFrame:
     """One row: the last month of the last year as 'yyyy-mm' (null for an empty store).
 
-    Only the last year's files are scanned: the year comes from ``years`` (``stored_years``),
-    or from a scan of partition values, and prunes the others.
+    For a plain store handle only footers of the last year's files are read.  Otherwise the last year's
+    rows are scanned: the year comes from ``years`` (``stored_years``), or from a scan of partition
+    values, and prunes the others.
     """
-    year = F.lit(max(years)) if years else available_years(store).agg(F.max("year")).scalar()
-    last = store.where(F.col("year") == year).agg(F.max(_period_key("year", "month")).alias("k"))
+    folder = store_folder(store)
+    if folder:
+        years = years or stored_years(store.sparkSession, folder)
+        if not years:
+            return store.sparkSession.range(1).select(F.lit(None).cast("string").alias("period"))
+        last = _last_month(store, folder, max(years)).select(_period_key(F.lit(max(years)), F.col("month")).alias("k"))
+    else:
+        year = F.lit(max(years)) if years else available_years(store).agg(F.max("year")).scalar()
+        last = store.where(F.col("year") == year).agg(F.max(_period_key("year", "month")).alias("k"))
     return last.select(_key_period(F.col("k")).alias("period"))
 
 
@@ -98,18 +147,25 @@ def _as_period_column(spark: SparkSession, official: str | DataFrame) -> Column:
 def year_summary(exports: DataFrame, imports: DataFrame, years: dict[str, list[int]] | None = None) -> DataFrame:
     """(flow, year, last_month), the month for each flow's last year only: no other year's files are scanned.
 
-    ``years`` holds the stored years by flow (``stored_years``); without it they come from a scan of
-    partition values.
+    ``years`` holds the stored years by flow (``stored_years``); without it they are listed for plain
+    store handles, and come from a scan of partition values otherwise.
     """
 
     def one(store: DataFrame, flow: str) -> DataFrame:
-        if years is not None:
-            known = spark.range(0, 10_000).where(F.col("id").isin(years[flow])).select(F.col("id").cast("int").alias("year"))
-            last = F.lit(max(years[flow], default=None)).cast("int")
+        folder = store_folder(store)
+        listed = years[flow] if years is not None else stored_years(spark, folder) if folder else None
+        if listed is not None:
+            known = _years(spark, listed)
+            last = F.lit(max(listed, default=None)).cast("int")
         else:
             known = available_years(store)
             last = known.agg(F.max("year")).scalar()
-        month = store.where(F.col("year") == last).agg(F.max("month")).scalar()
+        if folder and not listed:
+            month = F.lit(None).cast("int")
+        elif folder:
+            month = _last_month(store, folder, max(listed)).scalar()
+        else:
+            month = store.where(F.col("year") == last).agg(F.max("month")).scalar()
         return known.select(F.lit(flow).alias("flow"), "year", F.when(F.col("year") == last, month).alias("last_month"))
 
     spark = exports.sparkSession
@@ -130,17 +186,18 @@ def refresh_plan(
     ``official`` is a 'yyyy-mm' string or a frame with a ``period`` column
     (for example from ``official_period``).  Empty when the store is current.
 
-    The two stores are scanned once, into a per-year summary (at most one row
-    per flow and year) that is checkpointed to the shared checkpoint folder (a job
-    that runs when the plan is made); every later step reads that small table instead of
-    scanning the stores again.  With ``years`` (the stored years by flow, from
-    ``stored_years``) only the last year of either flow is scanned.
+    The plan is made from a per-year summary (at most one row per flow and year).  For plain
+    store handles that is a listing and two footer aggregates, nothing else; no job runs when the plan is
+    made.  For other frames the summary is a scan, so it is checkpointed to the shared checkpoint folder
+    and not repeated by later steps.
     """
     spark = exports.sparkSession
     if current_year is None:
         current_year = datetime.date.today().year
-    checkpoint_root(spark)
-    summary = year_summary(exports, imports, years).checkpoint()
+    summary = year_summary(exports, imports, years)
+    if not (store_folder(exports) and store_folder(imports)):
+        checkpoint_root(spark)
+        summary = summary.checkpoint()
 
     off = _as_period_column(spark, official)
     off_year = F.substring(off, 1, 4).cast("int")
