@@ -1,7 +1,7 @@
 """The ledger: what each stored year holds, one small row for each flow and year beside the store.
 
 A row has the year's raw and stored rows, exact sums of its measures, its last month and a hash of its rows
-that does not depend on their order or files: the sums, mod 2 ** 64, of two 64-bit hashes of
+that does not depend on their order or files: the sums of the halves of two 64-bit hashes of
 each row.  It is measured over a load's staged rows and written when their year is published, so equal
 hashes mean equal content, and a year's figures are known without reading the store.
 
@@ -12,6 +12,7 @@ written since has other files: its row does not count (``valid``), and the next
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,29 +28,30 @@ SCHEMA = (
 COLUMNS = ("flow", "year", "raw_rows", "n_rows", "last_month", *MEASURES, "months", "hash", "files")
 
 
-def _hash(columns: list[str], salt: int) -> Column:
-    """Sum of the rows' hashes; nulls count by a mask, since a hash skips them."""
-    nulls = F.concat(*[F.col(c).isNull().cast("int").cast("string") for c in columns])
-    return F.sum(F.xxhash64(F.lit(salt), nulls, *columns).cast("decimal(38,0)"))
+def _hashes(columns: list[str]) -> list[Column]:
+    """Sums of the halves of the rows' two hashes (no overflow below 2 ** 31 rows a month); nulls count by a mask, since a hash skips them."""
+    nulls = sum((F.col(c).isNull().cast("int") * (1 << k) for k, c in enumerate(columns)), F.lit(0))
+    out = []
+    for salt in (1, 2):
+        h = F.xxhash64(F.lit(salt), nulls, *columns)
+        out += [F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))]
+    return [c.alias(f"_h{k}") for k, c in enumerate(out)]
 
 
 def measured(store: DataFrame, flow: str) -> DataFrame:
     """The ledger rows of a flow's years, without ``raw_rows``: partial aggregates, by month and then by year."""
     columns = store_schema(flow).fieldNames()
-    totals = [(F.sum(F.col(m).cast("decimal(38,0)")) if m in columns else F.lit(None)).cast("decimal(38,0)").alias(m) for m in MEASURES]
     months = store.groupBy("year", "month").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fob_value").isNull()).alias("nulls"), *totals,
-        _hash(columns, 1).alias("_a"), _hash(columns, 2).alias("_b"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("fob_value").isNull()).alias("nulls"), *_hashes(columns),
+        *[(F.sum(m) if m in columns else F.lit(None)).cast("decimal(38,0)").alias(m) for m in MEASURES],
     )
     month = F.struct("month", F.col("fob_value").alias("value"), "nulls")
+    parts = [F.sum(F.col(f"_h{k}").cast("decimal(38,0)")).cast("string") for k in range(4)]
     rows = months.groupBy("year").agg(
         F.sum("n_rows").alias("n_rows"), F.max("month").alias("last_month"), *[F.sum(m).cast("decimal(38,0)").alias(m) for m in MEASURES],
-        F.sum("_a").cast("decimal(38,0)").alias("_a"), F.sum("_b").cast("decimal(38,0)").alias("_b"), F.sort_array(F.collect_list(month)).alias("months"),
-    )
-    part = lambda c: F.pmod(F.col(c), F.lit(str(2**64)).cast("decimal(38,0)")).cast("string")
-    return rows.select(
-        F.lit(flow).alias("flow"), "year", "n_rows", "last_month", *MEASURES, "months", F.concat_ws(":", part("_a"), part("_b")).alias("hash")
+        F.sort_array(F.collect_list(month)).alias("months"), F.concat_ws(":", *parts).alias("hash"),
     )
+    return rows.select(F.lit(flow).alias("flow"), "year", "n_rows", "last_month", *MEASURES, "months", "hash")
 
 
 def measure(store: DataFrame, flow: str, raw_rows: dict[int | None, int]) -> dict[int, dict]:
@@ -81,8 +83,7 @@ def ledger(spark: SparkSession, base: str) -> DataFrame:
     fs, Path = _file_system(spark, base)
     if not fs.exists(Path(_folder(base))):
         return spark.createDataFrame([], SCHEMA)
-    rows = spark.read.schema(SCHEMA).option("basePath", _folder(base)).parquet(_folder(base))
-    return rows.select(*COLUMNS)
+    return spark.read.schema(SCHEMA).option("basePath", _folder(base)).json(_folder(base)).select(*COLUMNS)
 
 
 def read(spark: SparkSession, base: str, flow: str) -> dict[int, dict]:
@@ -98,11 +99,20 @@ def valid(spark: SparkSession, base: str) -> DataFrame:
 
 
 def write(spark: SparkSession, base: str, flow: str, rows: dict[int, dict]) -> None:
-    """Replace the ledger rows of these years; the others stay."""
-    if rows:
-        df = spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows.values()], SCHEMA).coalesce(1)
-        out = df.drop("flow").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        out.partitionBy("year").parquet(f"{_folder(base)}/flow={flow}")  # the flows are written at the same time
+    """Replace the ledger rows of these years; the others stay.  A row is one small JSON file, put in place by a rename."""
+    fs, Path = _file_system(spark, base)
+    for y, row in rows.items():
+        folder = f"{_folder(base)}/flow={flow}/year={y}"
+        kept = {k: v for k, v in row.items() if k not in ("flow", "year")}
+        kept["months"] = [m.asDict() for m in row["months"]]
+        fs.delete(Path(folder), True)
+        out = fs.create(Path(f"{folder}/_row.json"), True)
+        try:
+            out.write(bytearray(json.dumps(kept, default=int).encode()))
+        finally:
+            out.close()
+        if not fs.rename(Path(f"{folder}/_row.json"), Path(f"{folder}/row.json")):
+            raise OSError(f"could not write {folder}/row.json")
 
 
 def drop(spark: SparkSession, base: str, flow: str, years: list[int]) -> None:

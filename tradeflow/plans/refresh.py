@@ -194,10 +194,12 @@ def refresh_plan(
     spark = exports.sparkSession
     if current_year is None:
         current_year = datetime.date.today().year
-    summary = year_summary(exports, imports, years)
-    if not (store_folder(exports) and store_folder(imports)):
-        checkpoint_root(spark)
-        summary = summary.checkpoint()
+    folders = {"export": store_folder(exports), "import": store_folder(imports)}
+    if all(folders.values()):
+        listed = years or {flow: stored_years(spark, folder) for flow, folder in folders.items()}
+        return _plan_of_folders(exports, imports, listed, _as_period_column(spark, official), int(current_year), start_year, first_year)
+    checkpoint_root(spark)
+    summary = year_summary(exports, imports, years).checkpoint()
 
     off = _as_period_column(spark, official)
     off_year = F.substring(off, 1, 4).cast("int")
@@ -243,6 +245,35 @@ def refresh_plan(
     return plan.where(needed).select(F.col("year").cast("int").alias("year"), reason.alias("reason"))
 
 
+def _plan_of_folders(
+    exports: DataFrame, imports: DataFrame, years: dict[str, list[int]], off: Column, current_year: int, start_year: int | None, first_year: int
+) -> DataFrame:
+    """The plan where the stored years are known: a filter over a calendar, with one scalar for either flow's last month."""
+    spark = exports.sparkSession
+    off_year = F.substring(off, 1, 4).cast("int")
+    ends = [max(y) for y in years.values() if y]
+    both = sorted(set(years["export"]) & set(years["import"]))
+    first = start_year if start_year is not None else min((min(y) for y in years.values() if y), default=None)
+    start = max(first, first_year) if first is not None else first_year
+    last_local = F.lit(min(ends, default=None)).cast("int")
+
+    def wanted(year: Column) -> Column:
+        """Whether the year is to be loaded: desired, and not kept."""
+        kept = year.isin(both) & ~F.coalesce(year.between(last_local, off_year), F.lit(False))
+        return year.between(F.lit(start), F.least(F.lit(current_year), off_year)) & ~kept
+
+    def ends_there(store: DataFrame, flow: str) -> Column:
+        return F.coalesce(latest_period(store, years[flow]).scalar() == off, F.lit(False)) if years[flow] else F.lit(False)
+
+    other = F.lit(False)
+    for y in range(first_year, current_year + 1):  # an expression; a scalar may not stand in a lambda
+        other = other | F.coalesce(wanted(F.lit(y)) & (off_year != y), F.lit(False))
+    needed = other | ~(ends_there(exports, "export") & ends_there(imports, "import"))
+    rows = spark.range(first_year, current_year + 1).select(F.col("id").cast("int").alias("year")).where(wanted(F.col("year")) & needed)
+    reason = F.when(F.col("year").isin(both), F.lit("refresh")).otherwise(F.lit("missing"))
+    return rows.select("year", reason.alias("reason"))
+
+
 def update_store(
     spark: SparkSession,
     raw_paths,
