@@ -61,9 +61,13 @@ class Fixtures:
         return j.select(
             F.year("l_shipdate").cast("int").alias("year"),
             F.month("l_shipdate").cast("int").alias("month"),
-            _s(F.col("l_partkey")).alias("ncm"),
+            # Every 53rd part is traded under a code that no lookup lists.
+            F.when(F.col("l_partkey") % 53 == 0, F.concat(F.lit("9"), F.lpad(_s(F.col("l_partkey")), 7, "0")))
+            .otherwise(_s(F.col("l_partkey")))
+            .alias("ncm"),
             _case(flags, STATE_BY_FLAGS, "XX").alias("state"),
             F.when(F.col("l_suppkey") % 40 == 39, F.lit(None).cast("int"))
+            .when(F.col("s_nationkey") >= 22, F.col("s_nationkey").cast("int") + 900)  # listed nowhere
             .otherwise(F.col("s_nationkey").cast("int"))
             .alias("country_code"),
             F.col("l_quantity").cast("bigint").alias("kg"),
@@ -118,7 +122,7 @@ class Fixtures:
 
     # ------------------------------------------------------------------ lookups
     def country_lookup(self) -> DataFrame:
-        n = self.table("nation").where(F.col("n_nationkey") < 22)
+        n = self.table("nation")
         k = _s(F.col("n_nationkey"))
         rows = n.select(
             F.col("n_nationkey").cast("int").alias("country_code"),
@@ -137,14 +141,15 @@ class Fixtures:
         return self.spark.createDataFrame(list(STATE_NAMES.items()), "state STRING, state_name STRING")
 
     def product_lookup(self) -> DataFrame:
-        p = self.table("part").where(F.col("p_partkey") % 53 != 0)
+        p = self.table("part")
         return p.select(
             F.lpad(_s(F.col("p_partkey")), 8, "0").alias("ncm"),
-            (10 + F.col("p_size") % 16).cast("int").alias("unit_code"),
+            (10 + F.col("p_size") % 17).cast("int").alias("unit_code"),  # code 26 is no unit
             F.concat(F.lit("Q"), _s(F.col("p_size"))).alias("co_cuci_item"),
             (100 + F.col("p_size") % 19).cast("int").alias("bec_n3_code"),
             (1000 + F.col("p_size")).cast("int").alias("co_siit"),
             F.when(F.col("p_partkey") % 97 == 0, F.lit(None).cast("int"))
+            .when(F.col("p_size") == 50, F.lit(950))  # no such class
             .otherwise(F.col("p_size").cast("int"))
             .alias("isic_class_code"),
             F.col("p_name").alias("ncm_description"),
@@ -153,7 +158,7 @@ class Fixtures:
         )
 
     def isic_lookup(self) -> DataFrame:
-        k = self.table("part").where(F.col("p_size") != 50).select(F.col("p_size").alias("k")).distinct()
+        k = self.table("part").select(F.col("p_size").alias("k")).distinct()
         cols = [F.col("k").cast("int").alias("isic_class_code")]
         ks = _s(F.col("k"))
         cols += [
@@ -185,7 +190,7 @@ class Fixtures:
         return rows.unionByName(none)
 
     def unit_lookup(self) -> DataFrame:
-        i = self.table("part").select((F.col("p_size") % 16).alias("i")).distinct().where(F.col("i") < 15)
+        i = self.table("part").select((F.col("p_size") % 16).alias("i")).distinct()
         si = _s(F.col("i"))
         return i.select(
             (10 + F.col("i")).cast("int").alias("unit_code"),
@@ -202,10 +207,16 @@ class Fixtures:
             F.concat(F.lit("pt n3 "), si).alias("bec_n3_desc_pt"),
             F.concat(F.lit("n3 "), si).alias("bec_n3_desc"),
             F.concat(F.lit("es n3 "), si).alias("bec_n3_desc_es"),
-            _floor_div(F.col("i"), 5.0).alias("bec_n2_code"),
-            _floor_div(F.col("i"), 10.0).alias("bec_n1_code"),
+            *self._bec_level(2, 5.0),
+            *self._bec_level(1, 10.0),
         )
 
+    @staticmethod
+    def _bec_level(level: int, width: float) -> list[Column]:
+        code = _floor_div(F.col("i"), width)
+        named = [F.concat(F.lit(f"{lang}n{level} "), _s(code)).alias(f"bec_n{level}_desc{suffix}") for lang, suffix in (("pt ", "_pt"), ("", ""), ("es ", "_es"))]
+        return [code.alias(f"bec_n{level}_code"), *named]
+
     # ------------------------------------------------------------------ raw lookup files
     def unit_raw(self) -> DataFrame:
         """Published unit rows (co_unid, no_unid, sg_unid), one per part; the name comes from p_size."""
@@ -276,7 +287,9 @@ class Fixtures:
     def published_bec(self) -> DataFrame:
         return self._published(self.bec_lookup(), {
             "bec_n3_code": "CO_CGCE_N3", "bec_n3_desc_pt": "NO_CGCE_N3", "bec_n3_desc": "NO_CGCE_N3_ING",
-            "bec_n3_desc_es": "NO_CGCE_N3_ESP", "bec_n2_code": "CO_CGCE_N2", "bec_n1_code": "CO_CGCE_N1",
+            "bec_n3_desc_es": "NO_CGCE_N3_ESP",
+            **{f"bec_n{k}_{ours}": f"{theirs}" for k in (2, 1) for ours, theirs in (
+                ("code", f"CO_CGCE_N{k}"), ("desc_pt", f"NO_CGCE_N{k}"), ("desc", f"NO_CGCE_N{k}_ING"), ("desc_es", f"NO_CGCE_N{k}_ESP"))},
         })
 
     def published_unit(self) -> DataFrame:
