@@ -63,6 +63,18 @@ def test_language_held_out(spark, docs):
     assert sum(a == b for a, b in held) / len(held) > 0.98
 
 
+def test_bundles_stay_within_their_bound():
+    """A block of texts with far more distinct trigrams than are kept gives the sums of all their vectors."""
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(3000)) for _ in range(20)] + ["the cat", None, "12"]
+    bundler = language.Bundler()
+    got = bundler.vectors(texts)
+    assert len(bundler.rows) <= language.MAX_TRIGRAMS and len(bundler.matrix) <= 2 * language.MAX_TRIGRAMS
+    for text, vector in zip(texts[-4:], got[-4:]):
+        want = sum((int(n) * language.trigram_vector(int(k)).astype(int) for k, n in zip(*language.trigrams(text))), 0)
+        assert (vector == want).all()
+
+
 def test_rare_languages_are_learned(spark):
     rows = [(k, f"the cat sat on mat {k}", "en") for k in range(2000)] + [(5000 + k, "ça va très bien", f"rare{k}") for k in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -14,31 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, ship_package
 
 #: The words of every word-based contract: maximal runs without these six ASCII blanks.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_CLASS = r"[\x20\x09-\x0D]+"
 
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send the package to the Python workers, unless they start in its folder or have it on their path.
-
-    The archive is code that the driver serves to executors itself; no data passes through it.
-    """
-    context = spark.sparkContext
-    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
-    if context.applicationId in _SHIPPED or _ROOT in on_path or os.getcwd() == _ROOT:
-        return
-    name = f"{tempfile.mkdtemp(prefix='tradeflow-code-')}/tradeflow_package"
-    context.addPyFile(shutil.make_archive(name, "zip", _ROOT, "tradeflow"))
-    _SHIPPED.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -16,7 +16,7 @@ from .manifest import OP12_SQL, op12_merkle_manifest
 from .neardup import op5_bagminhash
 from .packing import op2_harmonic_packing
 from .quality import op6_weak_supervision
-from .substrings import op1_debruijn_substrings
+from .substrings import OP1_SQL, op1_debruijn_substrings
 from .toxicity import op3_toxic_segments
 from .urls import op9_url_filter
 
@@ -40,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB statements for those that SQL can express.
 ORACLE: dict[str, str] = {
+    "op1_debruijn_substrings": OP1_SQL,
     "op7_chat_parts": OP7_SQL,
     "op11_son_collocations": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,

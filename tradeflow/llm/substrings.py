@@ -245,4 +245,17 @@ def op1_debruijn_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(docs).select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-__all__ = ["dedup_substrings", "repeated_windows", "anchors", "cut", "op1_debruijn_substrings", "WINDOW"]
+OP1_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM documents),
+spot AS (SELECT r, doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS run
+    FROM (SELECT r, doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM doc) t),
+first AS (SELECT run, min(doc_id) AS least FROM spot GROUP BY run),
+gone AS (SELECT r, unnest(range(i, i + {WINDOW})) AS k FROM spot s JOIN first f ON f.run = s.run WHERE s.doc_id > f.least),
+cut AS (SELECT r, list(DISTINCT k) AS ks FROM gone GROUP BY r)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(len(c.ks), 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(array_to_string(CASE WHEN c.ks IS NULL THEN d.words ELSE list_filter(d.words, lambda w, k: NOT list_contains(c.ks, k)) END, ' '), '')) AS kept_sha256
+FROM doc d LEFT JOIN cut c ON c.r = d.r
+"""
+
+__all__ = ["OP1_SQL", "dedup_substrings", "repeated_windows", "anchors", "cut", "op1_debruijn_substrings", "WINDOW"]
