@@ -111,3 +111,21 @@ def test_load_with_files_split_over_many_tasks(spark, tmp_dir):
     store = open_store(spark, flow_path(tmp_dir + "/db", "import"), "import")
     expected = fx.imports()
     assert store.exceptAll(expected).count() == 0 and expected.exceptAll(store).count() == 0
+
+
+def test_stored_schema_check(spark, tmp_dir):
+    """An older year with a renamed column, another type or conflicting files raises, naming year and column."""
+    from tradeflow.plans.store import schema_problems
+
+    rows = Fixtures(spark, SF0001).exports()
+    path = flow_path(tmp_dir, "export")
+    write_store(rows, path, "export")
+    assert schema_problems(spark, path, "export").count() == 0
+    assert open_store(spark, path, "export", check=True).count() == rows.count()
+    rows.where("year = 1995").drop("year").withColumnRenamed("kg", "peso").write.mode("overwrite").parquet(f"{path}/year=1995")
+    with pytest.raises(ValueError, match=r"year=1995: column kg: missing; .*year=1995: column peso: unknown"):
+        open_store(spark, path, "export", check=True)
+    one = rows.where("year = 1996").drop("year")
+    one.limit(5).withColumn("kg", F.col("kg").cast("string")).coalesce(1).write.mode("append").parquet(f"{path}/year=1996")
+    found = {tuple(r) for r in schema_problems(spark, path, "export").collect()}
+    assert found == {(1995, "kg", "missing"), (1995, "peso", "unknown"), (1996, "*", "files differ")}

@@ -320,6 +320,30 @@ def q_open_store(spark, d):
     return open_store(spark, flow_path(base, "export"), "export")
 
 
+@register("open_store_checked", with_views(f"SELECT {EXP} FROM exports", "exports"))
+def q_open_store_checked(spark, d):
+    return open_store(spark, flow_path(_store(spark, d), "export"), "export", check=True)
+
+
+@register(
+    "store_schema_problems",
+    with_views("SELECT DISTINCT e.year, p.column, p.problem FROM exports e JOIN (VALUES (1995, 'qty', 'missing'), (1995, 'quantity', 'unknown'), "
+               "(1997, 'month', 'type string'), (1998, 'kg', 'missing')) p(year, column, problem) ON p.year = e.year", "exports")
+    .replace("p(year, column, problem)", 'p(year, "column", problem)').replace("p.column", 'p."column"'),
+)
+def q_store_schema_problems(spark, d):
+    """Three years written by other tools: a renamed column, another type, a column left out."""
+    from tradeflow.plans.store import schema_problems
+
+    path = flow_path(_store(spark, d), "export")
+    rows = Fixtures(spark, d).exports()
+    for year, odd in (
+        (1995, rows.withColumnRenamed("qty", "quantity")), (1997, rows.withColumn("month", F.col("month").cast("string"))), (1998, rows.drop("kg")),
+    ):
+        odd.where(F.col("year") == year).drop("year").write.mode("overwrite").parquet(f"{path}/year={year}")
+    return schema_problems(spark, path, "export")
+
+
 @register("store_replace_year", with_views(f"SELECT {IMP} FROM imports WHERE year <> 1995 OR month = 1", "imports"))
 def q_store_replace_year(spark, d):
     fx = Fixtures(spark, d)

@@ -20,8 +20,9 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,9 +64,41 @@ def write_store(df: DataFrame, path: str, flow: str, compact: bool = True, compr
     )
 
 
-def open_store(spark: SparkSession, path: str, flow: str) -> DataFrame:
-    """Lazy handle on one flow of the store, columns in store order, year as INT."""
+def schema_problems(spark: SparkSession, path: str, flow: str) -> DataFrame:
+    """(year, column, problem) of the stored years whose files differ from the store's schema; no data is read.
+
+    A year's footers are merged by a Spark job (executors read them) and compared with the store's columns:
+    ``missing``, ``unknown`` (for example a renamed column) or ``type <stored>``.  A year is written as a
+    whole, so its files agree; files of one year with conflicting types are the problem ``files differ``.
+    """
+    wanted = {f.name: f.dataType for f in store_schema(flow).fields if f.name != "year"}
+
+    def one(year: int) -> list[tuple[int, str, str]]:
+        try:
+            found = {f.name: f.dataType for f in spark.read.option("mergeSchema", "true").parquet(f"{path}/year={year}").schema.fields}
+        except (PySparkException, Py4JError) as exc:
+            if "CANNOT_MERGE" not in str(exc):
+                raise
+            return [(year, "*", "files differ")]
+        out = [(year, c, "missing") for c in wanted if c not in found] + [(year, c, "unknown") for c in found if c not in wanted]
+        return out + [(year, c, f"type {t.simpleString()}") for c, t in found.items() if c in wanted and t != wanted[c]]
+
+    years = stored_years(spark, path)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        rows = [r for found in pool.map(inheritable_thread_target(spark)(one), years) for r in found]
+    return spark.createDataFrame(sorted(rows), "year int, column string, problem string")
+
+
+def open_store(spark: SparkSession, path: str, flow: str, check: bool = False) -> DataFrame:
+    """Lazy handle on one flow of the store, columns in store order, year as INT.
+
+    With ``check`` the stored files' schemas are compared first (``schema_problems``): a year that lacks a column, or
+    has it under another name or type, raises instead of giving nulls.
+    """
     schema = store_schema(flow)
+    if check and (wrong := schema_problems(spark, path, flow).collect()):
+        told = "; ".join(f"{path}/year={r.year}: column {r.column}: {r.problem}" for r in wrong[:20])
+        raise ValueError(f"{len(wrong)} problem(s) in the stored {flow} files: {told}")
     try:
         df = spark.read.schema(schema).option("basePath", path).parquet(path)
     except AnalysisException as exc:
