@@ -129,3 +129,28 @@ def test_stored_schema_check(spark, tmp_dir):
     one.limit(5).withColumn("kg", F.col("kg").cast("string")).coalesce(1).write.mode("append").parquet(f"{path}/year=1996")
     found = {tuple(r) for r in schema_problems(spark, path, "export").collect()}
     assert found == {(1995, "kg", "missing"), (1995, "peso", "unknown"), (1996, "*", "files differ")}
+
+
+def rows_scanned(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("bloom", [None, {"ncm": 1000}])
+def test_point_lookups_skip_row_groups(spark, tmp_dir, bloom):
+    from tradeflow.plans.store import rows_of_code
+
+    rows = Fixtures(spark, SF0001).exports()
+    path = flow_path(tmp_dir, "export")
+    write_store(rows, path, "export", bloom=bloom)
+    store = open_store(spark, path, "export")
+    codes = sorted(r.ncm for r in store.select("ncm").distinct().collect())
+    absent = next(c for k in range(10**8) if (c := f"{int(codes[3]) + k:08d}") not in codes)  # inside the range of every row group
+    assert codes[0] < absent < codes[-1]
+    assert rows_scanned(rows_of_code(store, absent)) == 0 < rows_scanned(rows_of_code(store, codes[5]))
+    assert rows_of_code(store, codes[5].lstrip("0")).count() == store.where(F.col("ncm") == codes[5]).count()
+    with pytest.raises(ValueError, match="bloom"):
+        write_store(rows, path, "export", bloom={"nothing": 5})

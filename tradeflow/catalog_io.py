@@ -21,7 +21,7 @@ from tradeflow.plans.refresh import (
     refresh_plan,
     update_store,
 )
-from tradeflow.plans.store import create_store, delete, flow_path, open_store, write_store, stored_years
+from tradeflow.plans.store import create_store, delete, flow_path, open_store, rows_of_code, stored_years, write_store
 from tradeflow.schemas import BRAZILIAN_STATES, LOOKUP_RENAMES, RAW_RENAMES, UNIT_TRANSLATIONS
 from tradeflow.session import scratch_dir
 from tradeflow.sources.links import discover_files, find_table_links
@@ -320,6 +320,14 @@ def q_open_store(spark, d):
     return open_store(spark, flow_path(base, "export"), "export")
 
 
+@register("store_rows_of_code", with_views(f"SELECT {IMP} FROM imports WHERE ncm IN ('00000007', '00000100', '90000053')", "imports"))
+def q_store_rows_of_code(spark, d):
+    """Point lookups by product code in a store with Bloom filters on it."""
+    path = flow_path(scratch_dir(spark, "store"), "import")
+    write_store(Fixtures(spark, d).imports(), path, "import", bloom={"ncm": 20_000})
+    return rows_of_code(open_store(spark, path, "import"), "7", "100", "90000053")
+
+
 @register("open_store_checked", with_views(f"SELECT {EXP} FROM exports", "exports"))
 def q_open_store_checked(spark, d):
     return open_store(spark, flow_path(_store(spark, d), "export"), "export", check=True)
