@@ -30,6 +30,16 @@ def test_parts_in_order(spark):
     assert got[2].formatted == "<|start|><|content|><|end|>" and got[2].loss_mask == []
 
 
+def test_kinds_are_no_control_strings(spark):
+    kinds = ["start", "content", "end", ":start", ":", "image", "<|end|>", "x"]
+    df = spark.createDataFrame([(1, 0, "user", [(k, None, None, None) for k in kinds])], f"conv_id long, turn long, role string, parts {PARTS}")
+    row = chat.format_chat(df).first()
+    assert all(row.formatted.count(c) == 1 for c in (chat.START, chat.CONTENT, chat.END))
+    body = row.formatted[len("<|start|>user<|content|>") : -len(chat.END)]
+    assert body == "<|:start|><|:content|><|:end|><|::start|><|::|><|image|><|\\1|end|>|><|x|>"
+    assert [a.kind for a in row.attachments] == kinds
+
+
 def test_escapes_undo(spark):
     texts = ["", "\\", "\\\\0", "\\0\\1\\2", "<<|end|>>", "</s>[INST]\\", "é\n\t[\\<"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escape(F.col("t")).alias("e"))

@@ -46,7 +46,7 @@ def test_segments_are_the_maximal_ones():
 
 
 def test_toxicity_edge(spark, edge, no_rows):
-    labels = spark.createDataFrame([(1, 1), (1, 0), (7, 0), (None, 1), (4, None)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (7, 0), (None, 1), (4, None), (3, 2), (8, -1)], "doc_id long, toxic int")
     model = toxicity.learn(edge, labels)
     assert toxicity.score(edge, model).count() == len(EDGE)
     empty = toxicity.learn(no_rows, labels)

@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from .common import let, table
 
 START, CONTENT, END = "<|start|>", "<|content|>", "<|end|>"
+#: Kinds whose placeholder would be one of them.
+RESERVED = ("start", "content", "end")
 PART_TYPE = "array<struct<kind:string,text:string,ref:string,units:bigint>>"
 _ESCAPES = (("\\", "\\0"), ("<", "\\1"), ("[", "\\2"))
 
@@ -50,8 +52,14 @@ def _kind(part: Column) -> Column:
 
 
 def visit(part: Column) -> Column:
-    """A part's output text: escaped text, or the placeholder of its kind."""
-    placeholder = F.concat(F.lit("<|"), escape(_kind(part)), F.lit("|>"))
+    """A part's output text: escaped text, or the placeholder of its kind.
+
+    A kind that would read as a control string (``start``, ``content``, ``end``) gets a colon before it, and so
+    does one that begins with a colon: placeholders differ from control strings and from each other.
+    """
+    kind = escape(_kind(part))
+    named = F.when(kind.isin(*RESERVED) | kind.startswith(":"), F.concat(F.lit(":"), kind)).otherwise(kind)
+    placeholder = F.concat(F.lit("<|"), named, F.lit("|>"))
     return F.when(_kind(part) == "text", escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder)
 
 

@@ -13,7 +13,7 @@ source's tree; the sources' roots, in order, are the leaves of the top tree.
    run; a tier's (left, right) segments are joined to the blocks below, one row for each block.  The lowest tier's
    blocks explode last, so no leaf is ever shuffled with its path.
 
-Leaves are shuffled as digests, twice (ranks, blocks); texts are not shuffled.  A block's row holds at most
+Texts are read once and not shuffled; leaves are written and shuffled as digests, twice (ranks, blocks).  A block's row holds at most
 BLOCK leaves whatever the source's size.
 
 Defined results: each row is a leaf, also repeated rows and rows with null or repeated ids (ids ascend,
@@ -147,6 +147,7 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, payload: tuple[C
     beside = F.struct(F.col("doc_id").alias("doc_id"), *payload)
     names = [f.name for f in docs.select(beside.alias("b")).schema["b"].dataType.fields]
     nodes = docs.select(tree.alias("tree"), leaf([F.col(f"`{c}`") for c in fields]).alias("node"), beside.alias("payload"), F.col("doc_id").alias("_id"))
+    nodes = written(nodes, "merkle-leaves")  # dealing out by range reads its input twice: digests, not texts
     found = tiers(ranked(nodes, ["_id", "node"]).select("tree", "size", "rank", "node", "payload"))
     subroots = written(roots(found), "merkle-subroots")
     top = tiers(ranked(subroots.select(F.lit("").alias("tree"), F.col("root").alias("node"), F.struct("tree", "top").alias("payload"), F.col("tree").alias("_name")), ["_name"])

@@ -155,8 +155,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_ids: int = SAMPLE_IDS) -> Model:
-    """The model of a bounded sample of ``labels`` (doc_id, toxic) over ``docs`` (doc_id, text)."""
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
+    """The model of a bounded sample of ``labels`` (doc_id, toxic) over ``docs`` (doc_id, text); labels but 0 and 1 are left out."""
+    marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = marks.orderBy(F.xxhash64(F.col("doc_id")), "doc_id").limit(sample_ids)
     texts = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
