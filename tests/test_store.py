@@ -154,3 +154,64 @@ def test_point_lookups_skip_row_groups(spark, tmp_dir, bloom):
     assert rows_of_code(store, codes[5].lstrip("0")).count() == store.where(F.col("ncm") == codes[5]).count()
     with pytest.raises(ValueError, match="bloom"):
         write_store(rows, path, "export", bloom={"nothing": 5})
+
+
+def stages_of(spark, run):
+    """Stages of the jobs that ``run`` starts."""
+    context, group = spark.sparkContext, f"stages-{id(run)}"
+    context.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    return sum(len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("compression", [None, "gzip"])
+def test_raw_files_are_written_without_a_shuffle(spark, tmp_dir, compression):
+    """One stage writes them; the session's setting is as before, and a load of them holds all rows."""
+    from tradeflow.sources.raw import list_files
+
+    raw = Fixtures(spark, SF0001).table("lineitem").select(
+        F.year("l_shipdate").alias("CO_ANO"), F.month("l_shipdate").alias("CO_MES"), F.col("l_partkey").alias("CO_NCM"), F.lit("SP").alias("SG_UF_NCM"),
+        F.lit(20).alias("CO_PAIS"), F.col("l_linenumber").alias("KG_LIQUIDO"), F.lit(1).alias("QT_ESTAT"), F.col("l_orderkey").alias("VL_FOB"),
+    )
+    assert stages_of(spark, lambda: write_raw_files(raw, tmp_dir + "/landing", "export", compression)) == 1
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert all(f.endswith(".csv.gz" if compression else ".csv") for f in list_files(spark, tmp_dir + "/landing"))
+    create_store(spark, tmp_dir + "/landing", tmp_dir + "/store", flows=("export",))
+    store, expected = open_store(spark, tmp_dir + "/store/export", "export"), normalise_exports(raw)
+    assert store.exceptAll(expected).count() == 0 and expected.exceptAll(store).count() == 0
+
+
+@pytest.mark.parametrize("buckets,partitions", [(1, 1), (3, 5), (40, 7)])
+def test_a_load_exchanges_its_rows_once(spark, buckets, partitions):
+    """Placed by year and bucket the groups are the same, also with nulls, unpadded codes and repeated keys."""
+    from tradeflow.operators.normalise import Places, normalise
+    from tradeflow.schemas import GRAIN
+
+    rows = [(1999 + k % 3, 1 + k % 2, c, s, p, k, 2 * k if k % 5 else None, 1) for k in range(60) for c in ("7", "00000007", None) for s, p in (("SP", 1), (None, None))]
+    rows += [(None, 1, "7", "SP", 1, 5, 5, 5)] * 3
+    raw = spark.createDataFrame(rows, "CO_ANO int, CO_MES int, CO_NCM string, SG_UF_NCM string, CO_PAIS int, KG_LIQUIDO long, QT_ESTAT long, VL_FOB long")
+    placed, plain = normalise(raw, "export", places=Places(buckets, partitions)), normalise(raw, "export")
+    assert sorted(map(tuple, placed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    plan = plan_text(placed.sortWithinPartitions(*GRAIN)).split("\n\n\n")[0]
+    assert plan.count("Exchange (") == 1 and placed.rdd.getNumPartitions() == partitions
+
+
+def test_places_follow_the_files_lengths(spark, tmp_dir, monkeypatch):
+    import os
+
+    from tradeflow.plans import store
+
+    os.makedirs(tmp_dir + "/raw")
+    files = [f"{tmp_dir}/raw/EXP_{n}" for n in ("2001.csv", "2001_1.csv", "2002.csv", "2003.csv.gz")]
+    for name, size in zip(files, (600, 200, 100, 25)):
+        with open(name, "wb") as f:
+            f.write(b"x" * size)
+    monkeypatch.setattr(store, "LARGE_TASK", 10)
+    monkeypatch.setattr(store, "SMALL_TASK", 10)
+    assert store.places(spark, files) == (80, 100)  # 1000 bytes, 800 of them of one year
+    monkeypatch.setattr(store, "SMALL_TASK", 10_000)
+    assert store.places(spark, files) == (1, 1)

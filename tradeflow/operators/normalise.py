@@ -1,7 +1,8 @@
 """From raw customs rows to the store grain.
 
 One wide step: a hash aggregate on the five grain keys (partial aggregation on
-the map side, final after the exchange).  The strict sums share one null
+the map side, final after the exchange; with ``Places`` the raw rows are exchanged by year and
+bucket, and the result needs no second exchange to be written by year).  The strict sums share one null
 bitmask, so each partial row carries n + 1 aggregate values, not 2n + 1.  Product codes are padded before the
 grouping, so '01012100' and '1012100' are one product.
 """
@@ -9,6 +10,7 @@ grouping, so '01012100' and '1012100' are one product.
 from __future__ import annotations
 
 import warnings
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -79,7 +81,17 @@ class Reconciliation:
         return {t["item"]: t["count"] for t in self.raw.get["by_year"] or []}
 
 
-def _aggregate(raw: DataFrame, measures: list[str], watch: Reconciliation | None = None) -> DataFrame:
+class Places(NamedTuple):
+    """Where the grain aggregate puts its rows: each year's keys fall into ``buckets``, and these into ``partitions``.
+
+    A partition then holds whole groups of one year or of few years, so that its task writes them in few files.
+    """
+
+    buckets: int
+    partitions: int
+
+
+def _aggregate(raw: DataFrame, measures: list[str], watch: Reconciliation | None = None, places: Places | None = None) -> DataFrame:
     warn_without_ansi(raw)
     df = _to_store_names(raw)
     _require(df, list(GRAIN) + measures)
@@ -93,30 +105,34 @@ def _aggregate(raw: DataFrame, measures: list[str], watch: Reconciliation | None
         *[exact_long(F.col(m), m, types[m]).alias(m) for m in measures],
     )
     aggs, finals = strict_sums(measures)
-    if watch is None:
-        g = keyed.groupBy(*GRAIN).agg(*aggs)
-    else:
-        g = watch.before(keyed, measures).groupBy(*GRAIN).agg(*aggs, F.count(F.lit(1)).alias("_rows"))
+    keys = list(GRAIN)
+    if watch is not None:
+        keyed, aggs = watch.before(keyed, measures), [*aggs, F.count(F.lit(1)).alias("_rows")]
+    if places is not None:  # the bucket follows from the other keys: the groups stay as they are
+        bucket = F.pmod(F.xxhash64(*[k for k in GRAIN if k != "year"]), F.lit(places.buckets)).cast("int")
+        keyed, keys = keyed.withColumn("_bucket", bucket).repartition(places.partitions, "year", "_bucket"), [*keys, "_bucket"]
+    g = keyed.groupBy(*keys).agg(*aggs)
+    if watch is not None:
         g = watch.after(g, measures, "_rows")  # the sums are not yet null where a value is missing
     return g.select(*GRAIN, *[finals[m].alias(m) for m in measures])
 
 
-def normalise_exports(raw: DataFrame, watch: Reconciliation | None = None) -> DataFrame:
+def normalise_exports(raw: DataFrame, watch: Reconciliation | None = None, places: Places | None = None) -> DataFrame:
     """Raw export rows -> one row per grain key with strict sums of fob_value, kg, qty."""
-    g = _aggregate(raw, ["fob_value", "kg", "qty"], watch)
+    g = _aggregate(raw, ["fob_value", "kg", "qty"], watch, places)
     return g.select(*GRAIN, "fob_value", "kg", "qty")
 
 
-def normalise_imports(raw: DataFrame, watch: Reconciliation | None = None) -> DataFrame:
+def normalise_imports(raw: DataFrame, watch: Reconciliation | None = None, places: Places | None = None) -> DataFrame:
     """As exports, plus cif_value = fob_value + insurance + freight (null if any part is null)."""
-    g = _aggregate(raw, ["fob_value", "insurance", "freight", "kg", "qty"], watch)
+    g = _aggregate(raw, ["fob_value", "insurance", "freight", "kg", "qty"], watch, places)
     cif = F.col("fob_value") + F.col("insurance") + F.col("freight")
     return g.select(*GRAIN, "fob_value", cif.alias("cif_value"), "kg", "qty")
 
 
-def normalise(raw: DataFrame, flow: str, watch: Reconciliation | None = None) -> DataFrame:
+def normalise(raw: DataFrame, flow: str, watch: Reconciliation | None = None, places: Places | None = None) -> DataFrame:
     store_schema(flow)
-    return normalise_imports(raw, watch) if flow == "import" else normalise_exports(raw, watch)
+    return normalise_imports(raw, watch, places) if flow == "import" else normalise_exports(raw, watch, places)
 
 
 def conform(df: DataFrame, flow: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 Writing a year replaces that year only (dynamic partition overwrite); the other
 years stay.  A load is one job per flow over all wanted raw files: executors
-read the files, the grain aggregate exchanges the rows once, and a rebalance on
-``year`` (split and coalesced by AQE to the advisory size, so a large year is
-spread over many tasks and small years do not make small files) feeds the
-writers.  Rows are sorted by month and product inside each file, which gives
+read the files, and the rows are exchanged once, by year and a bucket of the other grain keys
+(``places``: as many as the files' lengths ask for, so a large year is
+spread over many tasks and small years do not make small files); the tasks that aggregate them
+write them.  Rows are sorted by month and product inside each file, which gives
 tight row-group statistics for month and product filters.
 
 A load writes to a staging folder beside the store.  The same job counts and sums its raw and its aggregated
@@ -26,10 +26,10 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeflow.operators.normalise import Reconciliation, conform, normalise
+from tradeflow.operators.normalise import Places, Reconciliation, conform, normalise
 from tradeflow.plans import ledger
 from tradeflow.schemas import FLOWS, GRAIN, store_schema
-from tradeflow.sources.raw import file_name, list_files, literal_path, read_raw, route_of, select_files
+from tradeflow.sources.raw import COMPRESSED_SUFFIXES, file_name, list_files, literal_path, read_raw, route_of, select_files
 
 
 def flow_path(base: str, flow: str) -> str:
@@ -154,7 +154,8 @@ def load_files(
     path, watch = flow_path(base, flow), Reconciliation(flow)
     staging = f"{base.rstrip('/')}/_staging/{flow}-{uuid.uuid4().hex[:12]}"
     try:
-        write_store(normalise(rows, flow, watch), staging, flow, compact=compact)
+        by_year = normalise(rows, flow, watch, places(spark, files) if compact else None)
+        write_store(by_year, staging, flow, compact=False)  # placed already, or wanted as it is
         watch = _confirmed(rows, flow, watch)
         found = ledger.measure(open_store(spark, staging, flow), flow, watch.rows_by_year())
         if (staged := sum(r["n_rows"] for r in found.values())) != watch.stored.get["groups"]:
@@ -165,6 +166,26 @@ def load_files(
     return files
 
 
+#: Raw bytes that a task aggregates and writes: at most, and where tasks are fewer than cores, at least.
+LARGE_TASK, SMALL_TASK = 32 << 20, 2 << 20
+#: Fixed value: a compressed raw file counts as this many times its length.
+COMPRESSION = 4
+
+
+def places(spark: SparkSession, files: list[str]) -> Places:
+    """The grain aggregate's places for these raw files, by their lengths (a listing): even buckets, each of one year."""
+    fs, Path = _file_system(spark, files[0])
+    with ThreadPoolExecutor(max_workers=min(16, len(files))) as pool:
+        lengths = pool.map(inheritable_thread_target(spark)(lambda f: fs.getFileStatus(Path(f)).getLen()), files)
+        lengths = [n * (COMPRESSION if f.lower().endswith(COMPRESSED_SUFFIXES) else 1) for f, n in zip(files, lengths)]
+    by_year: dict[int | None, int] = {}
+    for f, n in zip(files, lengths):
+        by_year[route_of(f)[1]] = by_year.get(route_of(f)[1], 0) + n
+    total = max(1, sum(lengths))
+    partitions = min(-(-total // SMALL_TASK), max(spark.sparkContext.defaultParallelism, -(-total // LARGE_TASK)))
+    return Places(-(-partitions * max(by_year.values()) // total) or 1, partitions)
+
+
 def _confirmed(rows: DataFrame, flow: str, watch: Reconciliation) -> Reconciliation:
     """``watch`` if its two sides agree; else a second count, which raises if they still differ."""
     if not watch.differences():

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 from urllib.parse import unquote
 
@@ -260,24 +261,43 @@ def select_files(files: list[str], flow: str, start_year: int | None = None, yea
     return out
 
 
-def write_raw_files(df: DataFrame, landing: str, flow: str) -> list[str]:
+#: A writing task keeps so many files open, one for each year; it sorts the rows of any further years.
+OPEN_YEARS = 64
+
+
+@contextmanager
+def _open_files(spark: SparkSession, number: int):
+    """Writes inside the block may keep ``number`` files open in a task; the session's setting is put back after it."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def write_raw_files(df: DataFrame, landing: str, flow: str, compression: str | None = None) -> list[str]:
     """Lay out rows with raw header names as the portal publishes them: ``<FLOW>_<year>[_<k>].csv``.
 
-    Executors write the CSV parts (one folder per year); the parts are then
+    With ``compression`` (a codec name of Spark's CSV writer) the files have the codec's suffix, as ``.csv.gz``.
+
+    Executors write the CSV parts (one folder per year) straight from the frame's partitions: a task keeps a
+    file open for each of its years, so no row is shuffled or sorted.  The parts are then
     renamed into ``landing`` through the Hadoop file system (metadata only).
     Used to build test inputs from the driver's tables.
     """
     spark = df.sparkSession
     token = FLOW_TOKEN[flow]
     staging = f"{landing.rstrip('/')}/_staging_{token}"
-    (
-        df.withColumn("_file_year", F.col("CO_ANO"))
-        .hint("rebalance", "_file_year")  # AQE splits a large year over several tasks (several parts)
-        .write.mode("overwrite")
-        .partitionBy("_file_year")
-        .options(sep=";", header="true", encoding="ISO-8859-1", nullValue="NA")
-        .csv(staging)
-    )
+    with _open_files(spark, OPEN_YEARS):
+        (
+            df.withColumn("_file_year", F.col("CO_ANO"))
+            .write.mode("overwrite")
+            .partitionBy("_file_year")
+            .options(sep=";", header="true", encoding="ISO-8859-1", nullValue="NA", compression=compression or "none")
+            .csv(staging)
+        )
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
@@ -291,7 +311,7 @@ def write_raw_files(df: DataFrame, landing: str, flow: str) -> list[str]:
         year = re.search(r"_file_year=([0-9]+)", p).group(1)
         k = counters.get(year, 0)
         counters[year] = k + 1
-        target = f"{landing.rstrip('/')}/{token}_{year}" + (f"_{k}" if k else "") + ".csv"
+        target = f"{landing.rstrip('/')}/{token}_{year}" + (f"_{k}" if k else "") + p[p.rindex(".csv"):]
         if not fs.rename(Path(p), Path(target)):
             raise OSError(f"could not move {p} to {target} (does it exist already?)")
         written.append(target)
