@@ -337,3 +337,30 @@ def test_links_as_an_html_parser_sees_them(spark):
     assert years(in_table_cells=True) == [2020, 2021, 2022, 2023, 2024]
     assert years() == [2020, 2021, 2022, 2023, 2024, 2025]
     assert discover_files(pages).where("link_year = 2020").first().href == "/ncm/EXP_2020.csv?a=1&b=2"
+
+
+def test_plain_pages_are_not_parsed_and_odd_ones_give_the_same(monkeypatch):
+    """Pages of plainly written tags never reach the parser; on random pieces, plain or not, both readers agree."""
+    import random
+
+    from tradeflow.sources.markup import Matcher, Reader, selector
+
+    pieces = ["<a href='x&amp;y'>", "<A HREF = u class='k raw'>", "<a href=1 href=2>", "</a>", "<ul class=files>", "<li>", "</ul >", "<br/>", "<td>", "<tr>", "<table>",
+              "</table>", "<!-- <a href=9> -->", "<script>'<a href=8></a>'</script>", "<style>a{}</style>", "text &copy", "<div id=d>", "</div>", "<a b c=2 href>"]
+    odd = ["<", "<!-- a -- b -->", "<!-->", "<a href=a/>", "<a href='&copy=1'>", "<a/href=q>", "<a href='m'class=k>", "<title>", "</title>", "<p", "<a href='", "<script>", "</script",
+           "</style x>", "<script/>", "<![CDATA[x]]>", "<!DOCTYPE html>", "<?pi>", "<a \x0bhref=v>", "</>", "<svg>", "<a href=é>"]
+    scopes = ["a", "ul.files > li a.raw, td a", "[href]", "table tr td a", "div#d a", "*.files *"]
+    readers = {scope: Reader(selector(scope)) for scope in scopes}
+    parse = Matcher.feed
+    dice = random.Random(7)
+    for k in range(4000):
+        scope, page = dice.choice(scopes), "".join(dice.choices(pieces + odd if k % 2 else pieces, k=dice.randint(1, 12)))
+        monkeypatch.undo()
+        matcher = Matcher(selector(scope), "href")
+        matcher.feed(page)
+        matcher.close()
+        if k % 2 == 0:
+            monkeypatch.setattr(Matcher, "feed", lambda self, html: pytest.fail(f"parsed: {html}"))
+        assert readers[scope].select(page) == [v for v in matcher.found if v is not None], (scope, page)
+    monkeypatch.undo()
+    assert Matcher.feed is parse

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeflow.session import ship_package
-from tradeflow.sources.markup import select, selector
+from tradeflow.sources.markup import Reader, selector
 
 ALL_LINKS = "a"
 TABLE_CELL_SCOPE = "table tr td a"
@@ -43,8 +43,9 @@ def extract_links(pages: DataFrame, html_col: str = "html", in_table_cells: bool
     def links(batches):
         import pyarrow as pa
 
+        reader = Reader(chains)
         for batch in batches:
-            found = [select(html, chains) for html in batch.column(0).to_pylist()]
+            found = [reader.select(html) for html in batch.column(0).to_pylist()]
             rows = pa.array([k for k, values in enumerate(found) for _ in values], pa.int64())
             columns = [batch.column(k + 1).take(rows) for k in range(len(keep))]
             href = pa.array([v.strip() for values in found for v in values], pa.string())
